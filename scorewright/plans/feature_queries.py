@@ -128,15 +128,7 @@ _CORE_DOUBLES = ("milestones_per_funding_round", "avg_funding_per_round",
                  "time_to_first_milestone", "milestone_duration")
 
 
-def features_scored(spark, sf_dir):
-    return fx.derive_scored(account(spark, sf_dir)).select("id", *fx.SCORED_COLUMNS)
-
-
-register("features_scored", doubles=_CORE_DOUBLES + (
-    "location_success_score", "sector_success_score", "funding_efficiency",
-    "maturity_funding_interaction"),
-    sql=with_fixtures(f"""
-SELECT id, {_CORE_SQL},
+SCORED_LIST = f"""{_CORE_SQL},
   is_MA * 0.82::DOUBLE + is_NY * 0.70::DOUBLE + is_CA * 0.69::DOUBLE + is_TX * 0.46::DOUBLE
     + is_otherstate * 0.46::DOUBLE AS location_success_score,
   CAST(coalesce(is_CA = 1, false) OR coalesce(is_NY = 1, false) OR coalesce(is_MA = 1, false) AS INTEGER) AS is_top_tier_location,
@@ -153,7 +145,17 @@ SELECT id, {_CORE_SQL},
   funding_progression_score * relationships AS funding_relationships_interaction,
   is_mature_startup * ln(1 + funding_total_usd) AS maturity_funding_interaction,
   CAST(coalesce(coalesce(age_last_milestone_year, 999.0::DOUBLE) <= 3, false) AS INTEGER) AS has_recent_milestones
-FROM account""", "account"))(features_scored)
+"""
+
+
+def features_scored(spark, sf_dir):
+    return fx.derive_scored(account(spark, sf_dir)).select("id", *fx.SCORED_COLUMNS)
+
+
+register("features_scored", doubles=_CORE_DOUBLES + (
+    "location_success_score", "sector_success_score", "funding_efficiency",
+    "maturity_funding_interaction"),
+    sql=with_fixtures(f"SELECT id, {SCORED_LIST}\nFROM account", "account"))(features_scored)
 
 
 def features_improved(spark, sf_dir):

@@ -115,7 +115,7 @@ def _closure(names) -> list[str]:
 
 def with_fixtures(body: str, *fixtures: str, extra: str | None = None) -> str:
     """``WITH <fixture CTEs>[, extra CTEs] <body>``."""
-    parts = [_CTES[n].strip() for n in _closure(fixtures)]
+    parts = [_CTES[n].strip().replace(" AS (", " AS MATERIALIZED (", 1) for n in _closure(fixtures)]
     if extra:
         parts.append(extra.strip())
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
