@@ -86,6 +86,14 @@ scored AS (
          least(coalesce(relationships, 0) + coalesce(milestones, 0) * 4
                + (is_CA + is_NY + is_MA) * 10 + id % 10, 99)::DOUBLE / 100.0::DOUBLE AS score
   FROM account)""",
+    "account_split": """
+account_split AS (
+  SELECT * EXCLUDE (rn, n), CAST(rn <= round(0.2::DOUBLE * n) AS INTEGER) AS is_test,
+         CAST((rn - 1) % 5 AS INTEGER) AS fold
+  FROM (SELECT *, row_number() OVER (PARTITION BY labels ORDER BY substr(md5(CAST(id AS VARCHAR) || '|42'), 1, 15), id) AS rn,
+               count(*) OVER (PARTITION BY labels) AS n FROM account))""",
+    "train": """
+train AS (SELECT * EXCLUDE (is_test, fold) FROM account_split WHERE is_test = 0)""",
     "doc_quality": """
 doc_quality AS (
   SELECT d.doc_id, d.n_chars, d.lang, d.source, l.quality, l.toxic
@@ -96,6 +104,8 @@ _DEPS = {
     "_acc0": ["_acc_orders", "_acc_lines"],
     "account": ["_acc0"],
     "scored": ["account"],
+    "account_split": ["account"],
+    "train": ["account_split"],
 }
 
 
