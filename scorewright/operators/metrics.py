@@ -108,9 +108,12 @@ def cumulative(df: DataFrame, label: str, score: str, buckets: int = BUCKETS) ->
     probs = [i / buckets for i in range(1, buckets)]
     cuts = g.agg(F.percentile_approx("score", probs, 10000).alias("c")).first()["c"] if probs else []
     cuts = sorted({float(c) for c in (cuts or []) if c is not None})
-    splits = [float("-inf")] + cuts + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(g)
-    b = b.withColumn("bucket", F.col("bucket").cast("int"))
+    if cuts:
+        splits = [float("-inf")] + cuts + [float("inf")]
+        b = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(g)
+        b = b.withColumn("bucket", F.col("bucket").cast("int"))
+    else:
+        b = g.withColumn("bucket", F.lit(0))
 
     per_bucket = b.groupBy("bucket").agg(
         F.sum("pos").alias("b_pos"), F.sum("neg").alias("b_neg"),
