@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as fx
-from ..sources.fixtures import account
+from ..sources.fixtures import account, account_m
 from .oracle_fixtures import with_fixtures
 from .registry import register
 
@@ -18,7 +18,7 @@ def _num(x) -> str:
 
 # ----------------------------------------------------------------- flagship
 def category_summary(spark, sf_dir):
-    acc = account(spark, sf_dir)
+    acc = account_m(spark, sf_dir)
     feats = fx.derive_base(acc, fx.fit_base(acc))
     return feats.groupBy("category_code").agg(
         F.count(F.lit(1)).alias("n_accounts"),
@@ -42,7 +42,7 @@ FROM account GROUP BY category_code""", "account"))(category_summary)
 
 # ------------------------------------------------------------------ Set A
 def features_base(spark, sf_dir):
-    acc = account(spark, sf_dir)
+    acc = account_m(spark, sf_dir)
     return fx.derive_base(acc, fx.fit_base(acc)).select("id", *fx.BASE_COLUMNS)
 
 
@@ -68,7 +68,7 @@ FROM account""", "account"))(features_base)
 
 # ------------------------------------------------------------------ Set B
 def features_extended(spark, sf_dir):
-    acc = account(spark, sf_dir)
+    acc = account_m(spark, sf_dir)
     return fx.derive_extended(acc, fx.fit_extended(acc)).select("id", *fx.EXTENDED_COLUMNS)
 
 
@@ -159,7 +159,7 @@ register("features_scored", doubles=_CORE_DOUBLES + (
 
 
 def features_improved(spark, sf_dir):
-    acc = account(spark, sf_dir)
+    acc = account_m(spark, sf_dir)
     return fx.derive_improved(acc, fx.fit_improved(acc)).select("id", *fx.IMPROVED_COLUMNS)
 
 

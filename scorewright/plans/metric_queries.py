@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import metrics as mx
-from ..sources.fixtures import scored
+from ..sources.fixtures import scored, scored_m
 from .oracle_fixtures import with_fixtures
 from .registry import register
 
@@ -88,7 +88,7 @@ SELECT (SELECT P FROM tot) AS n_positive, (SELECT N FROM tot) AS n_negative,
        CASE WHEN (SELECT P FROM tot) > 0 AND (SELECT N FROM tot) > 0 THEN
          sum(pos::DOUBLE * ((SELECT N FROM tot) - fp + neg * 0.5::DOUBLE)) / ((SELECT P FROM tot) * (SELECT N FROM tot))::DOUBLE
        END AS roc_auc FROM c""", "scored", extra=_CUM))(
-    lambda spark, d: mx.roc_auc(scored(spark, d), "label", "score"))
+    lambda spark, d: mx.roc_auc(scored_m(spark, d), "label", "score"))
 
 # M5
 register("roc_curve", doubles=("threshold", "fpr", "tpr"), sql=with_fixtures("""
@@ -97,19 +97,19 @@ UNION ALL
 SELECT score, fp::DOUBLE / (SELECT N FROM tot), tp::DOUBLE / (SELECT P FROM tot) FROM c
 WHERE next_pos IS NULL OR (fp - neg) - 2 * fp + (fp + next_neg) <> 0 OR (tp - pos) - 2 * tp + (tp + next_pos) <> 0""",
                                                                           "scored", extra=_CUM))(
-    lambda spark, d: mx.roc_curve(scored(spark, d), "label", "score"))
+    lambda spark, d: mx.roc_curve(scored_m(spark, d), "label", "score"))
 
 # M6
 register("pr_curve", doubles=("threshold", "precision", "recall"), sql=with_fixtures("""
 SELECT threshold, precision, recall FROM pr
 UNION ALL SELECT NULL::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE""", "scored", extra=_CUM + "," + _PR))(
-    lambda spark, d: mx.pr_curve(scored(spark, d), "label", "score"))
+    lambda spark, d: mx.pr_curve(scored_m(spark, d), "label", "score"))
 
 # M7
 register("average_precision", doubles=("average_precision",), sql=with_fixtures("""
 SELECT sum(pos / (SELECT P FROM tot)::DOUBLE * (tp::DOUBLE / (tp + fp))) AS average_precision FROM c""",
                                                                                             "scored", extra=_CUM))(
-    lambda spark, d: mx.average_precision(scored(spark, d), "label", "score"))
+    lambda spark, d: mx.average_precision(scored_m(spark, d), "label", "score"))
 
 
 # M8
@@ -127,20 +127,20 @@ FROM (SELECT t.threshold,
 
 
 register("threshold_grid_f1", doubles=("threshold", "precision", "recall", "f1"), sql=_grid_sql(GRID_40))(
-    lambda spark, d: mx.threshold_grid_f1(scored(spark, d), "label", "score", GRID_40, ">"))
+    lambda spark, d: mx.threshold_grid_f1(scored_m(spark, d), "label", "score", GRID_40, ">"))
 
 register("threshold_grid_f1_fine", doubles=("threshold", "precision", "recall", "f1"), sql=_grid_sql(GRID_100))(
-    lambda spark, d: mx.threshold_grid_f1(scored(spark, d), "label", "score", GRID_100, ">"))
+    lambda spark, d: mx.threshold_grid_f1(scored_m(spark, d), "label", "score", GRID_100, ">"))
 
 # M9
 register("threshold_best_f1", doubles=("threshold", "precision", "recall", "f1"), sql=with_fixtures(
     "SELECT * FROM best", "scored", extra=_CUM + "," + _PR + "," + _BEST))(
-    lambda spark, d: mx.best_f1_threshold(scored(spark, d), "label", "score"))
+    lambda spark, d: mx.best_f1_threshold(scored_m(spark, d), "label", "score"))
 
 
 # M11
 def threshold_compare(spark, d):
-    s = scored(spark, d)
+    s = scored_m(spark, d)
     t_best = mx.best_f1_threshold(s, "label", "score").first()["threshold"]
     f_def = mx.binary_metrics(mx.predict(s, "score", T_DEFAULT), "label", "prediction").select(
         F.col("f1").alias("f1_default"))
@@ -174,7 +174,7 @@ SELECT {_div0('tp + tn', 'tp + fp + fn + tn')} AS accuracy,
 
 # M13
 def evaluation_summary(spark, d):
-    s = scored(spark, d)
+    s = scored_m(spark, d)
     m = mx.binary_metrics(mx.predict(s, "score", T_DEFAULT), "label", "prediction").first()
     auc = mx.roc_auc(s, "label", "score").first()["roc_auc"]
     ap = mx.average_precision(s, "label", "score").first()["average_precision"]

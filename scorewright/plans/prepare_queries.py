@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import prepare as pr
 from ..operators import split as sp
-from ..sources.fixtures import account
+from ..sources.fixtures import account, account_m
 from .oracle_fixtures import with_fixtures
 from .registry import register
 
@@ -22,7 +22,7 @@ CORE = AGES + ["relationships", "funding_rounds", "funding_total_usd", "mileston
 
 
 def _split(spark, d):
-    return sp.stratified_split(account(spark, d), "labels")
+    return sp.stratified_split(account_m(spark, d), "labels")
 
 
 def _train(df):
@@ -38,11 +38,11 @@ register("random_split", sql=with_fixtures("""
 SELECT id, CAST(rn <= round(0.2::DOUBLE * n) AS INTEGER) AS is_test
 FROM (SELECT id, row_number() OVER (ORDER BY substr(md5(CAST(id AS VARCHAR) || '|42'), 1, 15), id) AS rn,
              count(*) OVER () AS n FROM account)""", "account"))(
-    lambda spark, d: sp.random_split(account(spark, d)).select("id", "is_test"))
+    lambda spark, d: sp.random_split(account_m(spark, d)).select("id", "is_test"))
 
 # V3
 register("stratified_kfold", sql=with_fixtures("SELECT id, labels, fold FROM account_split", "account_split"))(
-    lambda spark, d: sp.stratified_kfold(account(spark, d), "labels", k=5).select("id", "labels", "fold"))
+    lambda spark, d: sp.stratified_kfold(account_m(spark, d), "labels", k=5).select("id", "labels", "fold"))
 
 
 # T1

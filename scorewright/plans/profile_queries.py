@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.nullsafe import all_of, any_of, flag
 from ..operators import features as fx
 from ..operators import profile as pf
-from ..sources.fixtures import ACCOUNT_COLUMNS, account, scored
+from ..sources.fixtures import ACCOUNT_COLUMNS, account, account_m, scored
 from .feature_queries import SCORED_LIST
 from .oracle_fixtures import with_fixtures
 from .registry import register
@@ -48,7 +48,7 @@ register("describe_stats", doubles=("mean", "std", "min", "q25", "q50", "q75", "
   stddev_samp({c}) AS std, min({c})::DOUBLE AS min, quantile_cont({c}, 0.25)::DOUBLE AS q25,
   quantile_cont({c}, 0.5)::DOUBLE AS q50, quantile_cont({c}, 0.75)::DOUBLE AS q75, max({c})::DOUBLE AS max
 FROM account""" for c in NUMERIC]), "account"))(
-    lambda spark, d: pf.describe(account(spark, d), NUMERIC))
+    lambda spark, d: pf.describe(account_m(spark, d), NUMERIC))
 
 
 # Q5
@@ -66,13 +66,13 @@ def _corr_sql(cols, source, where=""):
 
 _one, _body = _corr_sql(NUMERIC, "account")
 register("corr_matrix", doubles=("corr",), sql=with_fixtures(_body, "account", extra=f"one AS ({_one})"))(
-    lambda spark, d: pf.corr_long(account(spark, d), NUMERIC))
+    lambda spark, d: pf.corr_long(account_m(spark, d), NUMERIC))
 
 # Q6 (over the enhanced frame: account + Set C)
 _one, _body = _corr_sql(ENHANCED, "enh", where="WHERE ia < ib AND corr > 0.8")
 register("corr_pairs_high", doubles=("corr",), sql=with_fixtures(
     _body, "account", extra=f"enh AS (SELECT account.*, {SCORED_LIST} FROM account),\none AS ({_one})"))(
-    lambda spark, d: pf.corr_pairs_above(fx.derive_scored(account(spark, d)), ENHANCED, 0.8))
+    lambda spark, d: pf.corr_pairs_above(fx.derive_scored(account_m(spark, d)), ENHANCED, 0.8))
 
 # Q7
 register("hypothesis_median_ratio", doubles=("median_positive", "median_negative", "ratio"),
@@ -80,7 +80,7 @@ register("hypothesis_median_ratio", doubles=("median_positive", "median_negative
 SELECT pos AS median_positive, neg AS median_negative, CASE WHEN neg <> 0 THEN pos / neg END AS ratio
 FROM (SELECT median(funding_total_usd) FILTER (WHERE labels = 1)::DOUBLE AS pos,
              median(funding_total_usd) FILTER (WHERE labels = 0)::DOUBLE AS neg FROM account)""", "account"))(
-    lambda spark, d: pf.median_ratio(account(spark, d), "labels", "funding_total_usd"))
+    lambda spark, d: pf.median_ratio(account_m(spark, d), "labels", "funding_total_usd"))
 
 # Q8
 register("hypothesis_rate_by_flag", doubles=("success_rate",), sql=with_fixtures("""
@@ -119,7 +119,7 @@ GROUP BY q.label, q.q1, q.med, q.q3""")
 
 register("boxplot_stats", doubles=("q1", "median", "q3", "iqr", "whisker_low", "whisker_high"),
          sql=with_fixtures(_box_sql(), "account"))(
-    lambda spark, d: pf.boxplot_stats(account(spark, d), "labels", BOX_FEATURES))
+    lambda spark, d: pf.boxplot_stats(account_m(spark, d), "labels", BOX_FEATURES))
 
 # Q11
 register("histogram_bins", doubles=("bin_low",), sql=with_fixtures("""
@@ -129,7 +129,7 @@ FROM (SELECT CAST(least(floor((funding_total_usd::DOUBLE - w.lo) / w.width), 49)
                      FROM (SELECT min(funding_total_usd)::DOUBLE AS lo, max(funding_total_usd)::DOUBLE AS hi FROM account)) w
       WHERE funding_total_usd IS NOT NULL)
 GROUP BY b, lo, width""", "account"))(
-    lambda spark, d: pf.histogram(account(spark, d), "funding_total_usd", 50))
+    lambda spark, d: pf.histogram(account_m(spark, d), "funding_total_usd", 50))
 
 # Q12
 register("category_topk", sql=with_fixtures("""
@@ -157,7 +157,7 @@ _Q_SPECS = {f"{c}_{name}": (c, p) for c in ("funding_total_usd", "relationships"
 register("table_quantiles", doubles=("p", "value"), sql=with_fixtures(_union([
     f"SELECT '{n}' AS statistic, '{c}' AS column_name, {p}::DOUBLE AS p, quantile_cont({c}, {p})::DOUBLE AS value FROM account"
     for n, (c, p) in _Q_SPECS.items()]), "account"))(
-    lambda spark, d: pf.table_quantiles(account(spark, d), _Q_SPECS))
+    lambda spark, d: pf.table_quantiles(account_m(spark, d), _Q_SPECS))
 
 # Q17: agreement between prediction rules over the same ids
 _RULES = {"pred_t30": 0.3, "pred_t50": 0.5, "pred_t70": 0.7}

@@ -50,3 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="scorewright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    For multi-pass work (fit statistics, then apply; several metric passes) the
+    source plan - here joins over the fact tables - runs once instead of once per
+    pass, and the lineage is cut, so a lost executor re-reads the checkpoint
+    instead of recomputing the joins.  Never ``localCheckpoint``: its blocks die
+    with the executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

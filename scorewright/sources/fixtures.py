@@ -134,6 +134,18 @@ def account(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("labels_planted", flag(activity > med)).select(*ACCOUNT_COLUMNS)
 
 
+def account_m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``account`` checkpointed once, for queries that read it several times."""
+    from ..session import materialize
+    return materialize(account(spark, sf_dir))
+
+
+def scored_m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``scored`` checkpointed once, for metric queries with several passes."""
+    from ..session import materialize
+    return materialize(scored(spark, sf_dir))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, label, score): input of every metric query.
 
