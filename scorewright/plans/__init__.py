@@ -1,6 +1,6 @@
 """Registered queries.  Importing this package fills ``registry.REGISTRY``."""
 
-from . import feature_queries, metric_queries, model_queries, prepare_queries, profile_queries  # noqa: F401
+from . import feature_queries, io_queries, metric_queries, model_queries, prepare_queries, profile_queries  # noqa: F401
 from .registry import REGISTRY, oracle_text, spark_callable
 
 __all__ = ["REGISTRY", "oracle_text", "spark_callable"]

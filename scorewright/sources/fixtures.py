@@ -153,11 +153,18 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     same double and ties occur (two-digit scores).
     """
     acc = account(spark, sf_dir)
+    return acc.select("id", F.col("labels").alias("label"), score_expr().alias("score"))
+
+
+SCORE_INPUTS = ["id", "relationships", "milestones", "is_CA", "is_NY", "is_MA"]
+
+
+def score_expr():
+    """The fixed scoring formula of ``scored`` over account columns."""
     hub = F.col("is_CA") + F.col("is_NY") + F.col("is_MA")
     raw = (F.coalesce(F.col("relationships"), F.lit(0)) + F.coalesce(F.col("milestones"), F.lit(0)) * 4
            + hub * 10 + F.pmod(F.col("id"), F.lit(10)))
-    score = F.least(raw, F.lit(99)).cast("double") / 100.0
-    return acc.select("id", F.col("labels").alias("label"), score.alias("score"))
+    return F.least(raw, F.lit(99)).cast("double") / 100.0
 
 
 def doc_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
