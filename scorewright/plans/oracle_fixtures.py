@@ -94,6 +94,13 @@ account_split AS (
                count(*) OVER (PARTITION BY labels) AS n FROM account))""",
     "train": """
 train AS (SELECT * EXCLUDE (is_test, fold) FROM account_split WHERE is_test = 0)""",
+    "vsplit": """
+vsplit AS (
+  SELECT vec_id, embedding, y, CAST(rn <= round(0.2::DOUBLE * n) AS INTEGER) AS is_test
+  FROM (SELECT vec_id, embedding, CAST(label = 0 AS INTEGER) AS y,
+               row_number() OVER (PARTITION BY CAST(label = 0 AS INTEGER)
+                                  ORDER BY substr(md5(CAST(vec_id AS VARCHAR) || '|42'), 1, 15), vec_id) AS rn,
+               count(*) OVER (PARTITION BY CAST(label = 0 AS INTEGER)) AS n FROM embeddings))""",
     "doc_quality": """
 doc_quality AS (
   SELECT d.doc_id, d.n_chars, d.lang, d.source, l.quality, l.toxic
