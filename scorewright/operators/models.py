@@ -239,7 +239,10 @@ def scored_frame(model, df: DataFrame, key: str = "id") -> DataFrame:
 
 
 def evaluate(scored: DataFrame) -> dict:
-    """accuracy / precision / recall / f1 at the model's own prediction, exact AUC and AP."""
+    """accuracy / precision / recall / f1 at the model's own prediction, exact AUC and AP.
+
+    The scored frame is checkpointed once so the metric passes do not re-run the model."""
+    scored = materialize(scored)
     m = mx.binary_metrics(scored, LABEL, "prediction").first()
     auc = mx.roc_auc(scored, LABEL, "p1").first()["roc_auc"]
     ap = mx.average_precision(scored, LABEL, "p1").first()["average_precision"]

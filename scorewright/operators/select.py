@@ -56,23 +56,42 @@ def keep_above_median(names: Sequence[str], importances: Sequence[float]) -> lis
     return [nm for nm, v in zip(names, importances) if v >= med]
 
 
-def rfe(train: DataFrame, names: Sequence[str], fit, n_select: int, step: int = 1,
-        features: str = "features") -> list[int]:
+def _step_size(step, n_features: int) -> int:
+    """scikit-learn semantics: an int removes that many, a float in (0, 1) that
+    share of the *initial* feature count (at least one)."""
+    if isinstance(step, float) and 0 < step < 1:
+        return max(1, int(step * n_features))
+    return max(1, int(step))
+
+
+def rfe_path(train: DataFrame, n_features: int, fit, n_select: int, step=1, features: str = "features",
+             on_model=None) -> list[int]:
     """Recursive elimination: fit, drop the ``step`` least important, repeat.
 
     ``fit(df) -> model`` with ``importances(n)``; the vector is narrowed with
-    ``VectorSlicer`` each round.  Returns the kept positions."""
-    keep = list(range(len(names)))
+    ``VectorSlicer`` each round.  ``on_model(keep, model)`` sees every fitted
+    size (RFECV scores them).  Returns the kept positions."""
+    keep = list(range(n_features))
     data = materialize(train)
-    while len(keep) > n_select:
+    size = _step_size(step, n_features)
+    while True:
         sliced = VectorSlicer(inputCol=features, outputCol="_sel", indices=keep).transform(data) \
             .drop(features).withColumnRenamed("_sel", features)
-        imp = fit(sliced).importances(len(keep))
-        drop = min(step, len(keep) - n_select)
+        model = fit(sliced)
+        if on_model:
+            on_model(list(keep), model)
+        if len(keep) <= n_select:
+            return keep
+        imp = model.importances(len(keep))
+        drop = min(size, len(keep) - n_select)
         order = sorted(range(len(keep)), key=lambda i: (imp[i], -i))
         gone = set(order[:drop])
         keep = [p for i, p in enumerate(keep) if i not in gone]
-    return keep
+
+
+def rfe(train: DataFrame, names: Sequence[str], fit, n_select: int, step=1,
+        features: str = "features") -> list[int]:
+    return rfe_path(train, len(names), fit, n_select, step, features)
 
 
 def slice_features(df: DataFrame, keep: Sequence[int], features: str = "features") -> DataFrame:

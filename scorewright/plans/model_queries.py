@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as fx
+from ..operators import metrics as mx
 from ..operators import models as ml
+from ..operators import select as fs
+from ..functions.ranks import hash_key, hashed_rank
 from ..operators import split as sp
 from ..session import materialize
 from ..sources.fixtures import account_m
@@ -31,13 +34,14 @@ SPEC = ml.FeatureSpec(cont=CONT, bins=BINS, cat="category_code")
 class ModelData:
     def __init__(self, spark, d, folds=5):
         acc = fx.derive_scored(account_m(spark, d)).withColumn(ml.LABEL, F.col(TARGET).cast("int"))
-        split = sp.stratified_split(acc, ml.LABEL)
-        train = sp.stratified_kfold(split.where(F.col("is_test") == 0), ml.LABEL, k=folds)
+        split = materialize(sp.stratified_split(acc, ml.LABEL))
+        train = materialize(sp.stratified_kfold(split.where(F.col("is_test") == 0), ml.LABEL, k=folds))
         test = split.where(F.col("is_test") == 1)
         self.prep = ml.fit_preparation(train, SPEC)
         keep = ["id", ml.LABEL, "features"]
         self.train = materialize(ml.add_weights(self.prep.transform(train).select(*keep, "fold")))
         self.test = materialize(self.prep.transform(test).select(*keep))
+        self.test_raw = test
         self.names = self.prep.names
 
 
@@ -158,3 +162,84 @@ def random_search_q(spark, d, folds=3, n_iter=10):
 
 register("grid_search")(grid_search_q)
 register("random_search")(random_search_q)
+
+
+# F-SFM: boosted model (positive-class weight), keep importance >= median
+def select_by_importance(spark, d):
+    md = ModelData(spark, d)
+    gbt = ml.fit_model("gbt_weighted", md.train)
+    imp = gbt.importances(len(md.names))
+    kept = set(fs.keep_above_median(md.names, imp))
+    return spark.createDataFrame([(i, n, float(v), n in kept) for i, (n, v) in enumerate(zip(md.names, imp))],
+                                 "position int, feature string, importance double, selected boolean")
+
+
+register("select_by_importance")(select_by_importance)
+
+# RFE / RFECV: a 50-tree forest as in the reference; step is a share of the features
+# per round (the reference removes one at a time, see README).
+RFE_STEP = 0.1
+
+
+def _forest50(df):
+    return ml.fit_model("random_forest", df, numTrees=50)
+
+
+def select_rfe(spark, d, n_select=20, step=RFE_STEP):
+    md = ModelData(spark, d)
+    keep = set(fs.rfe(md.train, md.names, _forest50, n_select, step))
+    return spark.createDataFrame([(i, n, i in keep) for i, n in enumerate(md.names)],
+                                 "position int, feature string, selected boolean")
+
+
+register("select_rfe")(select_rfe)
+
+
+def select_rfecv(spark, d, folds=3, min_features=15, step=RFE_STEP):
+    """Mean held-out AUC of every size on the elimination path of each fold;
+    the best size (ties: fewer features) is then eliminated to on all training rows."""
+    md = ModelData(spark, d, folds=folds)
+    n = len(md.names)
+    scores: dict[int, list[float]] = {}
+    for k in range(folds):
+        tr = md.train.where(F.col("fold") != k)
+        va = materialize(md.train.where(F.col("fold") == k))
+
+        def on_model(keep, model, va=va):
+            s = materialize(ml.scored_frame(model, fs.slice_features(va, keep)))
+            scores.setdefault(len(keep), []).append(mx.roc_auc(s, ml.LABEL, "p1").first()["roc_auc"])
+
+        fs.rfe_path(tr, n, _forest50, min_features, step, on_model=on_model)
+    mean = {size: sum(v) / len(v) for size, v in scores.items()}
+    best = max(mean, key=lambda size: (mean[size], -size))
+    return spark.createDataFrame([(size, mean[size], size == best) for size in sorted(mean)],
+                                 "n_features int, mean_auc double, chosen boolean")
+
+
+register("select_rfecv")(select_rfecv)
+
+
+# I-PERM: AUC drop when one input column is permuted across the hold-out rows
+def importance_permutation(spark, d, seed=7):
+    md = ModelData(spark, d)
+    model = ml.fit_model("random_forest", md.train)
+
+    def auc_of(raw):
+        scored = materialize(ml.scored_frame(model, md.prep.transform(raw).select("id", ml.LABEL, "features")))
+        return mx.roc_auc(scored, ml.LABEL, "p1").first()["roc_auc"]
+
+    raw = md.test_raw
+    # two independent exact ranks of the same rows: row with _r1 = i takes the value of row with _r2 = i
+    ranked = hashed_rank(raw, [], hash_key("id", seed), F.col("id"), rank_col="_r1", size_col=None)
+    ranked = materialize(hashed_rank(ranked, [], hash_key("id", seed + 1), F.col("id"), rank_col="_r2",
+                                     size_col=None))
+    base = auc_of(ranked)
+    rows = []
+    for c in SPEC.cont + [SPEC.cat] + SPEC.bins:
+        donor = ranked.select(F.col("_r2").alias("_r1"), F.col(c).alias("_perm"))
+        permuted = ranked.drop(c).join(donor, "_r1").withColumnRenamed("_perm", c)
+        rows.append((c, base - auc_of(permuted)))
+    return spark.createDataFrame(rows, "feature string, auc_drop double").orderBy(F.desc("auc_drop"), "feature")
+
+
+register("importance_permutation")(importance_permutation)
