@@ -289,12 +289,13 @@ def auto_numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str
             if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in set(exclude)]
 
 
-def derive_auto(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+def derive_auto(df: DataFrame, exclude: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
     """Pairwise products / ratios of the first numeric columns and row statistics.
 
-    Keys and targets belong in ``exclude`` (the reference keeps its id here).
+    Keys and targets belong in ``exclude`` (the reference keeps its id here);
+    ``columns`` fixes the inputs (fitted once, replayed on scoring data).
     """
-    nums = auto_numeric_columns(df, exclude)
+    nums = list(columns) if columns is not None else auto_numeric_columns(df, exclude)
     if len(nums) <= 1:
         return df
     new: dict[str, Column] = {}

@@ -80,3 +80,17 @@ def test_model_save_load_roundtrip(spark, md, tmp_path):
     a = [r["probability"][1] for r in pipe.transform(md.test).orderBy("id").collect()]
     b = [r["probability"][1] for r in again.transform(md.test).orderBy("id").collect()]
     assert all(math.isclose(x, y) for x, y in zip(a, b))
+
+
+def test_auto_classifier_facade(spark):
+    from scorewright.operators.auto import AutoClassifier, evaluate_model
+    from scorewright.operators import features as fx
+    from scorewright.plans.model_queries import SPEC
+    from scorewright.sources.fixtures import account
+    data = fx.derive_scored(account(spark, SF_SMALL))
+    auto = AutoClassifier(SPEC, "labels_planted", models=["logistic_regression", "naive_bayes", "decision_tree"],
+                          top_n=2, feature_engineering=True).fit(data)
+    assert auto.leaderboard(spark).count() == 3
+    pred = auto.predict(data)
+    assert pred.count() == data.count()
+    assert evaluate_model(auto, data, "labels_planted")["roc_auc"] > 0.5
