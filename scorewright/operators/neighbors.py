@@ -42,6 +42,14 @@ def euclid(a, b):
     return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v))
 
 
+@F.pandas_udf(T.DoubleType())
+def pair_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Euclidean distance of paired double arrays, vectorised per Arrow batch."""
+    x = np.stack(a.to_numpy()).astype("float64")
+    y = np.stack(b.to_numpy()).astype("float64")
+    return pd.Series(np.sqrt(((x - y) ** 2).sum(axis=1)))
+
+
 def _pivots(ref: DataFrame, key: str, vec: str, n_pivots: int):
     rows = (ref.select(key, vec).orderBy(hash_key(F.col(key), SEED), key).limit(n_pivots).collect())
     ids = np.array([r[key] for r in rows])
@@ -50,7 +58,8 @@ def _pivots(ref: DataFrame, key: str, vec: str, n_pivots: int):
 
 
 def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str = "v",
-        ref_key: str | None = None, exclude_self: bool = True, n_pivots: int = 32) -> DataFrame:
+        ref_key: str | None = None, exclude_self: bool = True, n_pivots: int = 32,
+        diagnostics: dict | None = None) -> DataFrame:
     """(q_id, n_id, rank, distance) for the k nearest reference rows of every query row.
 
     ``vec`` holds array<double>.  With ``exclude_self`` a row is not its own
@@ -105,9 +114,11 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str =
         F.col("_id").alias("q_id"), F.col("_v").alias("q_v"), F.col("_c.ub").alias("ub"),
         F.explode("_c.cand").alias("_cell"))
     pairs = q.join(r.select(F.col("_id").alias("n_id"), F.col("_v").alias("n_v"), "_cell"), "_cell")
+    if diagnostics is not None:   # candidate pairs after pruning (an extra job; diagnostics only)
+        diagnostics["candidate_pairs"] = pairs.count()
     if exclude_self:
         pairs = pairs.where(F.col("q_id") != F.col("n_id"))
-    pairs = pairs.withColumn("distance", euclid(F.col("q_v"), F.col("n_v"))).where(F.col("distance") <= F.col("ub"))
+    pairs = pairs.withColumn("distance", pair_distance("q_v", "n_v")).where(F.col("distance") <= F.col("ub"))
     w = Window.partitionBy("q_id").orderBy("distance", "n_id")
     return (pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("q_id", "n_id", F.col("rank").cast("int").alias("rank"), "distance"))
