@@ -57,63 +57,84 @@ def _pivots(ref: DataFrame, key: str, vec: str, n_pivots: int):
     return ids, mat
 
 
+def _principal_axes(ref_v: DataFrame, dims: int) -> np.ndarray:
+    """Top principal axes of the reference vectors (d x dims, orthonormal columns).
+
+    Spark ML PCA: a distributed covariance (d x d on the driver; d is the vector
+    width, not the row count)."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector
+    width = len(ref_v.select("_v").first()["_v"])
+    dims = max(1, min(dims, width))
+    model = PCA(k=dims, inputCol="_vv", outputCol="_pz").fit(ref_v.select(array_to_vector("_v").alias("_vv")))
+    return model.pc.toArray()
+
+
 def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str = "v",
-        ref_key: str | None = None, exclude_self: bool = True, n_pivots: int = 32,
-        diagnostics: dict | None = None) -> DataFrame:
+        ref_key: str | None = None, exclude_self: bool = True, n_pivots: int = 256,
+        proj_dims: int = 4, max_cells: int = 4096, diagnostics: dict | None = None) -> DataFrame:
     """(q_id, n_id, rank, distance) for the k nearest reference rows of every query row.
 
     ``vec`` holds array<double>.  With ``exclude_self`` a row is not its own
-    neighbour (same key)."""
+    neighbour (same key).
+
+    Bounds: the upper bound ``ub`` on a query's k-th neighbour distance is its
+    k-th nearest pivot (pivots are reference rows).  Reference rows are binned on
+    a grid in the space of the top ``proj_dims`` principal axes W; since
+    ||W'(q - x)|| <= ||q - x||, the distance from W'q to a cell's bounding box
+    is a lower bound for every row in the cell, and only cells whose bound is
+    <= ub are joined (on cell id) with the query."""
     ref_key = ref_key or key
+    rv = ref.select(F.col(ref_key).alias("_id"), F.col(vec).alias("_v"))
+    qv = query.select(F.col(key).alias("_id"), F.col(vec).alias("_v"))
     piv_ids, piv = _pivots(ref, ref_key, vec, n_pivots)
-    n_piv = len(piv_ids)
+    axes = _principal_axes(rv, proj_dims)
+    m = axes.shape[1]
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def pivot_dist(v: pd.Series) -> pd.Series:
-        x = np.stack(v.to_numpy()).astype("float64")
-        d = np.sqrt(((x[:, None, :] - piv[None, :, :]) ** 2).sum(axis=2))
-        return pd.Series(list(d))
-
-    def with_cells(df, k_col):
-        d = df.select(F.col(k_col).alias("_id"), F.col(vec).alias("_v")).withColumn("_pd", pivot_dist("_v"))
-        cell = F.array_position(F.col("_pd"), F.array_min("_pd")).cast("int") - 1
-        return d.withColumn("_cell", cell).withColumn("_r", F.array_min("_pd"))
-
-    r = with_cells(ref, ref_key)
-    # one row per pivot: radius and size of each cell (bounded by n_pivots)
-    cells = {row["_cell"]: (row["R"], row["n"]) for row in
-             r.groupBy("_cell").agg(F.max("_r").alias("R"), F.count(F.lit(1)).alias("n")).collect()}
-    radius = np.array([cells.get(c, (np.inf, 0))[0] for c in range(n_piv)])
-    size = np.array([cells.get(c, (0.0, 0))[1] for c in range(n_piv)])
+    def project(v: pd.Series) -> pd.Series:
+        return pd.Series(list(np.stack(v.to_numpy()).astype("float64") @ axes))
+
+    rz = rv.withColumn("_z", project("_v"))
+    ext = rz.agg(*[F.min(F.col("_z")[i]).alias(f"lo{i}") for i in range(m)],
+                 *[F.max(F.col("_z")[i]).alias(f"hi{i}") for i in range(m)]).first()
+    lo = np.array([ext[f"lo{i}"] for i in range(m)])
+    hi = np.array([ext[f"hi{i}"] for i in range(m)])
+    g = max(1, int(max_cells ** (1.0 / m)))
+    width = np.where(hi > lo, (hi - lo) / g, 1.0)
+    cell = F.lit(0)
+    for i in range(m):
+        gi = F.least(F.greatest(F.floor((F.col("_z")[i] - F.lit(float(lo[i]))) / F.lit(float(width[i]))),
+                                F.lit(0)), F.lit(g - 1))
+        cell = cell + gi * F.lit(g ** i)
+    rz = rz.withColumn("_cell", cell.cast("int"))
+    # one row per non-empty grid cell (at most max_cells): bounding box of its projected rows
+    boxes = rz.groupBy("_cell").agg(*[F.min(F.col("_z")[i]).alias(f"a{i}") for i in range(m)],
+                                    *[F.max(F.col("_z")[i]).alias(f"b{i}") for i in range(m)]).collect()
+    cell_ids = np.array([r["_cell"] for r in boxes], dtype="int32")
+    box_lo = np.array([[r[f"a{i}"] for i in range(m)] for r in boxes])
+    box_hi = np.array([[r[f"b{i}"] for i in range(m)] for r in boxes])
 
     @F.pandas_udf(T.StructType([T.StructField("ub", T.DoubleType()),
                                 T.StructField("cand", T.ArrayType(T.IntegerType()))]))
-    def candidates(qid: pd.Series, pd_: pd.Series) -> pd.DataFrame:
-        ubs, cands = [], []
-        need = k + (1 if exclude_self else 0)
-        for i, dq in zip(qid.to_numpy(), pd_.to_numpy()):
-            dq = np.asarray(dq, dtype="float64")
-            own = (piv_ids == i) if exclude_self else np.zeros(n_piv, dtype=bool)
-            others = np.sort(dq[~own])
-            ub1 = others[k - 1] if len(others) >= k else np.inf
-            upper = dq + radius
-            order = np.argsort(upper)
-            cum = np.cumsum(size[order])
-            hit = np.searchsorted(cum, need)
-            ub2 = upper[order][hit] if hit < n_piv else np.inf
-            # relaxed by a relative 1e-9: the bound comes from numpy distances, the
-            # final filter from Spark's, which may differ in the last bit
-            ub = float(min(ub1, ub2)) * (1 + 1e-9) + 1e-12
-            lower = dq - radius
-            ok = np.nonzero((lower <= ub) & (size > 0))[0].astype("int32")
-            ubs.append(ub)
-            cands.append(ok)
-        return pd.DataFrame({"ub": ubs, "cand": cands})
-
-    q = with_cells(query, key).withColumn("_c", candidates("_id", "_pd")).select(
+    def candidates(qid: pd.Series, v: pd.Series) -> pd.DataFrame:
+        x = np.stack(v.to_numpy()).astype("float64")
+        dp = np.sqrt(((x[:, None, :] - piv[None, :, :]) ** 2).sum(axis=2))
+        if exclude_self:
+            dp = np.where(piv_ids[None, :] == qid.to_numpy()[:, None], np.inf, dp)
+        kth = np.sort(dp, axis=1)[:, k - 1] if dp.shape[1] >= k else np.full(len(x), np.inf)
+        # relaxed by a relative 1e-9: numpy and Spark distances may differ in the last bit
+        ub = kth * (1 + 1e-9) + 1e-12
+        z = x @ axes
+        gap = np.maximum(0.0, np.maximum(box_lo[None, :, :] - z[:, None, :], z[:, None, :] - box_hi[None, :, :]))
+        lb = np.sqrt((gap ** 2).sum(axis=2))
+        cands = [cell_ids[row <= u] for row, u in zip(lb, ub)]
+        return pd.DataFrame({"ub": ub, "cand": cands})
+
+    q = qv.withColumn("_c", candidates("_id", "_v")).select(
         F.col("_id").alias("q_id"), F.col("_v").alias("q_v"), F.col("_c.ub").alias("ub"),
         F.explode("_c.cand").alias("_cell"))
-    pairs = q.join(r.select(F.col("_id").alias("n_id"), F.col("_v").alias("n_v"), "_cell"), "_cell")
+    pairs = q.join(rz.select(F.col("_id").alias("n_id"), F.col("_v").alias("n_v"), "_cell"), "_cell")
     if diagnostics is not None:   # candidate pairs after pruning (an extra job; diagnostics only)
         diagnostics["candidate_pairs"] = pairs.count()
     if exclude_self:
