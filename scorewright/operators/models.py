@@ -30,6 +30,18 @@ from . import prepare as pr
 
 SEED = 42
 LABEL = "label"
+PARALLELISM = 4
+
+
+def par_map(fn, items, parallelism: int = PARALLELISM):
+    """Run independent fits concurrently from driver threads (as
+    ``CrossValidator(parallelism=...)`` does); results keep the input order."""
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(fn, items))
 
 
 # ------------------------------------------------------------- preparation
@@ -168,10 +180,10 @@ def fit_adaboost(train: DataFrame, n_estimators: int = 50, learning_rate: float
         alpha = learning_rate * math.log((1 - err) / err)
         stumps.append(stump)
         alphas.append(alpha)
-        w = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss"))) \
+        # new total = correct weight + missed weight * e^alpha, known from the same aggregate
+        total = (r["t"] - (r["e"] or 0.0)) + (r["e"] or 0.0) * math.exp(alpha)
+        w = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss")) / F.lit(total)) \
             .drop("_miss", "prediction", "rawPrediction", "probability")
-        total = w.agg(F.sum("_w")).first()[0]
-        w = w.withColumn("_w", F.col("_w") / F.lit(total))
         if (m + 1) % checkpoint_every == 0:
             w = materialize(w)   # reliable checkpoint: bounded lineage, survives executor loss
     return AdaBoost(stumps, alphas)
@@ -250,17 +262,18 @@ def evaluate(scored: DataFrame) -> dict:
             "roc_auc": auc, "average_precision": ap}
 
 
-def cv_scores(name: str, data: DataFrame, folds: int, fold_col: str = "fold", **params) -> list[dict]:
-    """One fit per fold; every metric from the same held-out scored frame."""
-    out = []
-    for k in range(folds):
-        tr = data.where(F.col(fold_col) != k)
-        va = data.where(F.col(fold_col) == k)
-        model = fit_model(name, tr, **params)
-        res = evaluate(scored_frame(model, va))
-        res["fold"] = k
-        out.append(res)
-    return out
+def _fold_score(name, data, k, fold_col, params):
+    model = fit_model(name, data.where(F.col(fold_col) != k), **params)
+    res = evaluate(scored_frame(model, data.where(F.col(fold_col) == k)))
+    res["fold"] = k
+    return res
+
+
+def cv_scores(name: str, data: DataFrame, folds: int, fold_col: str = "fold", parallelism: int = PARALLELISM,
+              **params) -> list[dict]:
+    """One fit per fold (folds fitted concurrently); every metric from the same
+    held-out scored frame."""
+    return par_map(lambda k: _fold_score(name, data, k, fold_col, params), range(folds), parallelism)
 
 
 # ---------------------------------------------------------------- tuning
@@ -271,11 +284,16 @@ def grid(space: dict) -> list[dict]:
     return combos
 
 
-def search(name: str, data: DataFrame, combos: Sequence[dict], folds: int, fold_col: str = "fold") -> list[dict]:
-    """Mean CV AUC for every parameter combination (grid or seeded random sample)."""
+def search(name: str, data: DataFrame, combos: Sequence[dict], folds: int, fold_col: str = "fold",
+           parallelism: int = PARALLELISM) -> list[dict]:
+    """Mean CV AUC for every parameter combination (grid or seeded random sample);
+    all (candidate, fold) fits run concurrently."""
+    combos = list(combos)
+    tasks = [(i, k) for i in range(len(combos)) for k in range(folds)]
+    res = par_map(lambda t: _fold_score(name, data, t[1], fold_col, combos[t[0]])["roc_auc"], tasks, parallelism)
     rows = []
     for i, params in enumerate(combos):
-        scores = [r["roc_auc"] for r in cv_scores(name, data, folds, fold_col, **params)]
+        scores = [r for (ci, _k), r in zip(tasks, res) if ci == i]
         mean = sum(scores) / len(scores)
         std = math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores))
         rows.append({"candidate": i, "params": ", ".join(f"{k}={v}" for k, v in params.items()),

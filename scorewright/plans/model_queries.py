@@ -63,13 +63,24 @@ for _key, _name in [("model_random_forest", "random_forest"), ("model_extra_tree
 def leaderboard(spark, d, models=ml.LEADERBOARD_MODELS, cv_folds=3):
     """E-SEL / E-SUM / E-BEST: fit each model, test metrics and 3-fold CV AUC,
     ranked by test ROC-AUC (name breaks ties)."""
-    md = ModelData(spark, d, folds=cv_folds)
-    rows, fitted = [], {}
+    md = ModelData(spark, d, folds=cv_folds or 3)
+
+    # every (model, fold) fit and every full fit is an independent task, run concurrently
+    tasks = [(name, None) for name in models] + [(name, k) for name in models for k in range(cv_folds or 0)]
+
+    def one(task):
+        name, k = task
+        if k is None:
+            model = ml.fit_model(name, md.train)
+            return model, ml.evaluate(ml.scored_frame(model, md.test))
+        return None, ml._fold_score(name, md.train, k, "fold", {})
+
+    done = dict(zip(tasks, ml.par_map(one, tasks)))
+    fitted, rows = {}, []
     for name in models:
-        model = ml.fit_model(name, md.train)
+        model, res = done[(name, None)]
         fitted[name] = model
-        res = ml.evaluate(ml.scored_frame(model, md.test))
-        cv = [r["roc_auc"] for r in ml.cv_scores(name, md.train, cv_folds)] if cv_folds else []
+        cv = [done[(name, k)][1]["roc_auc"] for k in range(cv_folds or 0)]
         rows.append((name, res["accuracy"], res["f1"], res["roc_auc"], sum(cv) / len(cv) if cv else None))
     df = spark.createDataFrame(rows, "model string, accuracy double, f1 double, roc_auc double, cv_score double")
     return df.orderBy(F.desc("roc_auc"), F.asc("model")), fitted, md
