@@ -13,6 +13,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# "parquet" (default): columnar table in the checkpoint folder; "checkpoint": DataFrame.checkpoint()
+MATERIALIZE_KEY = "spark.scorewright.materialize"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "scorewright") -> SparkSession:
@@ -53,13 +55,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+    """Write ``df`` once as a parquet table in the shared checkpoint folder and
+    read it back.
 
     For multi-pass work (fit statistics, then apply; several metric passes) the
     source plan - here joins over the fact tables - runs once instead of once per
-    pass, and the lineage is cut, so a lost executor re-reads the checkpoint
-    instead of recomputing the joins.  Never ``localCheckpoint``: its blocks die
-    with the executor.
+    pass.  The lineage is cut: a lost executor re-reads the table instead of
+    recomputing the joins.  Parquet rather than ``DataFrame.checkpoint()``: later
+    passes read only the columns they use (pruning and pushdown work on it).
+    Never ``localCheckpoint``: its blocks die with the executor.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+
+    spark = df.sparkSession
+    if spark.conf.get(MATERIALIZE_KEY, "parquet") == "checkpoint":
+        ensure_checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
