@@ -77,12 +77,20 @@ def safe_div(a, b) -> Column:
 
 
 def row_stats(cols: Iterable[str]) -> dict[str, Column]:
-    """Row-wise sum / mean / sample std over ``cols``, skipping NULLs (pandas axis=1)."""
-    arr = F.filter(F.array(*[F.col(c).cast("double") for c in cols]), lambda v: v.isNotNull())
-    n = F.size(arr)
-    total = F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v)
+    """Row-wise sum / mean / sample std over ``cols``, skipping NULLs (pandas axis=1).
+
+    Plain column arithmetic (no arrays or lambdas), so it stays inside whole-stage
+    codegen; values are summed in column order."""
+    xs = [F.col(c).cast("double") for c in cols]
+    total = F.lit(0.0)
+    n = F.lit(0)
+    for x in xs:
+        total = total + F.coalesce(x, F.lit(0.0))
+        n = n + x.isNotNull().cast("int")
     mean = F.when(n > 0, total / n)
-    sq = F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
+    sq = F.lit(0.0)
+    for x in xs:
+        sq = sq + F.when(x.isNotNull(), (x - mean) * (x - mean)).otherwise(F.lit(0.0))
     std = F.when(n > 1, F.sqrt(sq / (n - 1)))
     return {"sum": total, "mean": mean, "std": std}
 
