@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as fx
+from ..operators import profile as pf
 from ..sources.fixtures import account, account_m
 from .oracle_fixtures import with_fixtures
 from .registry import register
@@ -20,13 +21,15 @@ def _num(x) -> str:
 def category_summary(spark, sf_dir):
     acc = account_m(spark, sf_dir)
     feats = fx.derive_base(acc, fx.fit_base(acc))
-    return feats.groupBy("category_code").agg(
+    summary = feats.groupBy("category_code").agg(
         F.count(F.lit(1)).alias("n_accounts"),
         F.avg("labels").alias("success_rate"),
-        F.median("funding_total_usd").alias("funding_median"),
         F.avg("funding_per_round").alias("avg_funding_per_round"),
         F.sum("is_high_funding").cast("bigint").alias("n_high_funding"),
     )
+    # exact per-category median without a per-group value map (one row per category)
+    medians = pf.grouped_quantile(acc, "category_code", "funding_total_usd", 0.5, "funding_median")
+    return summary.join(medians, "category_code", "left")
 
 
 register("category_summary", doubles=("success_rate", "funding_median", "avg_funding_per_round"),

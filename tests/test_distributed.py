@@ -71,3 +71,13 @@ def test_grid_f1_equals_brute_force(spark):
         tp = sum(1 for r in rows if r["score"] > t and r["label"] == 1)
         fp = sum(1 for r in rows if r["score"] > t and r["label"] == 0)
         assert (got[t]["tp"], got[t]["fp"]) == (tp, fp)
+
+
+def test_grouped_quantile_banded_equals_direct(spark):
+    from scorewright.operators.profile import grouped_quantile
+    li = table(spark, SF_MID, "lineitem")
+    got = {r["l_returnflag"]: r["q"] for r in
+           grouped_quantile(li, "l_returnflag", "l_extendedprice", 0.5, direct_distinct=0, band_rows=200).collect()}
+    ref = {r["l_returnflag"]: r["m"] for r in
+           li.groupBy("l_returnflag").agg(F.median("l_extendedprice").alias("m")).collect()}
+    assert got == ref
