@@ -22,7 +22,9 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,20 +34,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .util import BoundedCache
 
 WINDOW = 2048
 GROUP = 50_000          # pieces packed together
 CACHED_WORDS = 400_000
+WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 class Encoder:
     """Token ids of whole texts as little-endian uint32 bytes.
 
     A space that stands between two other characters begins a pre-token of the
-    byte-level pattern, so the parts of a text without double spaces are encoded
-    apart, and the ids of frequent parts come from a bounded cache.  Other texts go
-    to the library whole.
+    byte-level pattern, and so does a stop after a letter.  So the words of a text
+    without double spaces are encoded apart, those that are new as one batch, and the
+    ids of frequent words come from a bounded cache.  Other texts go to the library
+    whole.
     """
 
     def __init__(self, path: str):
@@ -55,18 +58,37 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.later = BoundedCache(lambda w: self._ids(" " + w), CACHED_WORDS)
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.stops = {c: self._ids([c])[0] for c in ".,;:!?"}
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: set[str]):
+        """Put the words, which the young cache lacks, into it."""
+        young, old = self.young, self.old
+        stopped = {w for w in words if w[-1:] in self.stops and WORD.fullmatch(w, 0, len(w) - 1)}
+        plain = (words - stopped) | {w[:-1] for w in stopped}.difference(young)
+        new = [w for w in plain if w not in old]
+        young.update({w: old[w] for w in plain.intersection(old)} if len(new) < len(plain) else {})
+        young.update(zip(new, self._ids([" " + w for w in new])))
+        for w in stopped:
+            young[w] = young[w[:-1]] + self.stops[w[-1]]
 
     def __call__(self, text: str) -> bytes:
         if "  " in text:
-            return self._ids(text)
-        first, *rest = text.split(" ")
-        out = self._ids(first) + b"".join(map(self.later.__getitem__, rest))
-        self.later.trim()
-        return out
+            return self._ids([text])[0]
+        first, *words = text.split(" ")
+        found = list(map(self.young.get, words))
+        if None in found:
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            self._learn({words[i] for i in missing})
+            for i in missing:
+                found[i] = self.young[words[i]]
+        if len(self.young) > CACHED_WORDS:
+            self.old, self.young = self.young, {}
+        return self._ids([first])[0] + b"".join(found)
 
 
 _encoders: dict[str, Encoder] = {}

@@ -67,12 +67,19 @@ class PrefixCounter:
             raise ValueError("a piece has a character that is no piece")
         self.whole = BoundedCache(lambda i: self._encode(self.pieces[i]) == [i], 1 << 30)
         self.agree = BoundedCache(lambda ab: self._encode(self.pieces[ab[0]] + self.pieces[ab[1]]) == [*ab], CACHED_PAIRS)
-        self.totals = BoundedCache(lambda w: self.prefixes(MARK + w)[-1], CACHED_WORDS)
+        # stops that no entry joins with a letter or digit, so they are counted apart from the word before them
+        self.stops = {c for c in ".,;:!?" if not any(c in p and any(x.isalnum() for x in p) for p in self.ids)}
+        self.totals = BoundedCache(self._total, CACHED_WORDS)
         self.chunks = BoundedCache(lambda c: self.prefixes(c)[-1], CACHED_WORDS)
 
     def _encode(self, text: str) -> list[int]:
         return self.sp.encode(BARRIER + text.replace(MARK, " "))[2:]
 
+    def _total(self, word: str) -> int:
+        if word[-1:] in self.stops and word[-2:-1].isalnum():
+            return self.totals[word[:-1]] + self.prefixes(word[-1])[-1]
+        return self.prefixes(MARK + word)[-1]
+
     def prefixes(self, chunk: str) -> list[int]:
         """Token counts of all prefixes of a word with its marks, the empty one first."""
         n, done = len(chunk), 0
