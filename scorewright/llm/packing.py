@@ -37,7 +37,7 @@ from ..session import materialize
 
 WINDOW = 2048
 GROUP = 50_000          # pieces packed together
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000  # of either generation
 WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
@@ -48,16 +48,20 @@ class Encoder:
     byte-level pattern, and so does a stop after a letter.  So the words of a text
     without double spaces are encoded apart, those that are new as one batch, and the
     ids of frequent words come from a bounded cache.  Other texts go to the library
-    whole.
+    whole.  A word of plain letters is one pre-token, so it can go straight to the
+    library's BPE model in the byte-level alphabet.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {ord(c): alphabet.pre_tokenize_str(c)[0][0] for c in map(chr, range(32, 256)) if c == " " or WORD.fullmatch(c)}
+        self.model = self.tokenizer.model
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.stops = {c: self._ids([c])[0] for c in ".,;:!?"}
@@ -71,8 +75,14 @@ class Encoder:
         stopped = {w for w in words if w[-1:] in self.stops and WORD.fullmatch(w, 0, len(w) - 1)}
         plain = (words - stopped) | {w[:-1] for w in stopped}.difference(young)
         new = [w for w in plain if w not in old]
-        young.update({w: old[w] for w in plain.intersection(old)} if len(new) < len(plain) else {})
-        young.update(zip(new, self._ids([" " + w for w in new])))
+        young.update({w: old[w] for w in plain if w in old})
+        odd = []
+        for w in new:
+            if WORD.fullmatch(w):
+                young[w] = array("I", [t.id for t in self.model.tokenize((" " + w).translate(self.bytes))]).tobytes()
+            else:
+                odd.append(w)
+        young.update(zip(odd, self._ids([" " + w for w in odd])))
         for w in stopped:
             young[w] = young[w[:-1]] + self.stops[w[-1]]
 
