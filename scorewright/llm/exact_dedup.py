@@ -54,9 +54,10 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     rows = materialize(rows)
 
     best = F.max_by("id", F.struct("chars", F.col("id").isNotNull(), -F.col("id")))
-    classes = (rows.where("full is not null").groupBy("full")
-               .agg(F.count("*").alias("group_size"), best.alias("keep_id")).where("group_size > 1"))
-    out = rows.join(classes, "full", "left")
+    hashed = rows.where("full is not null")  # the others are alone and meet nothing
+    classes = hashed.groupBy("full").agg(F.count("*").alias("group_size"), best.alias("keep_id")).where("group_size > 1")
+    out = hashed.join(classes, "full", "left").unionByName(
+        rows.where("full is null"), allowMissingColumns=True)
     alone = F.col("group_size").isNull()
     return out.select(
         F.col("id").alias(id_col),
