@@ -68,6 +68,6 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of which no better copy stays, with all their columns."""
-    gone = exact_dedup(df, id_col, text_col).where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    return df.join(gone, df[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    """The rows of which no better copy stays, with all their columns (rows without an id stay)."""
+    gone = exact_dedup(df, id_col, text_col).where("not kept").select(F.col(id_col).alias("_gone")).where("_gone is not null").distinct()
+    return df.join(gone, df[id_col] == gone["_gone"], "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, quality, token_counts, url_filter
+from . import exact_dedup, near_dup, packing, quality, token_counts, url_filter
 from .util import read
 
 QUERIES = {}
@@ -110,6 +110,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op4_near_duplicates")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = """
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
     sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256 FROM documents),
