@@ -14,16 +14,16 @@ HashingTF and IDF do, so the table that tasks need has a fixed size.
 2. One pass draws ``BANDS * ROWS`` weighted samples a text.  The draw's parameters
    come from the shingle's hash through quantile tables, in numpy, a slice of a batch
    at a time.  Texts with the same words are one text from here on.
-3. Texts that agree on all samples of a band are candidates (0.9998 of the pairs at
-   0.8).  A group of candidates is compared with hubs, not pairwise: each round takes
-   from every group that still holds several components one hub (then four, then
-   sixteen for each ...), the texts that meet most others, and links what is similar
-   to a hub.  A hub that was compared with its whole group leaves it.  When the pairs
-   that are left in all groups are few (a small multiple of the rows), they are all
-   compared.  So every candidate pair is either compared or already in one component,
-   no link between different texts is lost and no group is expanded into its pairs.
-4. A candidate pair goes to the exact comparison when half of all samples agree (at
-   0.8 a pair fails this about once in 10^5).  The comparison reads both whole texts.
+3. Texts that agree on all samples of a band are a group of candidates (0.9998 of the
+   pairs at 0.8 are in one).  Groups with the same members are one.  A group is cut
+   into blocks of about ``BLOCK`` texts by a hash; each block and the group's first one
+   make a unit, and a task compares a unit's whole texts by matrix products and
+   returns a spanning forest of its links, never its pairs.  After that, two further
+   blocks of a group meet only where they do not lie in one component yet.  So every
+   candidate pair is compared or already in one component, and no link between
+   different texts is lost.  A group whose texts are alike costs in proportion to its
+   texts; one of many texts that are near 0.8 but not linked costs its square, divided
+   by ``BLOCK``, in texts sent to tasks.
 
 Of a class the smallest id stays.  Null texts count as empty; texts without words are
 one class.  Rows with the same words share a class, also rows that repeat an id.  A
@@ -53,8 +53,8 @@ FEATURES = 1 << 20          # hashed features of document frequencies: 4 MB in e
 SEGMENTS = 256
 SLICE = 512 << 10           # bytes of text that are sampled at once
 SMOOTH = 0.5
-AGREE = 0.5
-FEW_PAIRS = 4               # pairs for each member of a group that are compared without hubs
+BLOCK = 96                  # texts of a candidate group that meet at once
+COLUMNS = 8192              # common elements of a matrix product
 
 _U = np.uint64
 _CELLS = 4096
@@ -72,22 +72,29 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return gamma.astype(np.float32), np.log(gamma).astype(np.float32), q.astype(np.float32)
 
 
-def shingles(w: W.Words, rows: int, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, hash and count of each row's distinct shingles, ordered by row and hash."""
+_ROW_BITS = _U(20)  # a slice has fewer rows than that
+
+
+def packed_shingles(w: W.Words, rows: int, n: int = SHINGLE) -> np.ndarray:
+    """A sorted key for each shingle: its row above 44 bits of its hash."""
     at, h = W.ngrams(w, n)
     row = w.row[at]
     size = np.bincount(w.row, minlength=rows)
-    begin = np.concatenate([[0], np.cumsum(size)])
     short = np.flatnonzero((size > 0) & (size < n))
     if len(short):
+        begin = np.concatenate([[0], np.cumsum(size)])
         extra = np.array([W.ngram_hash(w.hash, begin[i:i + 1], int(size[i]))[0] for i in short], np.uint64)
-        row, h = np.concatenate([row, short]), np.concatenate([h, extra + _U(1)])
-    if not len(h):
-        return row, h, np.zeros(0, np.int64)
-    order = np.lexsort((h, row))
-    row, h = row[order], h[order]
-    first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])]))
-    return row[first], h[first], np.diff(np.concatenate([first, [len(h)]]))
+        row, h = np.concatenate([row, short]), np.concatenate([h, extra])
+    return np.sort((row.astype(np.uint64) << (_U(64) - _ROW_BITS)) | (h >> _ROW_BITS))
+
+
+def shingles(w: W.Words, rows: int, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hash and count of each row's distinct shingles, ordered by row and hash."""
+    key = packed_shingles(w, rows, n)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    count = np.diff(np.concatenate([first, [len(key)]]))
+    key = key[first]
+    return (key >> (_U(64) - _ROW_BITS)).astype(np.int64), key << _ROW_BITS, count
 
 
 def feature(h: np.ndarray, features: int) -> np.ndarray:
@@ -147,9 +154,10 @@ def document_frequencies(docs: DataFrame, features: int = FEATURES) -> tuple[np.
         for batch in batches:
             offsets, data = utf8(batch.column(0))
             for lo, hi in slices(offsets, 4 * SLICE):
-                row, h, _ = shingles(W.split(data, offsets[lo:hi + 1]), hi - lo)
-                f = np.unique(row * features + feature(h, features)) % features
-                total += np.bincount(f, minlength=features)
+                key = packed_shingles(W.split(data, offsets[lo:hi + 1]), hi - lo)
+                f = np.sort((key >> (_U(64) - _ROW_BITS)).astype(np.int64) * features + feature(key << _ROW_BITS, features))
+                f = f[np.concatenate([[True], f[1:] != f[:-1]])] if len(f) else f
+                total += np.bincount(f % features, minlength=features)
             n += batch.num_rows
         if n:
             yield emit({i: total[i * per:(i + 1) * per] for i in range(features // per)} | {-1: np.array([n])})
@@ -188,8 +196,8 @@ def inverse_frequency(counts: np.ndarray, n_rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, key, bands, sample) of each row; ``key`` stands for the text's words, and
-    ``bands`` and ``sample`` are null without words.  ``idf`` is a broadcast of weights."""
+    """(id, key, bands) of each row; ``key`` stands for the text's words, and ``bands``
+    is null without words.  ``idf`` is a broadcast of weights."""
     n, id_type = bands * rows, docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,51 +216,106 @@ def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> Da
                 of, sig = samples(row, h, weight[feature(h, len(weight))] * tf, n)
                 band, place = band_keys(sig, bands, rows).view(np.int64), {int(r): i for i, r in enumerate(of)}
                 at = [place.get(first[k]) for k in key]
-                small = (sig >> _U(32)).astype("<u4")
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[lo:hi], pa.array(key, pa.binary()),
-                     pa.array([None if i is None else band[i].tolist() for i in at], pa.list_(pa.int64())),
-                     pa.array([None if i is None else small[i].tobytes() for i in at], pa.binary())],
-                    ["id", "key", "bands", "sample"])
+                     pa.array([None if i is None else band[i].tolist() for i in at], pa.list_(pa.int64()))],
+                    ["id", "key", "bands"])
 
-    return docs.select("id", "text").mapInArrow(run, f"id {id_type}, key binary, bands array<bigint>, sample binary")
+    return docs.select("id", "text").mapInArrow(run, f"id {id_type}, key binary, bands array<bigint>")
 
 
 def _vector(text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Elements and weights of a text: a shingle that occurs k times is k elements, so
+    the weighted Jaccard similarity is that of the two sets of elements."""
     offsets, data = utf8(pa.array([text], pa.string()))
     _, h, tf = shingles(W.split(data, offsets), 1)
-    return h, tf * idf[feature(h, len(idf))]
+    weight = idf[feature(h, len(idf))]
+    if len(tf) and tf.max() > 1:
+        again = np.arange(tf.sum()) - np.repeat(np.cumsum(tf) - tf, tf)
+        h, weight = np.repeat(h, tf), np.repeat(weight, tf)
+        h = np.where(again > 0, mix64(h + again.astype(np.uint64)), h)
+    return h, weight
+
+
+def similarities(vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Weighted Jaccard similarity of each two vectors, by matrix products over common elements."""
+    k = len(vectors)
+    of = np.repeat(np.arange(k), [len(v[0]) for v in vectors])
+    h, weight = np.concatenate([v[0] for v in vectors]), np.concatenate([v[1] for v in vectors])
+    total = np.bincount(of, weight, k)
+    _, at, number, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+    shared = count > 1
+    column = np.cumsum(shared) - 1
+    pick = shared[number]
+    of, number, root = of[pick], column[number[pick]], np.sqrt(weight[at[shared]])
+    common, order = np.zeros((k, k)), np.argsort(number, kind="stable")
+    of, number = of[order], number[order]
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(number, [lo, lo + COLUMNS])
+        block = np.zeros((k, COLUMNS), np.float32)
+        block[of[a:b], number[a:b] - lo] = root[number[a:b]]
+        common += block @ block.T
+    return common / np.maximum(total[:, None] + total[None, :] - common, 1e-300)
 
 
 def weighted_jaccard(x: tuple, y: tuple) -> float:
-    common, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
-    low = float(np.minimum(x[1][i], y[1][j]).sum())
+    common, i, _ = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
+    low = float(x[1][i].sum())
     return low / max(float(x[1].sum() + y[1].sum()) - low, 1e-300)
 
 
-def similar(pairs: DataFrame, sig: DataFrame, texts: DataFrame, idf, threshold: float, n: int) -> DataFrame:
-    """Those (x, y) of ``pairs`` whose texts are similar."""
-    def near(batches):
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, n) for c in ("sx", "sy"))
-            yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= AGREE * n))
+def _forest(similar: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join what ``similar`` joins, one fewer than each component has nodes."""
+    seen, out = np.zeros(len(similar), bool), []
+    for root in range(len(similar)):
+        stack = [] if seen[root] else [root]
+        seen[root] = True
+        while stack:
+            i = stack.pop()
+            new = np.flatnonzero(similar[i] & ~seen)
+            seen[new] = True
+            out += [(i, int(j)) for j in new]
+            stack += new.tolist()
+    return out
 
-    def exact(batches):
-        last: list = [None, None]
-        for batch in batches:
-            keep = []
-            for tx, y, ty in zip(batch.column("tx"), batch.column("y").to_pylist(), batch.column("ty")):
-                if last[0] != y:  # rows come ordered by y
-                    last = [y, _vector(ty.as_py(), idf.value)]
-                keep.append(weighted_jaccard(_vector(tx.as_py(), idf.value), last[1]) >= threshold - 1e-9)
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("x", "y"))
-    samples_of = lambda c: sig.select(F.col("rep").alias(c), F.col("sample").alias("s" + c))
-    maybe = materialize(pairs.join(samples_of("x"), "x").join(samples_of("y"), "y").select("x", "y", "sx", "sy").mapInArrow(near, schema))
-    text_of = lambda c: texts.select(F.col("rep").alias(c), F.col("text").alias("t" + c))
-    both = maybe.join(text_of("x"), "x").join(text_of("y"), "y").select("x", "y", "tx", "ty")
-    return both.mapInArrow(exact, schema)
+def compare(units: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links (x, y) between the similar texts of each unit; ``units`` has unit and rep."""
+    kind = units.schema["rep"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
+
+        def links(reps: list, texts: list) -> list[tuple]:
+            vectors = []
+            for rep, text in zip(reps, texts):
+                if rep not in known:
+                    if len(known) > 2000:
+                        known.clear()
+                    known[rep] = _vector(text, idf.value)
+                vectors.append(known[rep])
+            return [(reps[i], reps[j]) for i, j in _forest(similarities(vectors) >= threshold - 1e-6)]
+
+        unit, reps, own = None, [], []
+        for batch in batches:
+            out = []
+            for u, rep, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if u != unit:
+                    out += links(reps, own) if len(reps) > 1 else []
+                    unit, reps, own = u, [], []
+                reps.append(rep)
+                own.append(text)
+            yield link_rows(out)
+        yield link_rows(links(reps, own) if len(reps) > 1 else [])
+
+    def link_rows(found: list[tuple]) -> pa.RecordBatch:
+        x, y = zip(*found) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["x", "y"])
+
+    with_text = units.join(texts, "rep").select("unit", F.col("rep").cast("long").alias("rep"), "text")
+    dealt = with_text.repartition("unit").sortWithinPartitions("unit", "rep")
+    out = dealt.mapInArrow(run, "x long, y long")
+    return out.select(F.col("x").cast(kind).alias("x"), F.col("y").cast(kind).alias("y"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -282,13 +345,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     counts, n_rows = document_frequencies(docs, features)
     idf = spark.sparkContext.broadcast(inverse_frequency(counts, n_rows))
     signed = materialize(signatures(docs, idf, bands, rows))
-    reps = materialize(signed.groupBy("key").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("sample").alias("sample")))
+    reps = materialize(signed.groupBy("key").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")))
 
     member = reps.where("rep is not null and bands is not null").select("rep", F.explode("bands").alias("b"))
     shared = member.groupBy("b").agg(F.count("*").alias("n")).where("n > 1")
     member = materialize(member.join(shared, "b"))
-    met = member.groupBy("rep").agg(F.sum("n").alias("met"))
-    member = materialize(member.join(met, "rep").select("rep", "b", "met"))
     nodes = member.select("rep").distinct()
 
     # the texts that are compared, taken from their scan by a Bloom filter before they are shuffled
@@ -296,39 +357,27 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     wanted = bloom.test(bloom.build(nodes, "rep", n_bits), F.col("id"), n_bits)
     texts = materialize(docs.where(wanted).join(nodes, F.col("id") == F.col("rep"), "left_semi")
                         .select(F.col("id").alias("rep"), "text").dropDuplicates(["rep"]))
-    sig = materialize(reps.join(nodes, "rep", "left_semi").select("rep", "sample"))
 
-    links = tested = label = None
-    hubs_each = 1
-    while True:
-        grouped = member if label is None else member.join(label, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        if label is None:
-            grouped = grouped.withColumn("comp", F.col("rep"))
-        sizes = grouped.groupBy("b", "comp").agg(F.count("*").alias("k")).groupBy("b").agg(
-            F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("same"))
-        left = sizes.where("n * n > same")
-        grouped = materialize(grouped.join(left.select("b"), "b"))
-        open_pairs, n_members = left.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0, grouped.count()
-        if not open_pairs:
-            break
-        x, y = grouped.select("b", F.col("rep").alias("x"), F.col("comp").alias("cx")), grouped.select("b", F.col("rep").alias("y"), F.col("comp").alias("cy"))
-        last = open_pairs <= FEW_PAIRS * n_members
-        if last:
-            pairs = x.join(y, "b").where("x < y and cx <> cy")
-        else:
-            slot = F.pmod(F.xxhash64("rep", F.lit(hubs_each)), F.lit(hubs_each))
-            hubs = materialize(grouped.groupBy("b", slot.alias("slot")).agg(F.max_by("rep", F.struct("met", "rep")).alias("y")).select("b", "y"))
-            pairs = x.join(hubs.join(y, ["b", "y"]), "b").where("x <> y and cx <> cy")
-            member = materialize(grouped.select("rep", "b", "met").join(hubs.withColumnRenamed("y", "rep"), ["b", "rep"], "left_anti"))
-            hubs_each *= 4
-        pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        pairs = materialize(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"))
-        found = materialize(similar(pairs, sig, texts, idf, threshold, bands * rows))
-        links = found if links is None else links.unionByName(found)
-        label = components(links)
-        if last:
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
+    # groups with the same members are compared once
+    same = member.groupBy("b").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("h2"))
+    groups = same.groupBy("n", "h1", "h2").agg(F.min("b").alias("b")).select("b", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    member = materialize(member.select("rep", "b").join(groups, "b").withColumn("block", F.pmod(F.xxhash64("b", "rep"), "blocks").cast("int")))
+
+    # a group of one block is a unit; of a larger one, each block meets the first block
+    met = F.when(F.col("blocks") == 1, F.array(F.lit(0))).when(F.col("block") == 0, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array("block"))
+    units = member.select("b", "rep", F.explode(met).alias("i")).select(F.xxhash64("b", "i").alias("unit"), "rep")
+    links = materialize(compare(units, texts, idf, threshold))
+    label = components(links)
+
+    # other two blocks of a group meet if they do not yet lie in one component
+    large = member.where("blocks > 2 and block > 0").join(label, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    ends = materialize(large.groupBy("b", "block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")))
+    other = ends.select("b", F.col("block").alias("block2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    open_blocks = materialize(ends.join(other, "b").where("block < block2 and not (lo = hi and lo2 = hi2 and lo = lo2)").select("b", "block", "block2"))
+    if open_blocks.limit(1).count():
+        meets = open_blocks.select("b", F.explode(F.array("block", "block2")).alias("block"), F.xxhash64("b", "block", "block2").alias("unit"))
+        more = compare(large.select("b", "block", "rep").join(meets, ["b", "block"]).select("unit", "rep"), texts, idf, threshold)
+        label = components(links.unionByName(materialize(more)))
 
     out = reps.select("key", "rep")
     out = out.withColumn("comp", F.col("rep")) if label is None else out.join(label, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
