@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dup, packing, quality, token_counts, url_filter
+from . import exact_dedup, near_dup, packing, quality, secret_scan, token_counts, url_filter
 from .util import read
 
 QUERIES = {}
@@ -131,3 +131,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@query("op8_secrets")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(read(spark, sf_dir, "documents"))
