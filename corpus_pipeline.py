@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorewright.llm import exact_dedup, packing, quality
-from scorewright.llm.queries import tokenizer
+from scorewright.llm import exact_dedup, mixing, near_dup, packing, quality
+from scorewright.llm.queries import MIX_BUDGET, tokenizer
 from scorewright.llm.util import read
 from scorewright.session import materialize
 
@@ -26,6 +26,14 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.keep_first(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.keep_one(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.keep_mixed(docs, MIX_BUDGET)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"))
 
@@ -33,6 +41,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact_duplicates),
+    ("near_dedup", near_duplicates),
+    ("mixing", mix),
     ("packing", pack),
 ]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dup, packing, quality, secret_scan, token_counts, url_filter
+from . import exact_dedup, mixing, near_dup, packing, quality, secret_scan, token_counts, toxicity, url_filter, warc
 from .util import read
 
 QUERIES = {}
@@ -136,3 +136,23 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_secrets")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(read(spark, sf_dir, "documents"))
+
+
+@query("op7_warc_derivatives")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.derive(warc.responses(read(spark, sf_dir, "pages")))
+    return out.select("page_id", "kind", "record_id", "refers_to", "target_uri", "date", "content_type", "block_digest", "source_digest",
+                      F.length("block").cast("long").alias("block_bytes"), F.sha2("record", 256).alias("record_sha256"))
+
+
+MIX_BUDGET = 0.8        # of all tokens
+
+
+@query("op9_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), MIX_BUDGET)
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
