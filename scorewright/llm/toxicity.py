@@ -1,7 +1,8 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, and context windows.
 
 The lexicon is learned from labelled rows: words, and stems of four to six letters, that
-toxic documents hold many times as often as others.  Its trie and the automata of one
+toxic documents hold many times as often as others, each of which explains some that
+stronger ones leave.  Its trie and the automata of one
 edit run as one: a state is a set of (trie node, edits so far), and states and their
 transitions are kept once computed, so a word costs a look-up a letter and most words
 end in the dead state after three or four.  Stems match words that begin with them and
@@ -11,8 +12,9 @@ Each hit carries its context: quoted if it lies between quotation marks, or if a
 reporting or rejecting stands in the window of ``WINDOW`` words before it or after it.  For each
 lexicon entry, number of edits and context, the learner counts labelled documents; the
 share of toxic ones, drawn towards the share of all hits of that kind, is the hit's
-weight.  A document's score is ``1 - (1 - base) * product(1 - weight)`` over its different
-entries, ``base`` being what toxic rows without hits leave.
+weight.  A document's score is the largest weight of its entries, and further entries
+of weight ``STRONG`` or more raise it as independent signs do; without hits it is
+``base``, the share of toxic ones among labelled documents without hits.
 
 The learner reads a bounded sample, ``SAMPLE`` labelled rows in the order of a hash, and
 the lexicon holds ``LEXICON`` entries at most; everything else covers all rows.  Null
@@ -40,6 +42,10 @@ SAMPLE = 20_000
 LEXICON = 2_000
 LEAST_DOCS = 3          # toxic sample documents that hold an entry
 LIFT = 15.0             # times as frequent in toxic documents
+EVIDENCE = 8.0          # log-likelihood ratio against chance, so that rare words don't enter by luck
+LEAST_SHARE = 0.005     # of the toxic sample documents
+LEAST_GAIN = 0.002      # of them, that no earlier entry explains
+STRONG = 0.5
 FUZZY_LENGTH = 5
 WINDOW = 6
 PRIOR = 2.0
@@ -169,9 +175,9 @@ class Model:
             if w is None:
                 w = self.weight.get((-1, edits, quoted), 0.0)
             best[entry] = max(best.get(entry, 0.0), w)
-        clean = 1 - self.base
-        for w in best.values():
-            clean *= 1 - w
+        clean = 1 - max([self.base, *best.values()])
+        for w in sorted(best.values())[:-1]:
+            clean *= 1 - w if w >= STRONG else 1
         return 1 - clean
 
 
@@ -179,7 +185,7 @@ def sample_of(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFra
     """(text, toxic) of at most ``size`` labelled rows; ``docs`` has id and text, ``labels`` id and toxic."""
     picked = (labels.where("id is not null and toxic is not null").where(in_fold(F.col("id"))).dropDuplicates(["id"])
               .orderBy(F.xxhash64("id"), "id").limit(size))
-    return docs.join(F.broadcast(picked), "id").select("text", (F.col("toxic") > 0).alias("toxic"))
+    return docs.join(F.broadcast(picked), "id").select("text", (F.col("toxic") > 0).alias("toxic")).dropDuplicates()
 
 
 def learn(sample: DataFrame) -> Model:
@@ -199,11 +205,28 @@ def learn(sample: DataFrame) -> Model:
         return Model([], n_bad / max(1, n_bad + n_good), {})
     per = sample.select("text", "toxic").mapInArrow(count, "f string, bad long, good long").groupBy("f").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     lift = (F.col("bad") / n_bad) / ((F.col("good") + 1) / n_good)
-    rows = per.where((F.col("bad") >= LEAST_DOCS) & (lift >= LIFT)).orderBy(F.desc("bad"), "f").limit(LEXICON).collect()
-    found = {r["f"] for r in rows}
-    stems = {f for f in found if f.endswith("*")}
-    covered = lambda f: any(f[:n] + "*" in stems and f != f[:n] + "*" for n in (4, 5, 6))
-    entries = sorted(f for f in found if not (f.endswith("*") and covered(f)))
+    share = n_bad / (n_bad + n_good)
+    seen = F.col("bad") + F.col("good")
+    evidence = F.col("bad") * F.log(F.col("bad") / (seen * share)) + F.when(
+        F.col("good") > 0, F.col("good") * F.log(F.col("good") / (seen * (1 - share)))).otherwise(0.0)
+    rows = per.where((F.col("bad") >= max(LEAST_DOCS, LEAST_SHARE * n_bad)) & (lift >= LIFT)).where(evidence >= EVIDENCE).orderBy(F.desc("bad"), "f").limit(LEXICON).collect()
+    ranked = [r["f"] for r in rows]
+    wanted = frozenset(ranked)
+
+    def holds(batches):
+        for batch in batches:
+            found = [sorted(features_of(set(words_of(x.as_py() or ""))) & wanted) for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], ["f"])
+
+    # an entry must explain toxic documents that stronger ones leave: words of copied texts do not
+    documents = [set(r["f"]) for r in sample.where("toxic").select("text").mapInArrow(holds, "f array<string>").collect()]
+    entries, open_docs = [], documents
+    for f in ranked:
+        left = [d for d in open_docs if f not in d]
+        if len(open_docs) - len(left) >= max(2, LEAST_GAIN * n_bad):
+            entries.append(f)
+            open_docs = left
+    entries.sort()
 
     def hits(batches):
         lexicon, bad, good = Lexicon(entries), Counter(), Counter()
