@@ -12,6 +12,8 @@ The result equals the global per-class rank ordered by (h, tie).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,9 +24,10 @@ OFFSET_TABLE_LIMIT = 1_000_000   # rows of the offset table that may be broadcas
 
 
 def hash_key(key: str | Column, seed: int) -> Column:
-    """Seeded 60-bit hash of a key: first 15 hex digits of md5(key || '|' || seed)."""
+    """Seeded 60-bit hash of a key: first 15 hex digits of md5(key || '|' || seed).
+    A NULL key hashes as one NUL character, so its rows take part in ranks and splits."""
     k = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(k.cast("string"), F.lit(f"|{seed}")))
+    digest = F.md5(F.concat(F.coalesce(k.cast("string"), F.lit("\0")), F.lit(f"|{seed}")))
     return F.conv(F.substring(digest, 1, HASH_HEX), 16, 10).cast("bigint")
 
 
@@ -46,7 +49,11 @@ def hashed_rank(df: DataFrame, by: Sequence[str], h: Column, tie: Column, *, bit
     offsets = offsets.cache()
     n_off = offsets.count()
     offsets = F.broadcast(offsets) if n_off <= OFFSET_TABLE_LIMIT else offsets
-    joined = work.join(offsets, by + ["_bucket"]) if by else work.join(offsets, ["_bucket"])
+    # null-safe: rows with a NULL group or hash keep their place
+    keys = [*by, "_bucket"]
+    right = offsets.withColumnsRenamed({k: f"_o_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys])
+    joined = work.join(right, same).drop(*[f"_o_{k}" for k in keys])
     local = Window.partitionBy(*by, "_bucket").orderBy("_h", tie)
     out = joined.withColumn(rank_col, F.row_number().over(local) - 1 + F.col("_offset"))
     if size_col:

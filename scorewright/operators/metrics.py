@@ -94,8 +94,13 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 # cumulative counts over distinct scores ----------------------------------------
+def scored_rows(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Rows that count: label and score present, and the score a number."""
+    return df.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+
+
 def score_groups(df: DataFrame, label: str, score: str) -> DataFrame:
-    return df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
+    return scored_rows(df, label, score).groupBy(F.col(score).alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("neg"))
 
@@ -148,7 +153,7 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int = BUCKETS) -> Da
     """Mann-Whitney AUC with average ranks for ties: the sum over distinct scores
     of pos * (negatives scoring lower + neg / 2), divided by P * N."""
     c = cumulative(df, label, score, buckets)
-    p, n = _totals(df.where(F.col(score).isNotNull()), label)
+    p, n = _totals(scored_rows(df, label, score), label)
     num = F.sum(F.col("pos").cast("double") * (F.lit(n) - F.col("fp") + F.col("neg") * 0.5))
     auc = (F.col("_num") / F.lit(float(p * n))) if p and n else F.lit(None).cast("double")
     return c.agg(num.alias("_num")).select(
@@ -171,7 +176,7 @@ def roc_curve(df: DataFrame, label: str, score: str, drop_intermediate: bool = T
     threshold is NULL (scikit-learn uses +inf).  ``drop_intermediate`` keeps a
     point only where the curve bends (second difference of fp or tp is non-zero)."""
     c = cumulative(df, label, score, buckets)
-    p, n = _totals(df.where(F.col(score).isNotNull()), label)
+    p, n = _totals(scored_rows(df, label, score), label)
     tp, fp = F.col("tp"), F.col("fp")
     prev_tp, prev_fp = tp - F.col("pos"), fp - F.col("neg")
     next_tp, next_fp = tp + F.col("next_pos"), fp + F.col("next_neg")
@@ -192,7 +197,7 @@ def pr_curve(df: DataFrame, label: str, score: str, buckets: int = BUCKETS) -> D
     """(threshold, precision, recall) per distinct score plus the final point
     (precision 1, recall 0) that has no threshold."""
     c = cumulative(df, label, score, buckets)
-    p, _n = _totals(df.where(F.col(score).isNotNull()), label)
+    p, _n = _totals(scored_rows(df, label, score), label)
     tp, fp = F.col("tp"), F.col("fp")
     recall = (tp / F.lit(float(p))) if p else F.lit(1.0)
     curve = c.select(F.col("score").alias("threshold"), _div0(tp, tp + fp).alias("precision"),

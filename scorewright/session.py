@@ -7,8 +7,10 @@ checkpoint folder only when none is configured.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,11 +51,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get(CHECKPOINT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="scorewright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_scratch: set[str] = set()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The application's own folder for stored tables, in the shared checkpoint folder.
+    It is dropped when the driver ends in the usual way."""
+    path = f"{ensure_checkpoint_dir(spark)}/tables-{spark.sparkContext.applicationId}"
+    if path not in _scratch:
+        _scratch.add(path)
+        atexit.register(drop_folder, spark, path)
+    return path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's file system; a stopped session leaves it."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped():
+        return
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df):
     """Write ``df`` once as a parquet table in the shared checkpoint folder and
     read it back.
@@ -65,12 +91,10 @@ def materialize(df):
     passes read only the columns they use (pruning and pushdown work on it).
     Never ``localCheckpoint``: its blocks die with the executor.
     """
-    import uuid
-
     spark = df.sparkSession
     if spark.conf.get(MATERIALIZE_KEY, "parquet") == "checkpoint":
         ensure_checkpoint_dir(spark)
         return df.checkpoint(eager=True)
-    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

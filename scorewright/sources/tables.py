@@ -63,11 +63,17 @@ def read_csv_or_none(spark: SparkSession, path: str, **kw) -> DataFrame | None:
         raise
 
 
+def require_columns(df: DataFrame, names) -> DataFrame:
+    """``df`` if it has all the columns; else an error that lists the missing ones."""
+    missing = [n for n in names if n not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns {missing}")
+    return df
+
+
 def load_labeled(spark: SparkSession, source, target: str | None) -> DataFrame:
     """A path or a DataFrame, with a named target column that must exist."""
     if target is None:
         raise ValueError("target column must be given")
     df = read_csv(spark, source, with_label=target) if isinstance(source, str) else source
-    if target not in df.columns:
-        raise ValueError(f"target column {target!r} not in {df.columns}")
-    return df
+    return require_columns(df, [target])
