@@ -16,7 +16,7 @@ HashingTF and IDF do, so the table that tasks need has a fixed size.
    at a time.  Texts with the same words are one text from here on.
 3. Texts that agree on all samples of a band are a group of candidates (0.9998 of the
    pairs at 0.8 are in one).  Groups with the same members are one.  A group is cut
-   into blocks of about ``BLOCK`` texts by a hash; each block and the group's first one
+   into blocks of about ``BLOCK`` texts and ``BLOCK_BYTES`` by a hash; each block and the group's first one
    make a unit, and a task compares a unit's whole texts by matrix products and
    returns a spanning forest of its links, never its pairs.  After that, two further
    blocks of a group meet only where they do not lie in one component yet.  So every
@@ -53,7 +53,9 @@ FEATURES = 1 << 20          # hashed features of document frequencies: 4 MB in e
 SEGMENTS = 256
 SLICE = 512 << 10           # bytes of text that are sampled at once
 SMOOTH = 0.5
-BLOCK = 96                  # texts of a candidate group that meet at once
+BLOCK = 256                 # texts of a candidate group in a block; two blocks meet at once
+BLOCK_BYTES = 8 << 20       # their bytes, about
+KNOWN = 1 << 22             # elements of vectors that a task keeps
 COLUMNS = 8192              # common elements of a matrix product
 
 _U = np.uint64
@@ -196,8 +198,8 @@ def inverse_frequency(counts: np.ndarray, n_rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, key, bands) of each row; ``key`` stands for the text's words, and ``bands``
-    is null without words.  ``idf`` is a broadcast of weights."""
+    """(id, key, bands, bytes) of each row; ``key`` stands for the text's words, and
+    ``bands`` is null without words.  ``idf`` is a broadcast of weights."""
     n, id_type = bands * rows, docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,10 +220,11 @@ def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> Da
                 at = [place.get(first[k]) for k in key]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[lo:hi], pa.array(key, pa.binary()),
-                     pa.array([None if i is None else band[i].tolist() for i in at], pa.list_(pa.int64()))],
-                    ["id", "key", "bands"])
+                     pa.array([None if i is None else band[i].tolist() for i in at], pa.list_(pa.int64())),
+                     pa.array(np.diff(own), pa.int64())],
+                    ["id", "key", "bands", "bytes"])
 
-    return docs.select("id", "text").mapInArrow(run, f"id {id_type}, key binary, bands array<bigint>")
+    return docs.select("id", "text").mapInArrow(run, f"id {id_type}, key binary, bands array<bigint>, bytes bigint")
 
 
 def _vector(text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -284,15 +287,17 @@ def compare(units: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFr
     kind = units.schema["rep"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict = {}
+        known, held = {}, [0]
 
         def links(reps: list, texts: list) -> list[tuple]:
             vectors = []
             for rep, text in zip(reps, texts):
                 if rep not in known:
-                    if len(known) > 2000:
+                    if held[0] > KNOWN:
                         known.clear()
+                        held[0] = 0
                     known[rep] = _vector(text, idf.value)
+                    held[0] += len(known[rep][0])
                 vectors.append(known[rep])
             return [(reps[i], reps[j]) for i, j in _forest(similarities(vectors) >= threshold - 1e-6)]
 
@@ -345,9 +350,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     counts, n_rows = document_frequencies(docs, features)
     idf = spark.sparkContext.broadcast(inverse_frequency(counts, n_rows))
     signed = materialize(signatures(docs, idf, bands, rows))
-    reps = materialize(signed.groupBy("key").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")))
+    reps = materialize(signed.groupBy("key").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.max("bytes").alias("bytes")))
 
-    member = reps.where("rep is not null and bands is not null").select("rep", F.explode("bands").alias("b"))
+    member = reps.where("rep is not null and bands is not null").select("rep", "bytes", F.explode("bands").alias("b"))
     shared = member.groupBy("b").agg(F.count("*").alias("n")).where("n > 1")
     member = materialize(member.join(shared, "b"))
     nodes = member.select("rep").distinct()
@@ -359,8 +364,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                         .select(F.col("id").alias("rep"), "text").dropDuplicates(["rep"]))
 
     # groups with the same members are compared once
-    same = member.groupBy("b").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("h2"))
-    groups = same.groupBy("n", "h1", "h2").agg(F.min("b").alias("b")).select("b", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    same = member.groupBy("b").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("h2"))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.least(F.col("bytes") / BLOCK_BYTES, F.col("n") / 2))).cast("int")
+    groups = same.groupBy("n", "bytes", "h1", "h2").agg(F.min("b").alias("b")).select("b", blocks.alias("blocks"))
     member = materialize(member.select("rep", "b").join(groups, "b").withColumn("block", F.pmod(F.xxhash64("b", "rep"), "blocks").cast("int")))
 
     # a group of one block is a unit; of a larger one, each block meets the first block
