@@ -1,7 +1,6 @@
 """NULL keys, NULL labels and NaN scores; the checkpoint folder; required columns."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from scorewright.operators.metrics import roc_auc
 from scorewright.operators.split import random_split, stratified_kfold, stratified_split
@@ -46,4 +45,4 @@ def test_required_columns(rows):
     with pytest.raises(ValueError, match="missing columns"):
         require_columns(rows, ["id", "nope"])
     with pytest.raises(ValueError):
-        load_labeled(rows.withColumn("x", F.lit(1)), "absent")
+        load_labeled(rows.sparkSession, rows, "absent")
