@@ -15,6 +15,7 @@ from scorewright.llm.queries import MIX_BUDGET, tokenizer
 from scorewright.llm.util import read
 from scorewright.session import materialize
 
+CACHED_WORDS = 120_000  # the workers still hold what earlier stages took
 ORACLE_SQL = None  # near duplicates and packing cannot be said in SQL
 
 
@@ -35,7 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"), cached_words=CACHED_WORDS)
 
 
 STAGES = [

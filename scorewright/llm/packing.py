@@ -52,7 +52,8 @@ class Encoder:
     library's BPE model in the byte-level alphabet.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_words: int):
+        self.cached_words = cached_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -96,7 +97,7 @@ class Encoder:
             self._learn({words[i] for i in missing})
             for i in missing:
                 found[i] = self.young[words[i]]
-        if len(self.young) > CACHED_WORDS:
+        if len(self.young) > self.cached_words:
             self.old, self.young = self.young, {}
         return self._ids([first])[0] + b"".join(found)
 
@@ -104,20 +105,21 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cached_words: int = CACHED_WORDS) -> Encoder:
+    """One encoder, with its cache, for each Python worker."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, cached_words)
     return _encoders[path]
 
 
 def tokenize(df: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WINDOW, with_ids: bool = False,
-             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             id_col: str = "doc_id", text_col: str = "text", cached_words: int = CACHED_WORDS) -> DataFrame:
     """Pieces (id, start, length, ids_crc32, doc_tokens[, ids]): full windows, then what remains."""
     end = np.array([end_id], "<u4").tobytes()
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path, cached_words)
         for batch in batches:
             rows: list[tuple] = []
             for i, value in enumerate(batch.column(1)):
@@ -207,5 +209,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, id_col: str = "doc_id", group:
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WINDOW,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return pack(materialize(tokenize(df, tokenizer_path, end_id, window, False, id_col, text_col)), window, id_col)
+                   id_col: str = "doc_id", text_col: str = "text", cached_words: int = CACHED_WORDS) -> DataFrame:
+    """Sequences of all rows.  ``cached_words`` bounds a worker's cache: about 200 bytes
+    for each word, twice; fewer words cost time, not results."""
+    return pack(materialize(tokenize(df, tokenizer_path, end_id, window, False, id_col, text_col, cached_words)), window, id_col)
