@@ -1,28 +1,29 @@
-"""Exact k nearest neighbours without pairing every row with every row, the
-k-NN classifier, and SMOTE.
-
-Pivot partitioning with triangle-inequality pruning:
-
-1. ``P`` pivots are reference points picked by a seeded hash (a top-P, bounded).
-2. Every row gets its distances to the pivots (numpy in an Arrow-batched pandas
-   UDF); its cell is the nearest pivot, ``r`` the distance to it.
-3. Per cell: radius ``R_c = max r`` and size (one row per pivot, broadcast).
-4. Per query q, an upper bound ``ub`` on its k-th neighbour distance: the k-th
-   nearest pivot (pivots are real points), tightened by the cell bound
-   "cells sorted by d(q, p_c) + R_c hold at least k points within that".
-5. A cell can hold a neighbour only if ``d(q, p_c) - R_c <= ub``; q is paired
-   with the points of those cells only (equi-join on cell id), candidates
-   farther than ``ub`` are dropped, and a window per query keeps the k nearest
-   (ties by id).
-
-Every step is exact, so the result equals brute force; pruning only removes
-pairs that provably cannot be among the k nearest.
+"""Exact k nearest neighbours in pruned blocks, the k-NN classifier, and SMOTE.
+
+1. Reference rows are dealt to cells: quantile bins on the top principal axes W, so an
+   outlier does not push the rest into one cell.  The number of cells follows the
+   counted rows.  A cell of more than ``BLOCK_ROWS`` rows is cut into blocks by hash.
+2. ``P`` pivots are reference rows picked by a seeded hash (a top-P, bounded).  The k-th
+   nearest pivot gives an upper bound ``ub`` on a query's k-th neighbour distance.
+3. Since ||W'(q - x)|| <= ||q - x||, the distance from W'q to the bounding box of a cell
+   is a lower bound for every row of it; a query is sent only to the blocks of cells
+   whose bound is <= ub.
+4. Queries and reference rows of a block meet in one task, ``QUERY_ROWS`` queries at
+   most; a matrix product per slice of queries finds near rows, the exact distances of
+   those are computed, and k per query and block leave the task.
+5. A window per query merges them (ties by id).
+
+Every step is exact, so the result equals brute force; pruning only removes rows that
+provably cannot be among the k nearest.  Rows without a vector are left out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,24 +31,10 @@ from pyspark.sql import types as T
 from ..functions.ranks import hash_key, hashed_rank
 
 SEED = 42
-
-
-def _vec(col: str):
-    return F.transform(F.col(col), lambda x: x.cast("double"))
-
-
-def euclid(a, b):
-    """Euclidean distance of two double arrays, summed in element order."""
-    sq = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v))
-
-
-@F.pandas_udf(T.DoubleType())
-def pair_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Euclidean distance of paired double arrays, vectorised per Arrow batch."""
-    x = np.stack(a.to_numpy()).astype("float64")
-    y = np.stack(b.to_numpy()).astype("float64")
-    return pd.Series(np.sqrt(((x - y) ** 2).sum(axis=1)))
+CELL_ROWS = 32          # reference rows a cell aims at, up to ``max_cells`` cells
+BLOCK_ROWS = 16_384     # reference rows that a task holds at once, about
+QUERY_ROWS = 262_144    # queries that meet a block in one task, about
+SLICE = 1 << 22         # distances in a matrix product
 
 
 def _pivots(ref: DataFrame, key: str, vec: str, n_pivots: int):
@@ -70,24 +57,60 @@ def _principal_axes(ref_v: DataFrame, dims: int) -> np.ndarray:
     return model.pc.toArray()
 
 
+def _squares(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances by a matrix product, and a bound of their rounding error per row of x."""
+    xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    error = 1e-14 * max(x.shape[1], 1) * (xx + (yy.max() if len(yy) else 0.0))
+    return np.maximum(xx[:, None] + yy[None, :] - 2 * (x @ y.T), 0.0), error
+
+
+def _nearest(q_id, q, ub, n_id, ref, k: int, exclude_self: bool):
+    """Positions (query, reference) and distances of the k nearest of each query, within ub."""
+    d2, error = _squares(q, ref)
+    if exclude_self:
+        d2[q_id[:, None] == n_id[None, :]] = np.inf
+    limit = np.minimum(np.partition(d2, k - 1, axis=1)[:, k - 1] if d2.shape[1] > k else np.inf, ub * ub)
+    i, j = np.nonzero((d2 <= (limit + 2 * error)[:, None]) & np.isfinite(d2))
+    dist = np.sqrt(((q[i] - ref[j]) ** 2).sum(axis=1))
+    near = dist <= ub[i]
+    i, j, dist = i[near], j[near], dist[near]
+    order = np.lexsort((n_id[j], dist, i))
+    i, j, dist = i[order], j[order], dist[order]
+    first = np.searchsorted(i, i)  # where the query's rows begin
+    top = np.arange(len(i)) - first < k
+    return i[top], j[top], dist[top]
+
+
+def _cells(rz: DataFrame, m: int, cells: int):
+    """Column of the cell of ``_z``: bits dealt to the axes in turn, bins between quantiles."""
+    bits = max(0, cells.bit_length() - 1)
+    per_axis = [1 << (bits // m + (i < bits % m)) for i in range(m)]
+    cuts = rz.agg(*[F.percentile_approx(F.col("_z")[i], [(j + 1) / g for j in range(g - 1)] or [0.5], 1000).alias(f"c{i}")
+                    for i, g in enumerate(per_axis)]).first()
+    cell, base = F.lit(0), 1
+    for i, g in enumerate(per_axis):
+        for cut in sorted(set(cuts[f"c{i}"])) if g > 1 else []:
+            cell = cell + F.when(F.col("_z")[i] > F.lit(float(cut)), F.lit(base)).otherwise(F.lit(0))
+        base *= g
+    return cell.cast("int")
+
+
 def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str = "v",
         ref_key: str | None = None, exclude_self: bool = True, n_pivots: int = 256,
         proj_dims: int = 4, max_cells: int = 4096, diagnostics: dict | None = None) -> DataFrame:
     """(q_id, n_id, rank, distance) for the k nearest reference rows of every query row.
 
     ``vec`` holds array<double>.  With ``exclude_self`` a row is not its own
-    neighbour (same key).
-
-    Bounds: the upper bound ``ub`` on a query's k-th neighbour distance is its
-    k-th nearest pivot (pivots are reference rows).  Reference rows are binned on
-    a grid in the space of the top ``proj_dims`` principal axes W; since
-    ||W'(q - x)|| <= ||q - x||, the distance from W'q to a cell's bounding box
-    is a lower bound for every row in the cell, and only cells whose bound is
-    <= ub are joined (on cell id) with the query."""
+    neighbour (same key).  Ids are numbers or strings."""
     ref_key = ref_key or key
-    rv = ref.select(F.col(ref_key).alias("_id"), F.col(vec).alias("_v"))
-    qv = query.select(F.col(key).alias("_id"), F.col(vec).alias("_v"))
-    piv_ids, piv = _pivots(ref, ref_key, vec, n_pivots)
+    rv = ref.select(F.col(ref_key).alias("_id"), F.col(vec).alias("_v")).where("_id is not null and _v is not null")
+    qv = query.select(F.col(key).alias("_id"), F.col(vec).alias("_v")).where("_id is not null and _v is not null")
+    id_type = rv.schema["_id"].dataType.simpleString()
+    result = f"q_id {id_type}, n_id {id_type}, distance double"
+    n_ref, n_query = rv.count(), qv.count()
+    if not n_ref or not n_query:
+        return query.sparkSession.createDataFrame([], f"q_id {id_type}, n_id {id_type}, rank int, distance double")
+    piv_ids, piv = _pivots(rv, "_id", "_v", n_pivots)
     axes = _principal_axes(rv, proj_dims)
     m = axes.shape[1]
 
@@ -96,52 +119,89 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str =
         return pd.Series(list(np.stack(v.to_numpy()).astype("float64") @ axes))
 
     rz = rv.withColumn("_z", project("_v"))
-    ext = rz.agg(*[F.min(F.col("_z")[i]).alias(f"lo{i}") for i in range(m)],
-                 *[F.max(F.col("_z")[i]).alias(f"hi{i}") for i in range(m)]).first()
-    lo = np.array([ext[f"lo{i}"] for i in range(m)])
-    hi = np.array([ext[f"hi{i}"] for i in range(m)])
-    g = max(1, int(max_cells ** (1.0 / m)))
-    width = np.where(hi > lo, (hi - lo) / g, 1.0)
-    cell = F.lit(0)
-    for i in range(m):
-        gi = F.least(F.greatest(F.floor((F.col("_z")[i] - F.lit(float(lo[i]))) / F.lit(float(width[i]))),
-                                F.lit(0)), F.lit(g - 1))
-        cell = cell + gi * F.lit(g ** i)
-    rz = rz.withColumn("_cell", cell.cast("int"))
-    # one row per non-empty grid cell (at most max_cells): bounding box of its projected rows
-    boxes = rz.groupBy("_cell").agg(*[F.min(F.col("_z")[i]).alias(f"a{i}") for i in range(m)],
+    rz = rz.withColumn("_cell", _cells(rz, m, min(max_cells, -(-n_ref // CELL_ROWS))))
+    # one row per non-empty cell (at most max_cells): size, and bounding box of its projected rows
+    boxes = rz.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"),
+                                    *[F.min(F.col("_z")[i]).alias(f"a{i}") for i in range(m)],
                                     *[F.max(F.col("_z")[i]).alias(f"b{i}") for i in range(m)]).collect()
     cell_ids = np.array([r["_cell"] for r in boxes], dtype="int32")
     box_lo = np.array([[r[f"a{i}"] for i in range(m)] for r in boxes])
     box_hi = np.array([[r[f"b{i}"] for i in range(m)] for r in boxes])
+    parts = query.sparkSession.createDataFrame(
+        [(r["_cell"], -(-r["n"] // BLOCK_ROWS), r["n"]) for r in boxes], "_cell int, _parts int, _n long")
+    salts = -(-n_query // QUERY_ROWS)
 
     @F.pandas_udf(T.StructType([T.StructField("ub", T.DoubleType()),
                                 T.StructField("cand", T.ArrayType(T.IntegerType()))]))
     def candidates(qid: pd.Series, v: pd.Series) -> pd.DataFrame:
-        x = np.stack(v.to_numpy()).astype("float64")
-        dp = np.sqrt(((x[:, None, :] - piv[None, :, :]) ** 2).sum(axis=2))
-        if exclude_self:
-            dp = np.where(piv_ids[None, :] == qid.to_numpy()[:, None], np.inf, dp)
-        kth = np.sort(dp, axis=1)[:, k - 1] if dp.shape[1] >= k else np.full(len(x), np.inf)
-        # relaxed by a relative 1e-9: numpy and Spark distances may differ in the last bit
-        ub = kth * (1 + 1e-9) + 1e-12
-        z = x @ axes
-        gap = np.maximum(0.0, np.maximum(box_lo[None, :, :] - z[:, None, :], z[:, None, :] - box_hi[None, :, :]))
-        lb = np.sqrt((gap ** 2).sum(axis=2))
-        cands = [cell_ids[row <= u] for row, u in zip(lb, ub)]
-        return pd.DataFrame({"ub": ub, "cand": cands})
-
-    q = qv.withColumn("_c", candidates("_id", "_v")).select(
-        F.col("_id").alias("q_id"), F.col("_v").alias("q_v"), F.col("_c.ub").alias("ub"),
-        F.explode("_c.cand").alias("_cell"))
-    pairs = q.join(rz.select(F.col("_id").alias("n_id"), F.col("_v").alias("n_v"), "_cell"), "_cell")
+        vectors, ids = v.to_numpy(), qid.to_numpy()
+        step = max(1, SLICE // max(len(cell_ids), len(piv_ids)))
+        ubs, cands = [], []
+        for at in range(0, len(vectors), step):
+            x = np.stack(vectors[at:at + step]).astype("float64")
+            d2, error = _squares(x, piv)
+            if exclude_self:
+                d2[piv_ids[None, :] == ids[at:at + step, None]] = np.inf
+            kth = np.partition(d2, k - 1, axis=1)[:, k - 1] if d2.shape[1] >= k else np.full(len(x), np.inf)
+            # relaxed: products and differences may differ in the last bits
+            ub = np.sqrt(kth + error) * (1 + 1e-9) + 1e-12
+            z, lb = x @ axes, np.zeros((len(x), len(cell_ids)))
+            for i in range(m):
+                gap = np.maximum(box_lo[None, :, i] - z[:, None, i], z[:, None, i] - box_hi[None, :, i])
+                lb += np.maximum(gap, 0.0) ** 2
+            near = np.sqrt(lb) <= (ub + np.sqrt(error) * 1e-3)[:, None]
+            cands += [cell_ids[row] for row in near]
+            ubs.append(ub)
+        return pd.DataFrame({"ub": np.concatenate(ubs) if ubs else np.zeros(0), "cand": cands})
+
+    # the table of cells has at most max_cells rows
+    q = qv.withColumn("_c", candidates("_id", "_v")).select("_id", "_v", "_c.ub", F.explode("_c.cand").alias("_cell")) \
+        .join(F.broadcast(parts), "_cell")
     if diagnostics is not None:   # candidate pairs after pruning (an extra job; diagnostics only)
-        diagnostics["candidate_pairs"] = pairs.count()
-    if exclude_self:
-        pairs = pairs.where(F.col("q_id") != F.col("n_id"))
-    pairs = pairs.withColumn("distance", pair_distance("q_v", "n_v")).where(F.col("distance") <= F.col("ub"))
+        diagnostics["candidate_pairs"] = q.agg(F.sum("_n")).first()[0]
+    salt = F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    q = q.withColumn("_part", spread(F.col("_parts"))).select("_cell", "_part", salt.alias("_salt"), F.lit(1).alias("_kind"), "_id", "_v", "ub")
+    r = rz.join(F.broadcast(parts), "_cell").withColumn("_part", F.pmod(F.xxhash64("_id"), F.col("_parts")).cast("int")) \
+        .withColumn("_salt", spread(F.lit(salts))) \
+        .select("_cell", "_part", "_salt", F.lit(0).alias("_kind"), "_id", "_v", F.lit(None).cast("double").alias("ub"))
+    unit = ["_cell", "_part", "_salt"]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, vectors, n_id, mat = None, [], [], None, None
+        for batch in batches:
+            kind = batch.column(3).to_numpy()
+            units = np.stack([batch.column(c).to_numpy() for c in range(3)])
+            edge = np.flatnonzero(np.concatenate([[True], (units[:, 1:] != units[:, :-1]).any(axis=0) | (kind[1:] != kind[:-1])])) \
+                if len(kind) else []
+            for lo, hi in zip(edge, [*edge[1:], len(kind)]):
+                own = tuple(units[:, lo])
+                if own != now:
+                    now, ids, vectors, mat = own, [], [], None
+                x = batch.column(5).slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=False).reshape(hi - lo, -1)
+                x_id = batch.column(4).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+                if kind[lo] == 0:
+                    ids.append(x_id)
+                    vectors.append(x)
+                    continue
+                if not ids:
+                    continue
+                if mat is None:
+                    n_id, mat = np.concatenate(ids), np.concatenate(vectors)
+                ub = batch.column(6).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+                step = max(1, SLICE // len(mat))
+                for at in range(0, len(x), step):
+                    to = at + step
+                    i, j, dist = _nearest(x_id[at:to], x[at:to], ub[at:to], n_id, mat, k, exclude_self)
+                    kind_of = batch.schema.field(4).type
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x_id[at:to][i], kind_of), pa.array(n_id[j], kind_of), pa.array(dist, pa.float64())],
+                        ["q_id", "n_id", "distance"])
+
+    dealt = r.unionByName(q).repartition(*unit).sortWithinPartitions(*unit, "_kind")
+    found = dealt.mapInArrow(meet, result)
     w = Window.partitionBy("q_id").orderBy("distance", "n_id")
-    return (pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("q_id", "n_id", F.col("rank").cast("int").alias("rank"), "distance"))
 
 
@@ -178,11 +238,11 @@ def smote(df: DataFrame, *, key: str = "id", vec: str = "v", label: str = "label
     if n_new <= 0 or n_min < 2:
         return df.select(key, vec, label).withColumn("synthetic", F.lit(0))
     mino = df.where(F.col(label) == minority).select(key, vec)
-    nn = knn(mino, mino, min(k, n_min - 1), key=key, vec=vec)
+    nn = knn(mino, mino, min(k, n_min - 1), key=key, vec=vec, n_pivots=n_pivots)
     base, extra = divmod(n_new, n_min)
     # exact rank in hash order, computed bucket-wise (no single-task window)
     ranked = hashed_rank(mino, [], hash_key(F.col(key), seed), F.col(key), size_col=None)
-    reps = ranked.withColumnRenamed("_rank", "_rank").withColumn(
+    reps = ranked.withColumn(
         "_m", F.lit(base) + (F.col("_rank") < F.lit(extra)).cast("int"))
     copies = reps.where(F.col("_m") > 0).withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
     kk = min(k, n_min - 1)

@@ -32,7 +32,7 @@ SELECT q_id, n_id, CAST(rank AS INTEGER) AS rank, distance FROM (
                list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS distance
         FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id))
 WHERE rank <= {K}""", "vsplit"))(
-    lambda spark, d: nb.knn(materialize(_vecs(spark, d)), materialize(_vecs(spark, d)), K))
+    lambda spark, d: (lambda v: nb.knn(v, v, K))(materialize(_vecs(spark, d))))
 
 
 def model_knn(spark, d):
