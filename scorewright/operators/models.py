@@ -5,6 +5,7 @@ positive class) and ``prediction``.  Training data is prepared once by
 ``fit_preparation`` (exact median imputation and population-std scaling of the
 continuous columns, alphabetical one-hot of the category, flags passed through)
 and the fitted preparation is applied unchanged to validation and scoring data.
+Cross-validation fits it, and the class weights, anew outside each fold.
 Metrics come from ``operators.metrics`` (exact AUC with ties), not from the
 binned ML evaluator.
 """
@@ -230,9 +231,31 @@ def add_weights(train: DataFrame) -> DataFrame:
     return pr.apply_pos_weight(pr.apply_class_weights(train, LABEL, cw, "w_balanced"), LABEL, pw, "w_pos")
 
 
+@dataclass
+class Fold:
+    """One cross-validation fold: preparation and class weights are fitted on ``train``
+    (the rows outside the fold) only, and applied to ``held``."""
+    number: int
+    prep: Preparation
+    train: DataFrame
+    held: DataFrame
+
+
+def fit_folds(data: DataFrame, spec: FeatureSpec, folds: int, fold_col: str = "fold", key: str = "id") -> list[Fold]:
+    """Folds of unprepared rows, each with its own preparation; stored once for all fits."""
+    def one(k: int) -> Fold:
+        train, held = data.where(F.col(fold_col) != k), data.where(F.col(fold_col) == k)
+        prep = fit_preparation(train, spec)
+        keep = [key, LABEL, "features"]
+        return Fold(k, prep, materialize(add_weights(prep.transform(train).select(*keep))),
+                    materialize(prep.transform(held).select(*keep)))
+
+    return par_map(one, range(folds))
+
+
 def fit_model(name: str, train: DataFrame, **params):
     """``train`` has ``features``, ``label`` and the weight columns."""
-    n = train.count()
+    n = train.count() if name in ("linear_svc", "logistic_regression") else 0  # their penalty depends on it
     if name == "ada_boost":
         return fit_adaboost(train, params.get("n_estimators", 50))
     if name == "linear_svc":
@@ -262,18 +285,16 @@ def evaluate(scored: DataFrame) -> dict:
             "roc_auc": auc, "average_precision": ap}
 
 
-def _fold_score(name, data, k, fold_col, params):
-    model = fit_model(name, data.where(F.col(fold_col) != k), **params)
-    res = evaluate(scored_frame(model, data.where(F.col(fold_col) == k)))
-    res["fold"] = k
+def fold_score(name: str, fold: Fold, params: dict) -> dict:
+    res = evaluate(scored_frame(fit_model(name, fold.train, **params), fold.held))
+    res["fold"] = fold.number
     return res
 
 
-def cv_scores(name: str, data: DataFrame, folds: int, fold_col: str = "fold", parallelism: int = PARALLELISM,
-              **params) -> list[dict]:
+def cv_scores(name: str, folds: Sequence[Fold], parallelism: int = PARALLELISM, **params) -> list[dict]:
     """One fit per fold (folds fitted concurrently); every metric from the same
     held-out scored frame."""
-    return par_map(lambda k: _fold_score(name, data, k, fold_col, params), range(folds), parallelism)
+    return par_map(lambda fold: fold_score(name, fold, params), folds, parallelism)
 
 
 # ---------------------------------------------------------------- tuning
@@ -284,13 +305,12 @@ def grid(space: dict) -> list[dict]:
     return combos
 
 
-def search(name: str, data: DataFrame, combos: Sequence[dict], folds: int, fold_col: str = "fold",
-           parallelism: int = PARALLELISM) -> list[dict]:
+def search(name: str, folds: Sequence[Fold], combos: Sequence[dict], parallelism: int = PARALLELISM) -> list[dict]:
     """Mean CV AUC for every parameter combination (grid or seeded random sample);
     all (candidate, fold) fits run concurrently."""
     combos = list(combos)
-    tasks = [(i, k) for i in range(len(combos)) for k in range(folds)]
-    res = par_map(lambda t: _fold_score(name, data, t[1], fold_col, combos[t[0]])["roc_auc"], tasks, parallelism)
+    tasks = [(i, fold) for i in range(len(combos)) for fold in folds]
+    res = par_map(lambda t: fold_score(name, t[1], combos[t[0]])["roc_auc"], tasks, parallelism)
     rows = []
     for i, params in enumerate(combos):
         scores = [r for (ci, _k), r in zip(tasks, res) if ci == i]

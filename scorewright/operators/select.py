@@ -64,34 +64,39 @@ def _step_size(step, n_features: int) -> int:
     return max(1, int(step))
 
 
-def rfe_path(train: DataFrame, n_features: int, fit, n_select: int, step=1, features: str = "features",
+def path_sizes(n_features: int, n_select: int, step=1) -> list[int]:
+    """Feature counts of an elimination path, from all features down to ``n_select``."""
+    drop, out = _step_size(step, n_features), [n_features]
+    while out[-1] > n_select:
+        out.append(max(n_select, out[-1] - drop))
+    return out
+
+
+def rfe_path(train: DataFrame, n_features: int, fit, sizes: Sequence[int], features: str = "features",
              on_model=None) -> list[int]:
-    """Recursive elimination: fit, drop the ``step`` least important, repeat.
+    """Recursive elimination: fit, drop the least important down to the next of the
+    falling ``sizes``, repeat.
 
     ``fit(df) -> model`` with ``importances(n)``; the vector is narrowed with
     ``VectorSlicer`` each round.  ``on_model(keep, model)`` sees every fitted
     size (RFECV scores them).  Returns the kept positions."""
     keep = list(range(n_features))
     data = materialize(train)
-    size = _step_size(step, n_features)
     while True:
-        sliced = VectorSlicer(inputCol=features, outputCol="_sel", indices=keep).transform(data) \
-            .drop(features).withColumnRenamed("_sel", features)
-        model = fit(sliced)
+        model = fit(slice_features(data, keep, features))
         if on_model:
             on_model(list(keep), model)
-        if len(keep) <= n_select:
+        target = max((size for size in sizes if size < len(keep)), default=None)
+        if target is None:
             return keep
         imp = model.importances(len(keep))
-        drop = min(size, len(keep) - n_select)
-        order = sorted(range(len(keep)), key=lambda i: (imp[i], -i))
-        gone = set(order[:drop])
+        gone = set(sorted(range(len(keep)), key=lambda i: (imp[i], -i))[:len(keep) - target])
         keep = [p for i, p in enumerate(keep) if i not in gone]
 
 
 def rfe(train: DataFrame, names: Sequence[str], fit, n_select: int, step=1,
         features: str = "features") -> list[int]:
-    return rfe_path(train, len(names), fit, n_select, step, features)
+    return rfe_path(train, len(names), fit, path_sizes(len(names), n_select, step), features)
 
 
 def slice_features(df: DataFrame, keep: Sequence[int], features: str = "features") -> DataFrame:

@@ -7,6 +7,8 @@ so that the models have something to learn; ``labels`` is near noise.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from ..operators import features as fx
@@ -39,11 +41,15 @@ class ModelData:
         test = split.where(F.col("is_test") == 1)
         self.prep = ml.fit_preparation(train, SPEC)
         keep = ["id", ml.LABEL, "features"]
-        self.train = materialize(ml.add_weights(self.prep.transform(train).select(*keep, "fold")))
+        self.train = materialize(ml.add_weights(self.prep.transform(train).select(*keep)))
         self.test = materialize(self.prep.transform(test).select(*keep))
-        self.test_raw = test
+        self.train_raw, self.test_raw, self.n_folds = train, test, folds
         self.names = self.prep.names
 
+    @cached_property
+    def folds(self) -> list[ml.Fold]:
+        return ml.fit_folds(self.train_raw, SPEC, self.n_folds)
+
 
 def _model_query(name):
     def run(spark, d):
@@ -67,13 +73,14 @@ def leaderboard(spark, d, models=ml.LEADERBOARD_MODELS, cv_folds=3):
 
     # every (model, fold) fit and every full fit is an independent task, run concurrently
     tasks = [(name, None) for name in models] + [(name, k) for name in models for k in range(cv_folds or 0)]
+    folds = md.folds if cv_folds else []
 
     def one(task):
         name, k = task
         if k is None:
             model = ml.fit_model(name, md.train)
             return model, ml.evaluate(ml.scored_frame(model, md.test))
-        return None, ml._fold_score(name, md.train, k, "fold", {})
+        return None, ml.fold_score(name, folds[k], {})
 
     done = dict(zip(tasks, ml.par_map(one, tasks)))
     fitted, rows = {}, []
@@ -133,7 +140,7 @@ register("feature_names")(feature_names_q)
 
 def cv_scores_q(spark, d, folds=5):
     md = ModelData(spark, d, folds=folds)
-    rows = [(r["fold"], r["roc_auc"]) for r in ml.cv_scores("random_forest", md.train, folds)]
+    rows = [(r["fold"], r["roc_auc"]) for r in ml.cv_scores("random_forest", md.folds)]
     return spark.createDataFrame(rows, "fold int, roc_auc double")
 
 
@@ -143,15 +150,15 @@ register("cv_scores")(cv_scores_q)
 def cv_multi_metric_q(spark, d, folds=3):
     md = ModelData(spark, d, folds=folds)
     rows = [(r["fold"], r["roc_auc"], r["f1"], r["precision"], r["recall"])
-            for r in ml.cv_scores("gradient_boosting", md.train, folds)]
+            for r in ml.cv_scores("gradient_boosting", md.folds)]
     return spark.createDataFrame(rows, "fold int, roc_auc double, f1 double, precision double, recall double")
 
 
 register("cv_multi_metric")(cv_multi_metric_q)
 
-# RF grid of the reference notebook (min_samples_split has no Spark counterpart)
+# The forest grid of the reference notebook (min_samples_split has no Spark counterpart)
 RF_GRID = {"numTrees": [100, 200], "maxDepth": [3, 5, 7], "minInstancesPerNode": [1, 2]}
-# random-search space of the reference leaderboard for the forest (max_depth None -> Spark's cap 30)
+# Random-search space of the reference leaderboard for the forest (max_depth None -> Spark's cap 30)
 RF_RANDOM = {"numTrees": [100, 200, 300], "maxDepth": [30, 10, 20], "minInstancesPerNode": [1, 2, 4]}
 
 
@@ -163,12 +170,12 @@ def _search_frame(spark, rows):
 
 def grid_search_q(spark, d, folds=3):
     md = ModelData(spark, d, folds=folds)
-    return _search_frame(spark, ml.search("random_forest", md.train, ml.grid(RF_GRID), folds))
+    return _search_frame(spark, ml.search("random_forest", md.folds, ml.grid(RF_GRID)))
 
 
 def random_search_q(spark, d, folds=3, n_iter=10):
     md = ModelData(spark, d, folds=folds)
-    return _search_frame(spark, ml.search("random_forest", md.train, ml.random_sample(RF_RANDOM, n_iter), folds))
+    return _search_frame(spark, ml.search("random_forest", md.folds, ml.random_sample(RF_RANDOM, n_iter)))
 
 
 register("grid_search")(grid_search_q)
@@ -207,24 +214,28 @@ register("select_rfe")(select_rfe)
 
 
 def select_rfecv(spark, d, folds=3, min_features=15, step=RFE_STEP):
-    """Mean held-out AUC of every size on the elimination path of each fold;
-    the best size (ties: fewer features) is then eliminated to on all training rows."""
-    md = ModelData(spark, d, folds=folds)
-    n = len(md.names)
-    scores: dict[int, list[float]] = {}
-    for k in range(folds):
-        tr = md.train.where(F.col("fold") != k)
-        va = materialize(md.train.where(F.col("fold") == k))
+    """Mean held-out AUC of every size on the elimination path of each fold; the row of
+    the best size (ties: fewer features) has the features that elimination on all
+    training rows keeps, in vector order.
 
-        def on_model(keep, model, va=va):
-            s = materialize(ml.scored_frame(model, fs.slice_features(va, keep)))
-            scores.setdefault(len(keep), []).append(mx.roc_auc(s, ml.LABEL, "p1").first()["roc_auc"])
-
-        fs.rfe_path(tr, n, _forest50, min_features, step, on_model=on_model)
+    Folds are prepared apart, so a rare category may be missing in one; the sizes start
+    at the smallest width of a fold."""
+    md = ModelData(spark, d, folds=folds)
+    sizes = fs.path_sizes(min(len(f.prep.names) for f in md.folds), min_features, step)
+    scores: dict[int, list[float]] = {size: [] for size in sizes}
+    for fold in md.folds:
+        def on_model(keep, model, held=fold.held):
+            if len(keep) in scores:
+                s = materialize(ml.scored_frame(model, fs.slice_features(held, keep)))
+                scores[len(keep)].append(mx.roc_auc(s, ml.LABEL, "p1").first()["roc_auc"])
+
+        fs.rfe_path(fold.train, len(fold.prep.names), _forest50, sizes=sizes, on_model=on_model)
     mean = {size: sum(v) / len(v) for size, v in scores.items()}
     best = max(mean, key=lambda size: (mean[size], -size))
-    return spark.createDataFrame([(size, mean[size], size == best) for size in sorted(mean)],
-                                 "n_features int, mean_auc double, chosen boolean")
+    kept = fs.rfe_path(md.train, len(md.names), _forest50, sizes=[size for size in sizes if size >= best])
+    names = [md.names[i] for i in kept]
+    return spark.createDataFrame([(size, mean[size], size == best, names if size == best else None) for size in sorted(mean)],
+                                 "n_features int, mean_auc double, chosen boolean, features array<string>")
 
 
 register("select_rfecv")(select_rfecv)

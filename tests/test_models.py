@@ -124,3 +124,29 @@ def test_knn_prunes_structured_data(spark):
         i = idx[qid]
         order = sorted(range(len(ids)), key=lambda j: (d[i, j], ids[j]))[:3]
         assert [nid for _, nid in sorted(lst)] == [ids[j] for j in order]
+
+
+def test_folds_are_prepared_without_their_held_rows(spark, md):
+    """Other values in the held-out rows leave the fold's preparation and weights unchanged."""
+    from scorewright.plans.model_queries import SPEC
+    raw = md.train_raw
+    held = F.col("fold") == 0
+    other = raw.withColumns({c: F.when(held, F.col(c) * 1000 + 7).otherwise(F.col(c)) for c in SPEC.cont[:3]}) \
+        .withColumn(SPEC.cat, F.when(held, F.lit("a held-out category")).otherwise(F.col(SPEC.cat))) \
+        .withColumn(ml.LABEL, F.when(held, F.lit(1)).otherwise(F.col(ml.LABEL)))
+    a, b = ml.fit_folds(raw, SPEC, 2)[0], ml.fit_folds(other, SPEC, 2)[0]
+    assert a.prep.medians == b.prep.medians
+    for c in SPEC.cont:
+        assert a.prep.scaling[c] == pytest.approx(b.prep.scaling[c])
+    assert a.prep.names == b.prep.names
+    weights = [{(r["label"], r["w_balanced"], r["w_pos"]) for r in f.train.select("label", "w_balanced", "w_pos").distinct().collect()}
+               for f in (a, b)]
+    assert weights[0] == weights[1]
+    assert a.train.count() + a.held.count() == raw.count() == b.train.count() + b.held.count()
+
+
+def test_elimination_path_sizes():
+    from scorewright.operators.select import path_sizes
+    assert path_sizes(10, 4, 3) == [10, 7, 4]
+    assert path_sizes(10, 4, 0.4) == [10, 6, 4]
+    assert path_sizes(3, 5) == [3]
