@@ -4,7 +4,7 @@
 task.  Instead, rows are ordered by a 60-bit hash key ``h`` whose top bits form
 ``2**bits`` buckets.  md5 is uniform, so every class is spread evenly over the
 buckets however skewed the classes are.  Per-(class, bucket) counts form a small
-table (``classes x 2**bits`` rows), a running sum over it gives each bucket's
+table (``classes x 2**bits`` rows; bits grow with the counted rows), a running sum over it gives each bucket's
 offset, and a window partitioned by (class, bucket) adds the local row number.
 The result equals the global per-class rank ordered by (h, tie).
 """
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 HASH_HEX = 15          # 15 hex digits = 60 bits, fits a positive bigint
 HASH_BITS = 4 * HASH_HEX
 OFFSET_TABLE_LIMIT = 1_000_000   # rows of the offset table that may be broadcast
+BUCKET_ROWS = 1_000_000          # rows of a (class, bucket) window; more buckets beyond it
 
 
 def hash_key(key: str | Column, seed: int) -> Column:
@@ -36,18 +37,25 @@ def hashed_rank(df: DataFrame, by: Sequence[str], h: Column, tie: Column, *, bit
     """Append the 0-based rank of each row within ``by`` ordered by (h, tie), and
     optionally the group size."""
     by = list(by)
-    work = df.withColumn("_h", h).withColumn("_bucket", F.shiftright(F.col("_h"), HASH_BITS - bits))
-    counts = work.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    hashed = df.withColumn("_h", h)
     w = Window.partitionBy(*by).orderBy("_bucket")
-    offsets = counts.select(
-        *by, "_bucket",
-        (F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_cnt"))
-        .alias("_offset"),
-        F.sum("_cnt").over(Window.partitionBy(*by)).alias("_gn"))
-    # The offset table has (#groups x 2**bits) rows; it is cached (tiny) so the size
-    # check and the join share one pass, and broadcast only under a checked bound.
-    offsets = offsets.cache()
-    n_off = offsets.count()
+    while True:
+        work = hashed.withColumn("_bucket", F.shiftright(F.col("_h"), HASH_BITS - bits))
+        counts = work.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+        # The offset table has (#groups x 2**bits) rows; it is cached (tiny) so the size
+        # check and the join share one pass, and broadcast only under a checked bound.
+        offsets = counts.select(
+            *by, "_bucket",
+            (F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_cnt"))
+            .alias("_offset"),
+            F.sum("_cnt").over(Window.partitionBy(*by)).alias("_gn")).cache()
+        size = offsets.agg(F.count(F.lit(1)).alias("n"), F.max("_gn").alias("largest")).first()
+        wanted = ((size["largest"] or 0) // BUCKET_ROWS).bit_length()   # bits that the largest group needs
+        if wanted <= bits:
+            break
+        offsets.unpersist()
+        bits = wanted
+    n_off = size["n"]
     offsets = F.broadcast(offsets) if n_off <= OFFSET_TABLE_LIMIT else offsets
     # null-safe: rows with a NULL group or hash keep their place
     keys = [*by, "_bucket"]

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 64
+BUCKET_ROWS = 1_000_000   # distinct scores in a bucket; more buckets beyond it
 EPS_F1 = 1e-10
 
 
@@ -105,14 +106,25 @@ def score_groups(df: DataFrame, label: str, score: str) -> DataFrame:
         F.sum((1 - F.col(label)).cast("long")).alias("neg"))
 
 
+def _score_cuts(groups: DataFrame, buckets: int) -> list[float]:
+    """Cuts of the distinct scores into ``buckets`` ranges, more where a range would hold
+    over ``BUCKET_ROWS`` of them."""
+    while buckets > 1:
+        probs = [i / buckets for i in range(1, buckets)]
+        row = groups.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("score", probs, max(10000, 10 * buckets)).alias("c")).first()
+        wanted = -(-row["n"] // BUCKET_ROWS)
+        if wanted <= buckets:
+            return sorted({float(c) for c in (row["c"] or []) if c is not None})
+        buckets = wanted
+    return []
+
+
 def cumulative(df: DataFrame, label: str, score: str, buckets: int = BUCKETS) -> DataFrame:
     """One row per distinct score with positives / negatives at that score and the
     cumulative counts ``tp``/``fp`` of all rows scoring >= it, plus the next lower
     point's counts (``next_pos``/``next_neg``, NULL at the lowest score)."""
     g = score_groups(df, label, score)
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = g.agg(F.percentile_approx("score", probs, 10000).alias("c")).first()["c"] if probs else []
-    cuts = sorted({float(c) for c in (cuts or []) if c is not None})
+    cuts = _score_cuts(g, buckets)
     if cuts:
         splits = [float("-inf")] + cuts + [float("inf")]
         b = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(g)
@@ -230,13 +242,17 @@ def threshold_grid_f1(df: DataFrame, label: str, score: str, thresholds: Sequenc
     """F1 at every grid threshold without pairing rows with thresholds: each row
     counts the grid points it clears (``k``), rows aggregate by ``k`` (at most
     len(grid)+1 groups), and suffix sums over k give tp / fp at every threshold."""
-    ts = sorted(thresholds)
-    arr = F.array(*[F.lit(float(t)) for t in ts])
-    s = F.col(score)
-    k = F.size(F.filter(arr, (lambda t: t < s) if comparator == ">" else (lambda t: t <= s)))
-    per_k = df.where(s.isNotNull()).groupBy(k.alias("k")).agg(
+    ts = sorted({float(t) for t in thresholds})
+    inf, s = float("inf"), F.col(score).cast("double")
+    rows = scored_rows(df, label, score).select(F.col(label), (-s if comparator == ">" else s).alias("_s"))
+    # the bucketizer counts the cuts at or below a value; with signs turned, those at or above it
+    cuts = [-t for t in reversed(ts)] if comparator == ">" else ts
+    at = Bucketizer(splits=[-inf, *cuts, inf], inputCol="_s", outputCol="_at").transform(rows)
+    k = F.col("_at").cast("int")
+    k = F.lit(len(ts)) - k if comparator == ">" else k
+    per_k = at.groupBy(k.alias("k")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg"))
-    p_tot, n_tot = _totals(df.where(s.isNotNull()), label)
+    p_tot, n_tot = _totals(rows, label)
     spark = df.sparkSession
     # grid point i as a marker row at k = i + 1; a suffix sum over k (ties included)
     # then gives, at the marker, the counts of all rows with k > i.  Both parts

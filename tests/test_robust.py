@@ -1,6 +1,7 @@
 """NULL keys, NULL labels and NaN scores; the checkpoint folder; required columns."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from scorewright.operators.metrics import roc_auc
 from scorewright.operators.split import random_split, stratified_kfold, stratified_split
@@ -46,3 +47,29 @@ def test_required_columns(rows):
         require_columns(rows, ["id", "nope"])
     with pytest.raises(ValueError):
         load_labeled(rows.sparkSession, rows, "absent")
+
+
+def test_more_buckets_give_the_same_ranks_and_curves(spark, monkeypatch):
+    from scorewright.functions import ranks
+    from scorewright.operators import metrics
+    rows = spark.range(500).selectExpr("id", "cast(id % 3 = 0 as int) label", "(id * 7 % 101) / 101.0D score")
+
+    def results():
+        r = ranks.hashed_rank(rows, ["label"], ranks.hash_key("id", 1), F.col("id"), bits=1)
+        c = metrics.cumulative(rows, "label", "score", 2)
+        return (sorted(map(tuple, r.select("id", "_rank", "_group_n").collect())),
+                sorted(map(tuple, c.select("score", "tp", "fp").collect())))
+
+    before = results()
+    monkeypatch.setattr(ranks, "BUCKET_ROWS", 20)
+    monkeypatch.setattr(metrics, "BUCKET_ROWS", 10)
+    assert results() == before
+
+
+def test_threshold_grid_skips_null_labels_and_nan_scores(spark):
+    from scorewright.operators.metrics import threshold_grid_f1
+    rows = spark.createDataFrame([(1, 0.5), (0, 0.25), (1, 0.75), (None, 0.9), (1, float("nan")), (0, None)], "label int, score double")
+    at = {c: [(r["threshold"], r["tp"], r["fp"], r["fn"], r["tn"])
+              for r in threshold_grid_f1(rows, "label", "score", [0.25, 0.5], c).orderBy("threshold").collect()] for c in (">", ">=")}
+    assert at[">"] == [(0.25, 2, 0, 0, 1), (0.5, 1, 0, 1, 1)]
+    assert at[">="] == [(0.25, 2, 1, 0, 0), (0.5, 2, 0, 0, 1)]
