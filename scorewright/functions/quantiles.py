@@ -1,165 +1,142 @@
-"""Exact table quantiles that stay distributed at any size.
+"""Exact table quantiles by histogram narrowing: one path at every size.
 
 pandas ``median`` / ``quantile`` interpolate linearly between order statistics.
-Spark's ``percentile`` is exact but keeps one map entry per distinct value in
-its aggregation buffer, which is fine for counts and flags and not for a
-high-cardinality double over billions of rows.  ``exact_quantiles`` therefore
-picks per column:
-
-* **direct** - ``percentile`` when the (sketched) number of distinct values is
-  at most ``direct_distinct``;
-* **banded** - ``percentile_approx`` brackets the target rank, one aggregate
-  counts the rows below the bracket exactly, and only the distinct values inside
-  the bracket (bounded by ~``band_rows``, independent of table size once the
-  accuracy is scaled with the row count) are counted and read back.  The k-th
-  value is then exact.  If the bracket misses (it cannot, by the sketch's error
-  bound, but ties are checked), the column falls back to the direct path.
-
-Interpolation is Spark's own formula, so both paths return identical doubles.
-All results are driver-side scalars: a handful of numbers per column.
+``exact_quantiles`` finds them for all columns at once:
+
+1. one aggregate counts the values and brackets each target rank with a sketch of a
+   fixed accuracy; a second one counts the values below each bracket;
+2. each pass counts the values of every open bracket in ``BINS`` equal bins, with the
+   smallest and largest value of a bin, and goes on in the bin that holds the rank.
+   A pass shrinks a bracket's width at least ``BINS`` times, and two different ends
+   never share a bin, so it ends.
+
+A bracket that misses its rank is opened to the column's whole range and narrowed in
+the same way.  The driver reads at most ``BINS`` rows for each open target a pass; no
+buffer, task or read-back grows with rows, distinct values or ties.  The columns are
+stored once, so the passes do not repeat the plan behind ``df``.
+
+Values are those of Spark's ``percentile``, with its interpolation.  NULL and NaN are
+missing; a column without values gives None.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIRECT_DISTINCT = 100_000
-BAND_ROWS = 100_000
+from ..session import materialize
+
+BINS = 256
+ACCURACY = 1000
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_quantiles(df: DataFrame, specs: Mapping[str, tuple], *,
-                    direct_distinct: int = DIRECT_DISTINCT,
-                    band_rows: int = BAND_ROWS) -> dict[str, float | None]:
-    """``specs``: name -> (column, p).  Returns name -> value (None if no non-null row)."""
-    if not specs:
-        return {}
-    cols: dict[str, Column] = {}
-    for name, (c, _p) in specs.items():
-        cols.setdefault(_key(c), _c(c).cast("double"))
-    keys = list(cols)
-    proj = df.select(*[cols[k].alias(f"v{i}") for i, k in enumerate(keys)])
-    vname = {k: f"v{i}" for i, k in enumerate(keys)}
-
-    sizes = proj.agg(*[
-        F.struct(F.count(vname[k]).alias("n"),
-                 # only an order-of-magnitude decision: a coarse sketch is 5x cheaper
-                 F.approx_count_distinct(vname[k], 0.2).alias("d")).alias(vname[k])
-        for k in keys]).first()
-    n_of = {k: sizes[vname[k]]["n"] for k in keys}
-    d_of = {k: sizes[vname[k]]["d"] for k in keys}
-
-    direct = {n: s for n, s in specs.items() if d_of[_key(s[0])] <= direct_distinct}
-    banded = {n: s for n, s in specs.items() if n not in direct}
-    out: dict[str, float | None] = {}
-    if direct:
-        # one percentile aggregate per column, with all its probabilities
-        probs: dict[str, list[float]] = {}
-        for c, p in direct.values():
-            lst = probs.setdefault(_key(c), [])
-            if float(p) not in lst:
-                lst.append(float(p))
-        cols_ = list(probs)
-        row = proj.agg(*[F.percentile(vname[k], F.array(*[F.lit(p) for p in probs[k]])).alias(f"q{i}")
-                         for i, k in enumerate(cols_)]).first()
-        for name, (c, p) in direct.items():
-            k = _key(c)
-            vals = row[f"q{cols_.index(k)}"]
-            out[name] = None if vals is None else vals[probs[k].index(float(p))]
-    if banded:
-        out.update(_banded(proj, banded, vname, n_of, band_rows, direct_distinct))
-    return out
-
-
 def _key(c) -> str:
     return c if isinstance(c, str) else str(c)
 
 
-def _positions(n: int, p: float) -> tuple[float, int, int]:
-    pos = p * (n - 1)
-    return pos, int(math.floor(pos)), int(math.ceil(pos))
-
-
-def _interpolate(pos: float, lo_rank: int, hi_rank: int, lo: float, hi: float) -> float:
-    if lo_rank == hi_rank:
-        return lo
-    return (hi_rank - pos) * lo + (pos - lo_rank) * hi
-
-
-def _banded(proj: DataFrame, specs, vname, n_of, band_rows, direct_distinct):
-    out = {}
-    work = {name: (vname[_key(c)], float(p)) for name, (c, p) in specs.items() if n_of[_key(c)]}
-    for name, (c, _p) in specs.items():
-        if not n_of[_key(c)]:
-            out[name] = None
-    if not work:
-        return out
-    n_max = max(n_of[_key(c)] for c, _ in specs.values())
-    accuracy = int(min(2**31 - 1, max(10_000, 4 * n_max // band_rows + 1)))
-    delta = 3.0 / accuracy
-
-    brackets = proj.agg(*[
-        F.percentile_approx(v, [max(0.0, p - delta), min(1.0, p + delta)], accuracy).alias(name)
-        for name, (v, p) in work.items()]).first()
-    bounds = {name: (brackets[name][0], brackets[name][1]) for name in work}
-
-    below = proj.agg(*[F.count_if(F.col(v) < F.lit(bounds[name][0])).alias(name)
-                       for name, (v, _p) in work.items()]).first()
-
-    # one job: distinct values inside every bracket, with their multiplicity
-    parts = [proj.where((F.col(v) >= F.lit(bounds[name][0])) & (F.col(v) <= F.lit(bounds[name][1])))
-             .select(F.lit(name).alias("q"), F.col(v).alias("x"))
-             for name, (v, _p) in work.items()]
-    band = parts[0]
-    for p_ in parts[1:]:
-        band = band.unionByName(p_)
-    limit = len(work) * (band_rows + 1) * 4
-    hist = band.groupBy("q", "x").count().limit(limit + 1).collect()
-    if len(hist) > limit:
-        hist = []  # degenerate bracket: fall back below
-    by_q: dict[str, list] = {}
-    for r in hist:
-        by_q.setdefault(r["q"], []).append((r["x"], r["count"]))
-
-    fallback = {}
-    for name, (v, p) in work.items():
-        n = n_of[_key(specs[name][0])]
-        pos, lo_rank, hi_rank = _positions(n, p)
-        got = _kth(sorted(by_q.get(name, [])), below[name], (lo_rank, hi_rank))
-        if got is None:
-            fallback[name] = (v, p)
-        else:
-            out[name] = _interpolate(pos, lo_rank, hi_rank, got[0], got[1])
-    if fallback:
-        row = proj.agg(*[F.percentile(v, p).alias(name) for name, (v, p) in fallback.items()]).first()
-        out.update({name: row[name] for name in fallback})
-    return out
-
-
-def _kth(values_counts, below: int, ranks):
-    """Values at the given 0-based ranks, or None if a rank lies outside the band."""
-    res = []
-    for r in ranks:
-        if r < below:
-            return None
-        seen = below
-        hit = None
-        for x, cnt in values_counts:
-            seen += cnt
-            if r < seen:
-                hit = x
-                break
-        if hit is None:
-            return None
-        res.append(hit)
-    return res
+@dataclass
+class _Target:
+    """One quantile of a column: its bracket, the values below that, and its two ranks."""
+    column: str
+    p: float
+    n: int
+    low: float
+    high: float
+    below: int = 0
+    value: float | None = None
+
+    @property
+    def position(self) -> float:
+        return self.p * (self.n - 1)
+
+    @property
+    def ranks(self) -> tuple[int, int]:
+        return math.floor(self.position), math.ceil(self.position)
+
+    def bin(self, bins: int) -> Column:
+        x = F.col(self.column)
+        span = self.high / 2 - self.low / 2
+        if span == 0 or not math.isfinite(span):  # no arithmetic between such ends: they and the rest
+            return F.when(x == F.lit(self.low), 0).when(x == F.lit(self.high), 2).otherwise(1)
+        return F.least(F.floor((x / 2 - F.lit(self.low / 2)) / F.lit(span) * bins), F.lit(bins - 1)).cast("int")
+
+    def inside(self) -> Column:
+        return F.col(self.column).between(F.lit(self.low), F.lit(self.high))
+
+    def settle(self, a: float, b: float) -> None:
+        first, last = self.ranks
+        self.value = a if first == last or a == b else (last - self.position) * a + (self.position - first) * b
+
+    def narrow(self, counted: list[tuple[int, int, float, float]]) -> bool:
+        """Go on in the bin that holds the ranks; False if the bracket misses them."""
+        first, last = self.ranks
+        if first < self.below:
+            return False
+        seen, a = self.below, None
+        for _, n, low, high in sorted(counted):
+            if a is not None:  # the first rank ended the bin before, the last one begins this
+                self.settle(a, low)
+                return True
+            if first < seen + n:
+                if last >= seen + n:
+                    a = high
+                elif low == high:
+                    self.settle(low, low)
+                    return True
+                else:
+                    self.below, self.low, self.high = seen, low, high
+                    return True
+            seen += n
+        return False
+
+
+def exact_quantiles(df: DataFrame, specs: Mapping[str, tuple], *, bins: int = BINS,
+                    accuracy: int = ACCURACY) -> dict[str, float | None]:
+    """``specs``: name -> (column, p).  Returns name -> value (None if no value)."""
+    if not specs:
+        return {}
+    columns = {_key(c): _c(c).cast("double") for c, _ in specs.values()}
+    short = {k: f"v{i}" for i, k in enumerate(columns)}
+    data = materialize(df.select(*[F.when(~F.isnan(c), c).alias(short[k]) for k, c in columns.items()]))
+    wanted = {(short[_key(c)], float(p)) for c, p in specs.values()}
+    probs = {v: sorted(p for c, p in wanted if c == v) for v in short.values()}
+
+    margin = 3.0 / accuracy
+    sketch = data.agg(*[
+        F.struct(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"),
+                 F.percentile_approx(v, [q for p in ps for q in (max(0.0, p - margin), min(1.0, p + margin))], accuracy).alias("at")).alias(v)
+        for v, ps in probs.items()]).first()
+    targets = {(v, p): _Target(v, p, sketch[v]["n"], *sketch[v]["at"][2 * i:2 * i + 2])
+               for v, ps in probs.items() if sketch[v]["n"] for i, p in enumerate(ps)}
+
+    todo = list(targets.values())
+    if todo:
+        below = data.agg(*[F.count_if(F.col(t.column) < F.lit(t.low)).alias(f"t{i}") for i, t in enumerate(todo)]).first()
+        for t, n in zip(todo, below):
+            t.below = n
+    while todo:
+        hits = F.array(*[F.when(t.inside(), F.struct(F.lit(i).alias("t"), t.bin(bins).alias("bin"), F.col(t.column).alias("x")))
+                         for i, t in enumerate(todo)])
+        counted = (data.select(F.explode(F.array_compact(hits)).alias("r")).groupBy("r.t", "r.bin")
+                   .agg(F.count("*").alias("n"), F.min("r.x").alias("low"), F.max("r.x").alias("high")).collect())
+        found: dict[int, list] = {}
+        for r in counted:
+            found.setdefault(r["t"], []).append((r["bin"], r["n"], r["low"], r["high"]))
+        for i, t in enumerate(todo):
+            if not t.narrow(found.get(i, [])):
+                t.low, t.high, t.below = sketch[t.column]["low"], sketch[t.column]["high"], 0
+        todo = [t for t in todo if t.value is None]
+
+    value = {k: t.value for k, t in targets.items()}
+    return {name: value.get((short[_key(c)], float(p))) for name, (c, p) in specs.items()}
 
 
 def table_stats(df: DataFrame, exprs: Mapping[str, Column]) -> dict:

@@ -16,14 +16,30 @@ from scorewright.sources.tables import table
 from conftest import SF_MID, SF_SMALL
 
 
-def test_banded_quantiles_equal_direct(spark):
+def test_quantiles_equal_percentile(spark):
     li = table(spark, SF_MID, "lineitem")
-    specs = {f"{c}|{p}": (c, p) for c in ("l_extendedprice", "l_discount") for p in (0.05, 0.25, 0.5, 0.9)}
-    direct = exact_quantiles(li, specs, direct_distinct=10**9)
-    banded = exact_quantiles(li, specs, direct_distinct=0, band_rows=500)
-    assert direct == banded
-    pdf = li.select("l_extendedprice").toPandas()
-    assert math.isclose(direct["l_extendedprice|0.5"], pdf["l_extendedprice"].median(), rel_tol=1e-12)
+    ps = (0.05, 0.25, 0.5, 0.9)
+    specs = {f"{c}|{p}": (c, p) for c in ("l_extendedprice", "l_discount") for p in ps}
+    want = li.agg(*[F.percentile(F.col(c).cast("double"), p).alias(f"{c}|{p}") for c, p in specs.values()]).first().asDict()
+    assert exact_quantiles(li, specs) == want
+    assert exact_quantiles(li, specs, bins=8, accuracy=20) == want  # wide brackets, many passes
+
+
+def test_quantiles_of_ties_extremes_and_nothing(spark):
+    huge, inf = 1.7e308, math.inf
+    tied = [5.0] * 900 + [float(i) for i in range(100)]
+    ends = [-inf, -huge, -1.0, 0.0, 5e-324, 1e-323, 3.0, huge, inf]
+    rows = [(tied[i], ends[i] if i < len(ends) else None, None) for i in range(1000)]
+    df = spark.createDataFrame(rows, "tied double, ends double, nothing double")
+    specs = {f"tied|{p}": ("tied", p) for p in (0.0, 0.25, 0.5, 0.951, 1.0)} | {
+        f"ends|{p}": ("ends", p) for p in (0.0, 0.125, 0.375, 0.5, 0.625, 0.875, 1.0)} | {"nothing": ("nothing", 0.5)}
+    got = exact_quantiles(df, specs, accuracy=5)
+    for name, (c, p) in specs.items():
+        values = sorted({"tied": tied, "ends": ends}.get(c, []))
+        at = p * (len(values) - 1)
+        low, high = math.floor(at), math.ceil(at)
+        want = None if not values else values[low] if high == low else (high - at) * values[low] + (at - low) * values[high]
+        assert got[name] == want, name
 
 
 def test_hashed_rank_equals_global_row_number(spark):
@@ -73,11 +89,11 @@ def test_grid_f1_equals_brute_force(spark):
         assert (got[t]["tp"], got[t]["fp"]) == (tp, fp)
 
 
-def test_grouped_quantile_banded_equals_direct(spark):
+def test_grouped_quantile_equals_median(spark):
     from scorewright.operators.profile import grouped_quantile
     li = table(spark, SF_MID, "lineitem")
     got = {r["l_returnflag"]: r["q"] for r in
-           grouped_quantile(li, "l_returnflag", "l_extendedprice", 0.5, direct_distinct=0, band_rows=200).collect()}
+           grouped_quantile(li, "l_returnflag", "l_extendedprice", 0.5, accuracy=50).collect()}
     ref = {r["l_returnflag"]: r["m"] for r in
            li.groupBy("l_returnflag").agg(F.median("l_extendedprice").alias("m")).collect()}
     assert got == ref

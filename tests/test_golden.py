@@ -33,10 +33,10 @@ def test_row_stats(spark):
     assert r[1]["s"] == 0.0 and r[1]["m"] is None and r[1]["sd"] is None
 
 
-@pytest.mark.parametrize("direct", [10**9, 0])
-def test_quantiles_even_median_and_q25(spark, direct):
-    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "x double")
-    q = exact_quantiles(df, {"m": ("x", 0.5), "q": ("x", 0.25)}, direct_distinct=direct)
+@pytest.mark.parametrize("bins", [2, 256])
+def test_quantiles_even_median_and_q25(spark, bins):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,), (None,), (math.nan,)], "x double")
+    q = exact_quantiles(df, {"m": ("x", 0.5), "q": ("x", 0.25)}, bins=bins)
     assert q["m"] == 2.5 and q["q"] == 1.75
 
 
