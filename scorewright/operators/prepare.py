@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from ..functions.nullsafe import clip
 from ..functions.quantiles import exact_quantiles
+from ..session import materialize
+
+BROADCAST_BYTES = 32 << 20  # of an encoder's values and codes
 
 
 # T1 ------------------------------------------------------------------------
@@ -105,6 +108,15 @@ def _as_label_string(col: str):
     return F.coalesce(F.col(col).cast("string"), F.lit("nan"))
 
 
+def _sized(encoder: DataFrame) -> DataFrame:
+    """An encoder's frame, stored and with a broadcast hint while its counted size is
+    small, so the large side is not shuffled on a category that may be hot.  Beyond
+    that it is joined by a shuffle, whose skewed keys adaptive execution splits."""
+    encoder = materialize(encoder)
+    size = encoder.agg(F.sum(F.coalesce(F.octet_length(F.col("value").cast("string")), F.lit(0)) + F.lit(16))).first()[0] or 0
+    return F.broadcast(encoder) if size <= BROADCAST_BYTES else encoder
+
+
 def fit_label_codes(train: DataFrame, col: str) -> DataFrame:
     """Per-category codes 0..n-1 in sorted order, as a small frame (value, code).
 
@@ -119,7 +131,7 @@ def apply_label_codes(df: DataFrame, col: str, codes: DataFrame, unseen: str = "
     appended after the fitted classes).  ``unseen='null'`` leaves NULL."""
     out = out or f"{col}_code"
     keyed = df.withColumn("_lbl", _as_label_string(col))
-    joined = keyed.join(codes.withColumnRenamed("value", "_lbl").withColumnRenamed("code", "_code"),
+    joined = keyed.join(_sized(codes).withColumnRenamed("value", "_lbl").withColumnRenamed("code", "_code"),
                         "_lbl", "left")
     code = F.col("_code")
     if unseen == "extra":
@@ -154,7 +166,7 @@ def fit_target_encoding(train: DataFrame, col: str, label: str, *, method: str =
 def apply_target_encoding(df: DataFrame, col: str, enc: DataFrame, prior: float,
                           out: str | None = None) -> DataFrame:
     out = out or f"{col}_te"
-    e = enc.withColumnRenamed("value", "_v").withColumnRenamed("encoding", "_e")
+    e = _sized(enc).withColumnRenamed("value", "_v").withColumnRenamed("encoding", "_e")
     return (df.join(e, df[col] == e["_v"], "left")
             .withColumn(out, F.coalesce(F.col("_e"), F.lit(prior))).drop("_v", "_e"))
 

@@ -269,9 +269,9 @@ def grouped_quantile(df: DataFrame, group: str, value: str, p: float = 0.5, name
     """Exact per-group quantile without a per-group value map.
 
     Each group value becomes its own column (``when(group = g, x)``) in one
-    ``exact_quantiles`` pass, so a group holding a third of all rows is handled
-    by the bracket-and-band path like any large column.  The group vocabulary is
-    read back (bounded, like ``StringIndexer``'s); the result has one row per group."""
+    ``exact_quantiles`` call, so a group holding a third of all rows is narrowed
+    like any large column.  The group vocabulary is read back, like
+    ``StringIndexer``'s; the result has one row per group."""
     groups = [r[0] for r in df.select(group).distinct().collect()]
     specs = {f"g{i}": (F.when(F.col(group).eqNullSafe(F.lit(g)), F.col(value)), p) for i, g in enumerate(groups)}
     q = exact_quantiles(df, specs, **kw)
