@@ -57,6 +57,7 @@ BLOCK = 256                 # texts of a candidate group in a block; two blocks
 BLOCK_BYTES = 8 << 20       # their bytes, about
 KNOWN = 1 << 22             # elements of vectors that a task keeps
 COLUMNS = 8192              # common elements of a matrix product
+LARGE = 4096                # classes of more than one row in so many have their size broadcast
 
 _U = np.uint64
 _CELLS = 4096
@@ -388,8 +389,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     out = reps.select("key", "rep")
     out = out.withColumn("comp", F.col("rep")) if label is None else out.join(label, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     out = materialize(signed.select("id", "key").join(out, "key").select("id", "comp"))
-    size = out.where("comp is not null").groupBy("comp").agg(F.count("*").alias("class_size"))
-    return out.join(size, "comp", "left").select(
+    size = materialize(out.where("comp is not null").groupBy("comp").agg(F.count("*").alias("class_size")))
+    # at most LARGE classes hold more than one row in LARGE, so their sizes can be broadcast; no large class is shuffled
+    large = size.where(F.col("class_size") * LARGE > n_rows)
+    sized = out.join(F.broadcast(large), "comp").unionByName(
+        out.where("comp is not null").join(F.broadcast(large.select("comp")), "comp", "left_anti").join(size, "comp")).unionByName(
+        out.where("comp is null"), allowMissingColumns=True)
+    return sized.select(
         F.col("id").alias(id_col), F.col("comp").alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
         F.col("id").eqNullSafe(F.col("comp")).alias("kept"))
 

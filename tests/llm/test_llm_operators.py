@@ -163,7 +163,10 @@ def test_near_duplicate_classes(spark):
             rows.append("  ".join(x))
     rows += [None, "", "one two", "one  two", "one two three"]
     df = spark.createDataFrame(list(enumerate(rows)) + [(None, "one two"), (1, rows[1])], "doc_id long, text string")
-    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df, features=1 << 12).collect() if r.doc_id is not None}
+    out = near_dup.near_duplicates(df, features=1 << 12).collect()
+    got = {r.doc_id: r.class_id for r in out if r.doc_id is not None}
+    sizes = collections.Counter(r.class_id for r in out)
+    assert all(r.class_size == sizes[r.class_id] for r in out)
     counts, n = near_dup.document_frequencies(df, 1 << 12)
     idf = near_dup.inverse_frequency(counts, n)
     parent = list(range(len(rows)))
@@ -292,3 +295,35 @@ def test_pipeline_stages(spark):
         ids = left
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r.doc_id for r in packed.collect()} == ids
+
+
+CLASHES = ["id", "key", "rep", "comp", "bands", "bytes", "unit", "row", "_gone", "kept", "keep_id", "group_size", "class_id", "n_words",
+           "base_failed", "prob", "n_tokens", "topic", "cell", "weight", "_group", "start", "length", "sequence_id", "offset", "score", "toxic", "h", "n"]
+
+
+def clashing(spark, rows):
+    """Rows of documents whose further columns have names that operators use inside."""
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return df.select("*", *[near_dup.F.lit("x").alias(c) for c in CLASHES])
+
+
+def odd_documents():
+    prose = [" ".join(random.choice(["sun", "rain", "field", "river", "stone", "walks", "near", "old", "green"]) + str(random.randint(0, 60))
+                      for _ in range(150)) for _ in range(20)]
+    texts = ODD + prose + prose[:5] + [p + " end" for p in prose[5:10]]
+    rows = [(i, t, random.choice(["en", None]), random.choice(["a", "a", None]), None) for i, t in enumerate(texts)]
+    return rows + [(None, prose[0], None, None, None), (None, None, "en", "a", 3), rows[-1]]
+
+
+def test_stages_and_operators_on_odd_and_clashing_columns(spark):
+    import corpus_pipeline
+
+    rows = odd_documents()
+    docs, ids = clashing(spark, rows), collections.Counter(r[0] for r in rows)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        alone = stage(spark, docs, SF)
+        assert alone.columns == docs.columns and not collections.Counter(r.doc_id for r in alone.collect()) - ids
+    labels = spark.createDataFrame([(i, i % 2, 7) for i in range(40)] + [(None, 1, 0), (3, None, 0)], "doc_id long, toxic int, score int")
+    for out in (secret_scan.secrets(docs), toxicity.toxicity(docs, labels), token_counts.token_counts(docs, tokenizer("piece_bpe_32k.model"), 5),
+                packing.pack_documents(docs, tokenizer("byte_bpe_50k.json")).where("start = 0")):
+        assert collections.Counter(r.doc_id for r in out.collect()) == ids
