@@ -6,7 +6,7 @@ stronger ones leave.  Its trie and the automata of one
 edit run as one: a state is a set of (trie node, edits so far), and states and their
 transitions are kept once computed, so a word costs a look-up a letter and most words
 end in the dead state after three or four.  Stems match words that begin with them and
-allow no edit; words of five letters or more allow one.
+allow no edit; words of five letters or more, which stay beside their stems, allow one.
 
 Each hit carries its context: quoted if it lies between quotation marks, or if a word of
 reporting or rejecting stands in the window of ``WINDOW`` words before it or after it.  For each
@@ -173,7 +173,7 @@ class Model:
         for entry, edits, quoted in lexicon.kinds(text):
             w = self.weight.get((entry, edits, quoted))
             if w is None:
-                w = self.weight.get((-1, edits, quoted), 0.0)
+                w = self.weight.get((-1, edits, quoted), 0.0 if quoted else 0.5)  # of a kind that the sample lacks
             best[entry] = max(best.get(entry, 0.0), w)
         clean = 1 - max([self.base, *best.values()])
         for w in sorted(best.values())[:-1]:
@@ -226,7 +226,8 @@ def learn(sample: DataFrame) -> Model:
         if len(open_docs) - len(left) >= max(2, LEAST_GAIN * n_bad):
             entries.append(f)
             open_docs = left
-    entries.sort()
+    # words stay beside their stems: stems allow no edit, so one-edit matching needs them
+    entries = sorted({*entries, *(f for f in ranked if not f.endswith("*") and any(f[:n] + "*" in entries for n in (4, 5, 6)))})
 
     def hits(batches):
         lexicon, bad, good = Lexicon(entries), Counter(), Counter()

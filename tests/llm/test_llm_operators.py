@@ -281,6 +281,19 @@ def test_toxicity_on_the_held_out_fold(spark):
     assert auc > 0.9 and out.predicted[~bad].mean() < 0.05 and out.score.between(0, 1).all()
 
 
+def test_learned_lexicon_finds_misspelled_words(spark):
+    words = ["trash", "idiot", "pathetic"]
+    filler = [f"w{i}x" for i in range(3000)]
+    rows = [(" ".join([*random.sample(filler, 40), random.choice(words)]), True) for _ in range(60)]
+    rows += [(" ".join(random.sample(filler, 40)), False) for _ in range(600)]
+    model = toxicity.learn(spark.createDataFrame(rows, "text string, toxic boolean"))
+    lexicon = model.lexicon()
+    assert set(words) <= set(model.entries)
+    for w in ("tr4sh", "trsh", "ttrash", "1diot", "idot", "idi0t", "pahetic"):
+        assert model.score(lexicon, f"you are {w} today") > 0.4
+    assert model.score(lexicon, "you are here today") == pytest.approx(model.base)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
