@@ -1,8 +1,8 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, and context windows.
 
 The lexicon is learned from labelled rows: words, and stems of four to six letters, that
-toxic documents hold many times as often as others, each of which explains some that
-stronger ones leave.  Its trie and the automata of one
+toxic documents hold many times as often as others; near copies are counted once, so
+that the words of a copied text do not enter by their number.  Its trie and the automata of one
 edit run as one: a state is a set of (trie node, edits so far), and states and their
 transitions are kept once computed, so a word costs a look-up a letter and most words
 end in the dead state after three or four.  Stems match words that begin with them and
@@ -31,20 +31,22 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from . import near_dup
 from .util import BoundedCache
 
 SAMPLE = 20_000
 LEXICON = 2_000
-LEAST_DOCS = 3          # toxic sample documents that hold an entry
+LEAST_DOCS = 3          # toxic sample documents, copies counted once, that hold an entry
 LIFT = 15.0             # times as frequent in toxic documents
 EVIDENCE = 8.0          # log-likelihood ratio against chance, so that rare words don't enter by luck
 LEAST_SHARE = 0.005     # of the toxic sample documents
-LEAST_GAIN = 0.002      # of them, that no earlier entry explains
+COPY_BANDS, COPY_ROWS = 12, 6   # 0.97 of the pairs of similarity 0.8 are taken as copies, 0.01 of those of 0.3
 STRONG = 0.5
 FUZZY_LENGTH = 5
 WINDOW = 6
@@ -188,13 +190,40 @@ def sample_of(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFra
     return docs.join(F.broadcast(picked), "id").select("text", (F.col("toxic") > 0).alias("toxic")).dropDuplicates()
 
 
+def copies_of(rows: DataFrame) -> DataFrame:
+    """(row, copy) of a bounded sample (row, text): rows that agree on a band of weighted samples share a copy class."""
+    spark = rows.sparkSession
+    drawn = near_dup.signatures(rows.select(F.col("row").alias("id"), "text"), spark.sparkContext.broadcast(np.ones(1)), COPY_BANDS, COPY_ROWS)
+    parent: dict[int, int] = {}
+    holder: dict = {}
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for row, key, bands in drawn.select("id", "key", "bands").collect():
+        parent[row] = row
+        for k in (bytes(key), *(bands or ())):
+            parent[find(holder.setdefault(k, row))] = find(row)
+    return spark.createDataFrame([(i, find(i)) for i in parent], "row long, copy long")
+
+
 def learn(sample: DataFrame) -> Model:
     """Fit on a stored sample (text, toxic) of bounded size."""
     def count(batches):
-        good, bad = Counter(), Counter()
+        """Classes of copies that hold each feature; the rows come class by class."""
+        good, bad, at, held = Counter(), Counter(), None, {True: set(), False: set()}
         for batch in batches:
-            for text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
-                (bad if toxic else good).update(features_of(set(words_of(text or ""))))
+            for c, text, toxic in zip(*(x.to_pylist() for x in batch.columns)):
+                if c != at:
+                    bad.update(held[True])
+                    good.update(held[False])
+                    at, held = c, {True: set(), False: set()}
+                held[toxic] |= features_of(set(words_of(text or "")))
+        bad.update(held[True])
+        good.update(held[False])
         keys = [k for k in bad if bad[k]] + [k for k in good if k not in bad]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([bad[k] for k in keys], pa.int64()),
                                           pa.array([good[k] for k in keys], pa.int64())], ["f", "bad", "good"])
@@ -203,31 +232,19 @@ def learn(sample: DataFrame) -> Model:
     n_bad, n_good = n.get(True, 0), n.get(False, 0)
     if not n_bad or not n_good:
         return Model([], n_bad / max(1, n_bad + n_good), {})
-    per = sample.select("text", "toxic").mapInArrow(count, "f string, bad long, good long").groupBy("f").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    # copies of a text are one witness
+    rows = materialize(sample.select("text", "toxic").withColumn("row", F.monotonically_increasing_id()))
+    rows = rows.join(F.broadcast(copies_of(rows)), "row").select("copy", "text", "toxic")
+    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.countDistinct("copy").alias("n")).collect()}
+    n_bad, n_good = n[True], n[False]
+    per = rows.repartition("copy").sortWithinPartitions("copy").mapInArrow(count, "f string, bad long, good long").groupBy("f").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     lift = (F.col("bad") / n_bad) / ((F.col("good") + 1) / n_good)
     share = n_bad / (n_bad + n_good)
     seen = F.col("bad") + F.col("good")
     evidence = F.col("bad") * F.log(F.col("bad") / (seen * share)) + F.when(
         F.col("good") > 0, F.col("good") * F.log(F.col("good") / (seen * (1 - share)))).otherwise(0.0)
     rows = per.where((F.col("bad") >= max(LEAST_DOCS, LEAST_SHARE * n_bad)) & (lift >= LIFT)).where(evidence >= EVIDENCE).orderBy(F.desc("bad"), "f").limit(LEXICON).collect()
-    ranked = [r["f"] for r in rows]
-    wanted = frozenset(ranked)
-
-    def holds(batches):
-        for batch in batches:
-            found = [sorted(features_of(set(words_of(x.as_py() or ""))) & wanted) for x in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], ["f"])
-
-    # an entry must explain toxic documents that stronger ones leave: words of copied texts do not
-    documents = [set(r["f"]) for r in sample.where("toxic").select("text").mapInArrow(holds, "f array<string>").collect()]
-    entries, open_docs = [], documents
-    for f in ranked:
-        left = [d for d in open_docs if f not in d]
-        if len(open_docs) - len(left) >= max(2, LEAST_GAIN * n_bad):
-            entries.append(f)
-            open_docs = left
-    # words stay beside their stems: stems allow no edit, so one-edit matching needs them
-    entries = sorted({*entries, *(f for f in ranked if not f.endswith("*") and any(f[:n] + "*" in entries for n in (4, 5, 6)))})
+    entries = sorted(r["f"] for r in rows)
 
     def hits(batches):
         lexicon, bad, good = Lexicon(entries), Counter(), Counter()

@@ -283,7 +283,7 @@ def test_toxicity_on_the_held_out_fold(spark):
 
 def test_learned_lexicon_finds_misspelled_words(spark):
     words = ["trash", "idiot", "pathetic"]
-    filler = [f"w{i}x" for i in range(3000)]
+    filler, random = [f"{i:05d}x" for i in range(30000)], __import__("random").Random(3)
     rows = [(" ".join([*random.sample(filler, 40), random.choice(words)]), True) for _ in range(60)]
     rows += [(" ".join(random.sample(filler, 40)), False) for _ in range(600)]
     model = toxicity.learn(spark.createDataFrame(rows, "text string, toxic boolean"))
@@ -294,6 +294,18 @@ def test_learned_lexicon_finds_misspelled_words(spark):
     assert model.score(lexicon, "you are here today") == pytest.approx(model.base)
 
 
+def test_lexicon_keeps_words_that_occur_together_and_no_copied_ones(spark):
+    filler, random = [f"{i:05d}x" for i in range(30000)], __import__("random").Random(3)
+    text = lambda *more: " ".join([*random.sample(filler, 40), *more])
+    rows = [(text("trash", "moron"), True) for _ in range(60)] + [(text(), False) for _ in range(600)]
+    copied = text("trash", "harmless", *random.sample(filler, 60))
+    rows += [(f"{copied} n{i}", True) for i in range(12)]
+    model = toxicity.learn(spark.createDataFrame(rows, "text string, toxic boolean"))
+    assert {"trash", "moron"} <= set(model.entries) and "harmless" not in model.entries
+    lexicon = model.lexicon()
+    assert model.score(lexicon, "a moron") >= toxicity.THRESHOLD > model.score(lexicon, "harmless")
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
