@@ -4,7 +4,9 @@ Documents fall into cells (source, language, topic).  Raking multiplies the cell
 token weights by target / current in turn for each margin until all margins hold.  A
 document of cell c is sampled with probability ``min(1, s * raked_c / tokens_c)``, with s
 such that the expected tokens are ``budget`` times all tokens.  The draw is a hash of the
-document's id and a seed, so a task that runs again draws the same.
+document's id and a seed; rows whose id is null or repeated are drawn by a hash of their
+text and a stored row number, too, so each is drawn alone.  A task that runs again draws
+the same.
 
 Only cell sums are shuffled, counted before the shuffle, so a source of a third of all
 rows is one partial sum a task.  Cells stay a distributed table through the iterations;
@@ -12,8 +14,7 @@ each round is stored.  Documents meet their cell by a broadcast join while there
 most ``BROADCAST_CELLS`` cells, by a shuffled join beyond.
 
 A null margin counts as the empty string.  Null texts count as empty: 0 tokens, kept
-with the probability of their cell, which is 1 in a cell without tokens.  Rows that
-repeat an id are drawn alike; null ids are all drawn alike, too.  A target without
+with the probability of their cell, which is 1 in a cell without tokens.  A target without
 documents is spread over the others; a value without a target keeps its share.  An
 empty table gives an empty one.  Further columns are not read.
 """
@@ -24,10 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .util import numbered
 
 ITERATIONS = 30
 TOLERANCE = 1e-6
 BROADCAST_CELLS = 50_000
+BROADCAST_IDS = 1_000_000
 MARGINS = ("source", "lang", "topic")
 TEMPERATURE = {"source": 0.7, "lang": 0.8, "topic": 0.9}  # default targets: shares to this power
 GRID = 64
@@ -110,9 +113,10 @@ def mix(df: DataFrame, budget: float, targets: dict[str, DataFrame] | None = Non
     """(id, source, lang, topic, n_tokens, prob, kept) of each row."""
     slim = with_margins(df, text_col, topic).select(
         F.col(id_col).alias("id"), F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"),
-        F.col("_tokens").alias("n_tokens"))
-    slim = materialize(slim)
-    return draw(slim, calibrate(slim, budget, targets), seed).withColumnRenamed("id", id_col)
+        F.col("_tokens").alias("n_tokens"), F.xxhash64(text_col).alias("hash"))
+    slim, number = numbered(slim)
+    slim = uniform(slim, "id", F.col("hash"), F.col(number), seed)
+    return draw(slim, calibrate(slim, budget, targets)).withColumnRenamed("id", id_col)
 
 
 def calibrate(slim: DataFrame, budget: float, targets: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -122,20 +126,37 @@ def calibrate(slim: DataFrame, budget: float, targets: dict[str, DataFrame] | No
     return materialize(probabilities(rake(cells, targets), budget).select(*MARGINS, "prob"))
 
 
-def draw(slim: DataFrame, cells: DataFrame, seed: int) -> DataFrame:
+def uniform(df: DataFrame, id_col: str, hash_: Column, number: Column, seed: int) -> DataFrame:
+    """``df`` with ``_u``, the draw of each row."""
+    unit = lambda *key: F.xxhash64(*key, F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
+    own, shared = unit(id_col), F.col(id_col).isNull()
+    repeated = materialize(repeated_ids(df, id_col))
+    n = repeated.count()
+    if n:
+        df = df.join(F.broadcast(repeated) if n <= BROADCAST_IDS else repeated, df[id_col] == repeated["_repeated"], "left")
+        shared = shared | F.col("_repeated").isNotNull()
+    return df.withColumn("_u", F.when(shared, unit(id_col, hash_, number)).otherwise(own)).drop("_repeated")
+
+
+def repeated_ids(df: DataFrame, id_col: str) -> DataFrame:
+    ids = df.select(F.col(id_col).alias("_repeated")).where("_repeated is not null")
+    return ids.groupBy("_repeated").count().where("count > 1").select("_repeated")
+
+
+def draw(slim: DataFrame, cells: DataFrame) -> DataFrame:
     small = cells.count() <= BROADCAST_CELLS
-    uniform = F.xxhash64("id", F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
     out = slim.join(F.broadcast(cells) if small else cells, list(MARGINS))
-    return out.select("id", *MARGINS, "n_tokens", "prob", (uniform < F.col("prob")).alias("kept"))
+    return out.select("id", *MARGINS, "n_tokens", "prob", (F.col("_u") < F.col("prob")).alias("kept"))
 
 
 def keep_mixed(df: DataFrame, budget: float, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The sampled rows, with all their columns."""
     names = {"_source": "source", "_lang": "lang", "_topic": "topic"}
-    marked = with_margins(df, text_col)
+    rows, number = numbered(df)
+    marked = with_margins(rows, text_col)
     slim = marked.select(*[F.col(a).alias(b) for a, b in names.items()], F.col("_tokens").alias("n_tokens"))
     cells = calibrate(materialize(slim), budget)
     small = cells.count() <= BROADCAST_CELLS
     cells = cells.select(*[F.col(b).alias(a) for a, b in names.items()], F.col("prob").alias("_prob"))
-    uniform = F.xxhash64(id_col, F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
-    return marked.join(F.broadcast(cells) if small else cells, list(names)).where(uniform < F.col("_prob")).select(*df.columns)
+    marked = uniform(marked, id_col, F.xxhash64(text_col), F.col(number), seed)
+    return marked.join(F.broadcast(cells) if small else cells, list(names)).where("_u < _prob").select(*df.columns)

@@ -27,8 +27,8 @@ HashingTF and IDF do, so the table that tasks need has a fixed size.
 
 Of a class the smallest id stays.  Null texts count as empty; texts without words are
 one class.  Rows with the same words share a class, also rows that repeat an id.  A
-null id gets the class of equal texts with an id, and links nothing.  An empty table
-gives an empty one.  Further columns are not read.
+null id gets the class of equal texts with an id, and links nothing; ``keep_one_row``,
+which the pipeline uses, decides by row instead.  An empty table gives an empty one.  Further columns are not read.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from . import bloom
 from . import words as W
-from .util import mix64, slices, utf8
+from .util import mix64, numbered, slices, utf8
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -404,3 +404,15 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     """The rows that stand for their class, with all their columns (rows without an id stay)."""
     gone = near_duplicates(df, id_col, text_col, **options).where("not kept").select(F.col(id_col).alias("_gone")).where("_gone is not null").distinct()
     return df.join(gone, df[id_col] == gone["_gone"], "left_anti")
+
+
+def keep_one_row(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each class, with all its columns: the smallest id (null ids last), then
+    by a hash of the text, then by a stored row number.  Classes are those of rows, so
+    repeated rows, reused ids and null ids need no rule of their own."""
+    rows, number = numbered(df)
+    classes = near_duplicates(rows, number, text_col, **options).select(F.col(number).alias("n"), "class_id")
+    order = rows.select(F.col(number).alias("n"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    best = F.min_by("n", F.struct(F.col("id").isNull(), "id", "hash", "n"))
+    stay = classes.join(order, "n").groupBy("class_id").agg(best.alias(number)).select(number)
+    return rows.join(stay, number, "left_semi").drop(number)

@@ -7,12 +7,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import materialize
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` stored with a unique number of each row, and that column's name."""
+    name = "_row"
+    while name in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return materialize(df.withColumn(name, F.monotonically_increasing_id())), name
+
+
 class BoundedCache(dict):
     """``key -> make(key)`` that holds at most ``2 * limit`` entries.
 

@@ -306,6 +306,25 @@ def test_lexicon_keeps_words_that_occur_together_and_no_copied_ones(spark):
     assert model.score(lexicon, "a moron") >= toxicity.THRESHOLD > model.score(lexicon, "harmless")
 
 
+def test_duplicates_and_draws_are_decided_by_row(spark):
+    import corpus_pipeline
+
+    words, random = [f"w{i}" for i in range(400)], __import__("random").Random(4)
+    a, b, c = (" ".join(random.choice(words) for _ in range(120)) for _ in range(3))
+    rows = [(1, a, "en", "s", 0)] * 3 + [(2, a, "en", "s", 0), (2, b, "en", "s", 0), (None, b, "en", "s", 0), (None, c, "en", "s", 0), (None, c, "en", "s", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    for stage in (stages["exact_dedup"], stages["near_dedup"]):
+        got = [(r.doc_id, r.text) for r in stage(spark, df, SF).collect()]
+        assert sorted(got, key=repr) == sorted([(1, a), (2, b), (None, c)], key=repr)
+    near = spark.createDataFrame([(7, a), (7, b), (8, a + " end"), (None, b + " end"), (None, c)], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.text) for r in near_dup.keep_one_row(near).collect()), key=repr) == sorted([(7, a), (7, b), (None, c)], key=repr)
+    many = spark.createDataFrame([(None, "a b", "en", "s", i) for i in range(400)] + [(5, "a b", "en", "s", i) for i in range(400)], df.schema)
+    for out in (mixing.mix(many, 0.5).where("kept"), mixing.keep_mixed(many, 0.5)):
+        kept = collections.Counter(r.doc_id for r in out.collect())
+        assert 140 < kept[None] < 260 and 140 < kept[5] < 260
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
