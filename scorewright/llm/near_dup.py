@@ -5,8 +5,9 @@ Two texts are linked when the weighted Jaccard similarity of their shingle vecto
 0.8 or more; classes are the connected components of the links.  A shingle is five
 words in a row (all words, of a text with fewer); its weight is its count in the text
 times ``ln(1 + N / (df + N / 2))``.  The half in it keeps weights between 0.5 and 1.1:
-a passage that most documents share counts half, and a group of near copies, which
-makes its own shingles frequent, does not fall below the threshold by its size.
+a passage that most documents share counts half.  A group of near copies makes its own
+shingles frequent: with a third of all rows in it, two of its texts need a plain shingle
+Jaccard of 0.848 to be linked directly, with a twentieth 0.809.
 Document frequencies are counted over all rows in ``FEATURES`` hashed features, as
 HashingTF and IDF do, so the table that tasks need has a fixed size.
 
