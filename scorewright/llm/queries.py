@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dup, packing, quality, secret_scan, token_counts, toxicity, url_filter, warc
+from . import exact_dedup, merkle, mixing, near_dup, packing, quality, secret_scan, token_counts, toxicity, url_filter, warc
 from .util import read
 
 QUERIES = {}
@@ -156,3 +156,58 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    wide = "CAST({} AS UBIGINT)".format
+    byte = f"list_transform(range(1, length({text}) + 1), lambda i: {wide(f'ascii(({text})[i])')})"
+    bits = f"list_transform(range(8), lambda z: {wide('z')})"
+    step = f"CASE WHEN x % 2 = 1 THEN xor(x // 2, {wide(0xEDB88320)}) ELSE x // 2 END"
+    return (f"xor(list_reduce(list_prepend({wide(0xFFFFFFFF)}, {byte}), lambda a, b: list_reduce(list_prepend(xor(a, b), {bits}), "
+            f"lambda x, z: {step})), {wide(0xFFFFFFFF)})")
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LEVELS = 8  # of the SQL twin: groups of at most 8 ** 8 rows
+
+
+def _tree_sql(name: str) -> str:
+    """Levels of the tree above ``{name}0`` (g, i, n, h); level k has the children ``c`` of each node."""
+    return ",\n".join(f"""{name}{k} AS (SELECT g, i // 8 AS i, (n + 7) // 8 AS n, n > 1 AS inner_node, list(h ORDER BY i) AS c,
+    CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h FROM {name}{k - 1} GROUP BY g, i // 8, n)""" for k in range(1, _LEVELS + 1))
+
+
+def _fold_sql(name: str, tree: str) -> str:
+    """Folds of ``{name}0`` (g, i, h, proof) up the tree."""
+    left, right = "array_to_string(list_slice(c, 1, f.i % 8), '')", "array_to_string(list_slice(c, f.i % 8 + 2, len(c)), '')"
+    left, right = f"coalesce({left}, '')", f"coalesce({right}, '')"
+    return ",\n".join(f"""{name}{k} AS (SELECT f.* REPLACE (f.i // 8 AS i, CASE WHEN inner_node THEN sha256({left} || f.h || {right}) ELSE f.h END AS h,
+    CASE WHEN inner_node THEN proof || {left} || {right} ELSE proof END AS proof)
+  FROM {name}{k - 1} f JOIN {tree}{k} p ON p.g = f.g AND p.i = f.i // 8)""" for k in range(1, _LEVELS + 1))
+
+
+def _leaf_sql(text: str) -> str:
+    part = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    return "sha256(" + " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+MERKLE_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf_sql("text")} AS leaf,
+    CASE WHEN {crc32_sql("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {_leaf_sql(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {_leaf_sql("text")} END AS changed FROM documents),
+l0 AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n, leaf AS h FROM d),
+{_tree_sql("l")},
+u0 AS (SELECT '' AS g, g AS name, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n, h FROM l{_LEVELS}),
+{_tree_sql("u")},
+f0 AS (SELECT doc_id, leaf, g, i, changed AS h, '' AS proof FROM l0),
+{_fold_sql("f", "l")},
+t0 AS (SELECT doc_id, leaf, '' AS g, u0.i, f.h, proof, u0.h AS subroot FROM f{_LEVELS} f JOIN u0 ON u0.name = f.g),
+{_fold_sql("t", "u")}
+SELECT doc_id, leaf, subroot, u.h AS root, sha256(proof) AS proof_sha256, t.h AS folded_root, t.h = u.h AS verified FROM t{_LEVELS} t, u{_LEVELS} u"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the contract's tampering: every third document by its id's CRC, its text in lower case
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle.manifest(read(spark, sf_dir, "documents"), marked=third)

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -75,3 +75,30 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+FEW_ROWS = 65_536  # rows of a table that is broadcast once it is counted
+
+
+def few(stored: DataFrame, limit: int = FEW_ROWS) -> DataFrame:
+    """A stored table with a broadcast hint where its counted rows are few; else as it is."""
+    return F.broadcast(stored) if stored.count() <= limit else stored
+
+
+def ranked(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``rows`` stored in the order of ``group``, then ``order``, with ``i``, a row's place in
+    its group, and ``n``, the group's size.  Nulls come first; ``group`` has none.
+
+    Range partitions cut a large group anywhere, also among equal rows, and a table of
+    one row for each group and partition gives their first places."""
+    cut = rows.withColumn("_tie", F.monotonically_increasing_id())
+    cut = cut.repartitionByRange(group, *order, "_tie").sortWithinPartitions(group, *order, "_tie").drop("_tie")
+    stored = materialize(cut.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33).alias("_part")
+    counts = stored.groupBy(group, part).agg(F.count("*").alias("_c"), F.min("_at").alias("_first"))
+    places = Window.partitionBy(group)
+    before = F.sum("_c").over(places.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = materialize(counts.select(group, "_part", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"),
+                                       F.sum("_c").over(places).alias("n")))
+    out = stored.withColumn("_part", part).join(few(counts), [group, "_part"])
+    return out.withColumn("i", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
