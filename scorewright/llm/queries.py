@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, merkle, mixing, near_dup, packing, quality, secret_scan, token_counts, toxicity, url_filter, warc
+from . import conversations, exact_dedup, merkle, mixing, near_dup, packing, pu_quality, quality, secret_scan, token_counts, toxicity, url_filter, warc
 from .util import read
 
 QUERIES = {}
@@ -211,3 +211,66 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the contract's tampering: every third document by its id's CRC, its text in lower case
     third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
     return merkle.manifest(read(spark, sf_dir, "documents"), marked=third)
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The contract's damage to conversations: one in five rows, by the CRC of its id and turn."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(space("text"), ".!?", "")).otherwise(space("text"))
+    return rows.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(space("role")).alias("role"), text.alias("text"), (kind != 0).alias("live"),
+                       F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("again")).drop("again")
+
+
+def _cheapest(*options: tuple[str, int | str, str, str]) -> str:
+    """The least of options (state, price, edits, message) by cost, then audit, as a struct (c, s, r)."""
+    add = lambda state, message: f"{state}.r || CASE WHEN {state}.r = '' THEN '' ELSE chr(10) END || {message}" if message else f"{state}.r"
+    return "list_min([" + ", ".join(f"struct_pack(c := {state}.c + {price}, s := {state}.s || '{edits}', r := {add(state, message)})"
+                                    for state, price, edits, message in options) + "])"
+
+
+_FAR = 1 << 40  # cost of a state that is not reached
+_KEEPS = lambda initial: f"CASE WHEN ini = '{initial}' THEN 0 ELSE {_FAR} END + stay"
+_OWN, _ASKS, _TELLS = "role || ':' || text", "'user:'", "'assistant:'"
+
+REPAIR_SQL = f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS id FROM conversations),
+x AS (SELECT *, {crc32_sql("id")} % 20 AS f FROM k),
+d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE f WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) FROM x),
+o AS (SELECT *, coalesce('=' || conv_id, '') AS g, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+    regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS ending, substr(role, 1, 1) AS ini FROM d),
+p AS (SELECT *, row_number() OVER (PARTITION BY g, role, text ORDER BY i) AS nth, lag(ini) OVER (PARTITION BY g ORDER BY i) AS prior FROM o),
+m AS (SELECT *, ending = '' AS blank, ending <> '' AND nth > 1 AS duplicate, ending <> '' AND nth = 1 AND ending NOT IN ('.', '!', '?') AS truncated FROM p),
+q AS (SELECT *, CASE WHEN blank OR duplicate THEN {_FAR} WHEN truncated THEN 3 ELSE 0 END AS stay FROM m),
+c AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(duplicate) AS duplicate,
+    count_if(truncated) AS truncated, count_if(prior IS NOT NULL AND prior || ini NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM q GROUP BY g),
+e AS (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '') AS g FROM conversations),
+z AS (SELECT g, CAST(0 AS BIGINT) AS i, struct_pack(c := CAST(0 AS BIGINT), s := '', r := '') AS a0, struct_pack(c := CAST({_FAR} AS BIGINT), s := '', r := '') AS a1,
+    struct_pack(c := CAST({_FAR} AS BIGINT), s := '', r := '') AS a2, struct_pack(c := CAST({_FAR} AS BIGINT), s := '', r := '') AS a3 FROM e
+  UNION ALL
+  SELECT g, i,
+    {_cheapest(("a0", 4, "D", ""))} AS a0,
+    {_cheapest(("a1", 4, "D", ""), ("a0", _KEEPS("s"), "K", _OWN))} AS a1,
+    {_cheapest(("b2", 4, "D", ""), *[x for b in ("a0", "a1", "b3") for x in ((b, _KEEPS("u"), "K", _OWN), (b, "3 + stay", "R", "'user:' || text"))])} AS a2,
+    {_cheapest(("b3", 4, "D", ""), ("b2", _KEEPS("a"), "K", _OWN), ("b2", "3 + stay", "R", "'assistant:' || text"))} AS a3
+  FROM (SELECT * REPLACE ({_cheapest(("b2", 0, "", ""), ("a3", 3, "I", _ASKS))} AS b2), {_cheapest(("a3", 0, "", ""), ("b2", 3, "I", _TELLS))} AS b3
+    FROM (SELECT z.g, q.i, role, text, ini, stay, a0, a1, a3, {_cheapest(("a2", 0, "", ""), ("a0", 3, "I", _ASKS), ("a1", 3, "I", _ASKS))} AS b2
+      FROM z JOIN q ON q.g = z.g AND q.i = z.i + 1))),
+f AS (SELECT z.g, list_min([a0, a3, {_cheapest(("a2", 3, "I", _TELLS))}, struct_pack(c := a1.c + 6, s := a1.s || 'II',
+    r := a1.r || CASE WHEN a1.r = '' THEN '' ELSE chr(10) END || 'user:' || chr(10) || 'assistant:')]) AS best FROM z LEFT JOIN c ON c.g = z.g WHERE i = coalesce(n, 0))
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, best.c AS cost, best.s AS audit, sha256(best.r) AS repaired_sha256
+FROM e JOIN f ON f.g = e.g LEFT JOIN c ON c.g = e.g"""
+
+
+@query("op12_conversation_repair", REPAIR_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(damaged(read(spark, sf_dir, "conversations")), live=F.col("live"))
+
+
+@query("op13_quality_classifier")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
