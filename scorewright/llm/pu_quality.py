@@ -13,7 +13,7 @@ would drive the estimate of the negatives' risk below zero is not taken.
 The prior is estimated from the same two samples.  A first fit with the prior ``FIRST``
 ranks documents by the ratio of positive to unlabelled density.  A set that holds no
 negatives has p times as large a share of U as of P, any other a larger one, so the prior
-is the least ratio of the two shares over the sets ``z >= t`` that hold at least half of P.
+is the least ratio of the two shares over the sets ``z >= t`` that hold at least ``LEAST_SHARE`` of P.
 
 Features tell no language or topic: shares of byte-class pairs (lower, upper, digit,
 space, line end, sentence mark, other mark, beyond ASCII), and of repeated and distinct
@@ -43,11 +43,11 @@ from .util import few, slices, utf8
 
 FIRST = 0.5
 THRESHOLD = 0.7
-PENALTY = 1e-4
+PENALTY = 1e-3
 STEPS = 25
 LEAST_GAIN = 1e-7
 BINS = 2000                 # of scores, where the prior is read
-LEAST_SHARE = 0.5           # of the positives, in a set that tells the prior
+LEAST_SHARE = 0.95          # of the positives, in a set that tells the prior
 SEGMENTS = 16
 SLICE = 1 << 20             # bytes of text at once
 LABELS = 1 << 20            # labelled ids, 8 bytes each, that are broadcast; more are joined by a shuffle
@@ -217,7 +217,7 @@ def descend(table: DataFrame, model: Model, prior: float, n: tuple[float, float]
 
 
 def estimate_prior(table: DataFrame, model: Model, n: tuple[float, float]) -> float:
-    """The least ratio of U's to P's share among the sets of highest scores that hold half of P."""
+    """The least ratio of U's to P's share among the sets of highest scores that hold ``LEAST_SHARE`` of P."""
     def sums(x: np.ndarray, positive: np.ndarray) -> np.ndarray:
         at = np.minimum((model.score(x) * BINS).astype(np.int64), BINS - 1)
         return np.concatenate([np.bincount(at, minlength=BINS), np.bincount(at[positive], minlength=BINS)]).astype(np.float64)
