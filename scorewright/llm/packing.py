@@ -28,78 +28,100 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .util import slices
 
 WINDOW = 2048
 GROUP = 50_000          # pieces packed together
 CACHED_WORDS = 600_000  # of either generation
-WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+LONG_WORD = 64          # characters of a word that is remembered
+TOGETHER = 1 << 20      # characters of texts that are encoded together
+WIDE = " \u00a0"       # a space that a token may hold together with what follows
+COMMON = re.compile("[!-~\\t\\n\\rÀ-ÖØ-öø-ÿ]+")
+# fixed value: the pre-token pattern of the byte-level vocabulary
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Encoder:
     """Token ids of whole texts as little-endian uint32 bytes.
 
     A space that stands between two other characters begins a pre-token of the
-    byte-level pattern, and so does a stop after a letter.  So the words of a text
-    without double spaces are encoded apart, those that are new as one batch, and the
-    ids of frequent words come from a bounded cache.  Other texts go to the library
-    whole.  A word of plain letters is one pre-token, so it can go straight to the
-    library's BPE model in the byte-level alphabet.
+    byte-level pattern, and only beside another space, or a no-break space, can a token
+    reach over it.  So the words of a text without such pairs are encoded apart, and the ids
+    of frequent words come from a bounded cache.  New words of common characters are merged
+    by tiktoken with the library's own vocabulary, all of a batch as one text, in which each
+    token that begins with a space begins a word.  Other words, and other texts whole, go
+    to the library.
+    Words of over ``LONG_WORD`` characters are not kept.
     """
 
     def __init__(self, path: str, cached_words: int):
         self.cached_words = cached_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.bytes = {ord(c): alphabet.pre_tokenize_str(c)[0][0] for c in map(chr, range(32, 256)) if c == " " or WORD.fullmatch(c)}
-        self.model = self.tokenizer.model
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        alphabet = {}  # the library's character for each byte of a common character
+        for c in [" ", *filter(COMMON.fullmatch, map(chr, range(256)))]:
+            alphabet |= zip(level.pre_tokenize_str(c)[0][0], c.encode())
+        ranks = {bytes(map(alphabet.get, token)): i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items()
+                 if alphabet.keys() >= set(token)}
+        self.merges = tiktoken.Encoding("common", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.begins = np.zeros(max(ranks.values()) + 1, bool)
+        self.begins[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
+        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.stops = {c: self._ids([c])[0] for c in ".,;:!?"}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]):
-        """Put the words, which the young cache lacks, into it."""
-        young, old = self.young, self.old
-        stopped = {w for w in words if w[-1:] in self.stops and WORD.fullmatch(w, 0, len(w) - 1)}
-        plain = (words - stopped) | {w[:-1] for w in stopped}.difference(young)
-        new = [w for w in plain if w not in old]
-        young.update({w: old[w] for w in plain if w in old})
-        odd = []
-        for w in new:
-            if WORD.fullmatch(w):
-                young[w] = array("I", [t.id for t in self.model.tokenize((" " + w).translate(self.bytes))]).tobytes()
-            else:
-                odd.append(w)
-        young.update(zip(odd, self._ids([" " + w for w in odd])))
-        for w in stopped:
-            young[w] = young[w[:-1]] + self.stops[w[-1]]
-
-    def __call__(self, text: str) -> bytes:
-        if "  " in text:
-            return self._ids([text])[0]
-        first, *words = text.split(" ")
-        found = list(map(self.young.get, words))
-        if None in found:
-            missing = [i for i, ids in enumerate(found) if ids is None]
-            self._learn({words[i] for i in missing})
-            for i in missing:
-                found[i] = self.young[words[i]]
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words that follow a space; all but long ones are put into the young cache."""
+        found = {w: self.old[w] for w in words if w in self.old}
+        new = [w for w in words if w not in found]
+        common = [w for w in new if COMMON.fullmatch(w) and not any(x in w for x in self.special)]
+        if common:
+            ids = np.array(self.merges.encode_ordinary(" " + " ".join(common)), "<u4")
+            at, data = (np.flatnonzero(self.begins[ids]) * 4).tolist(), ids.tobytes()
+            found.update(zip(common, [data[a:b] for a, b in zip(at, [*at[1:], len(data)])]))
+        odd = [w for w in new if w not in found]
+        found.update(zip(odd, self._ids([" " + w for w in odd])))
+        self.young.update((w, ids) for w, ids in found.items() if len(w) <= LONG_WORD)
+        return found
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; pass texts of bounded size together."""
+        out: list[bytes | None] = [None] * len(texts)
+        split = {i: t.split(" ") for i, t in enumerate(texts) if "  " not in t and WIDE not in t}
+        whole = [i for i in range(len(texts)) if i not in split]
+        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
+            out[i] = ids
+        get, missing, found = self.young.get, set(), {}
+        for i, words in split.items():
+            found[i] = ids = list(map(get, words[1:]))
+            if None in ids:
+                missing.update(w for w, x in zip(words[1:], ids) if x is None)
+        learned = self._learn(list(missing)) if missing else {}
+        for (i, words), first in zip(split.items(), self._ids([words[0] for words in split.values()])):
+            ids = found[i]
+            if None in ids:
+                ids = [learned[w] if x is None else x for w, x in zip(words[1:], ids)]
+            out[i] = first + b"".join(ids)
         if len(self.young) > self.cached_words:
             self.old, self.young = self.young, {}
-        return self._ids([first])[0] + b"".join(found)
+        return out
+
+    def __call__(self, text: str) -> bytes:
+        return self.batch([text])[0]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -121,13 +143,15 @@ def tokenize(df: DataFrame, tokenizer_path: str, end_id: int = 1, window: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path, cached_words)
         for batch in batches:
+            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
             rows: list[tuple] = []
-            for i, value in enumerate(batch.column(1)):
-                ids = encode(value.as_py() or "") + end
-                n = len(ids) // 4
-                for start in range(0, n, window):
-                    piece = ids[4 * start:4 * (start + window)]
-                    rows.append((i, start, len(piece) // 4, zlib.crc32(piece), n, piece))
+            for lo, hi in slices(np.concatenate([[0], np.cumsum(list(map(len, texts)), dtype=np.int64)]), TOGETHER):
+                for i, ids in enumerate(encode.batch(texts[lo:hi]), lo):
+                    ids += end
+                    n = len(ids) // 4
+                    for start in range(0, n, window):
+                        piece = ids[4 * start:4 * (start + window)]
+                        rows.append((i, start, len(piece) // 4, zlib.crc32(piece), n, piece))
             at, *columns, pieces = zip(*rows) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, pa.int64()) for c in columns),
@@ -192,20 +216,24 @@ def best_fit_decreasing(lengths: np.ndarray, window: int) -> tuple[np.ndarray, n
 
 
 def pack(pieces: DataFrame, window: int = WINDOW, id_col: str = "doc_id", group: int = GROUP) -> DataFrame:
-    """Pieces with ``sequence_id`` and ``offset``; ``pieces`` is read twice, so pass a stored table."""
+    """Pieces with ``sequence_id`` and ``offset``; ``pieces`` is read twice, so pass a stored table.
+
+    The hash that deals pieces to groups takes in the row's place in the stored table, so
+    equal pieces are dealt too."""
     groups = max(1, math.ceil(pieces.count() / group))
     columns = pieces.columns
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(id_col, "start", "doc_tokens", "ids_crc32"), F.lit(groups)).cast("long"))
+    key = F.xxhash64(id_col, "start", "doc_tokens", "ids_crc32", F.monotonically_increasing_id())
+    dealt = pieces.withColumn("_group", F.pmod(key, F.lit(groups)).cast("long"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields) + ", sequence_id long, offset long"
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def run(table: pa.Table) -> pa.Table:
         # one order whatever the shuffle brings, so a task that runs again gives the same windows
-        rows = rows.sort_values([id_col, "start", "ids_crc32"], kind="stable")
-        number, offset = best_fit_decreasing(rows["length"].to_numpy(np.int64), window)
-        group_no = int(rows["_group"].iloc[0])
-        return rows[columns].assign(sequence_id=group_no * (group << 12) + number, offset=offset)
+        table = table.sort_by([(c, "ascending") for c in (id_col, "start", "ids_crc32", "doc_tokens")])
+        number, offset = best_fit_decreasing(table["length"].to_numpy(), window)
+        number = number + table["_group"][0].as_py() * (group << 12)
+        return table.select(columns).append_column("sequence_id", pa.array(number)).append_column("offset", pa.array(offset))
 
-    return dealt.groupBy("_group").applyInPandas(run, schema)
+    return dealt.groupBy("_group").applyInArrow(run, schema)
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WINDOW,
