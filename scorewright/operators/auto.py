@@ -10,6 +10,7 @@ reference derived features at predict time even when fit had them off).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,19 +21,43 @@ from . import features as fx
 from . import models as ml
 from . import select as fs
 from . import split as sp
+from .persist import Saved
 
 
-class AutoClassifier:
+class AutoClassifier(Saved):
+    """``fit`` returns the object itself; a fitted one can be saved, loaded and used as a
+    transformer, which adds ``p1`` and ``prediction``."""
+
     def __init__(self, spec: ml.FeatureSpec, label: str, *, key: str = "id", test_size: float = 0.2,
                  feature_engineering: bool = False, feature_selection: bool = False, n_select: int = 20,
                  ensemble: bool = True, top_n: int = 3, models: Sequence[str] = tuple(ml.LEADERBOARD_MODELS),
                  refit_full: bool = False, seed: int = 42):
+        super().__init__()
         self.spec, self.label, self.key = spec, label, key
         self.test_size, self.seed = test_size, seed
         self.feature_engineering, self.feature_selection, self.n_select = feature_engineering, feature_selection, n_select
         self.ensemble, self.top_n, self.models = ensemble, top_n, list(models)
         self.refit_full = refit_full
 
+    # -- persistence --------------------------------------------------------
+    OPTIONS = ("key", "test_size", "feature_engineering", "feature_selection", "n_select", "ensemble", "top_n", "models", "refit_full", "seed")
+    FITTED = ("auto_inputs", "names", "keep", "leaderboard_rows", "metrics")
+
+    def state(self):
+        return {"spec": asdict(self.spec), "label": self.label, "options": {k: getattr(self, k) for k in self.OPTIONS},
+                "fitted": {k: getattr(self, k) for k in self.FITTED}}
+
+    def parts(self):
+        return {"prep": self.prep, "model": self.model}
+
+    @classmethod
+    def rebuild(cls, state, parts):
+        out = cls(ml.FeatureSpec(**state["spec"]), state["label"], **state["options"])
+        for k, v in (state["fitted"] | parts).items():
+            setattr(out, k, v)
+        out.leaderboard_rows = [tuple(r) for r in out.leaderboard_rows]
+        return out
+
     # -- helpers -----------------------------------------------------------
     def _derive(self, df: DataFrame) -> DataFrame:
         if not self.feature_engineering:
@@ -87,6 +112,9 @@ class AutoClassifier:
         return spark.createDataFrame(self.leaderboard_rows, "model string, accuracy double, f1 double, roc_auc double") \
             .orderBy(F.desc("roc_auc"), F.asc("model"))
 
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self._features(df))
+
     def predict_proba(self, df: DataFrame) -> DataFrame:
         return self.model.transform(self._features(df)).select(self.key, "p1")
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from . import metrics as mx
 from . import prepare as pr
+from .persist import Saved, in_order, numbered
 
 SEED = 42
 LABEL = "label"
@@ -53,15 +54,28 @@ class FeatureSpec:
     cat: str | None = None
 
 
-@dataclass
-class Preparation:
+@dataclass(eq=False)
+class Preparation(Saved):
     spec: FeatureSpec
     medians: dict
     scaling: dict
     encoder: PipelineModel
     names: list[str] = field(default_factory=list)
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def __post_init__(self):
+        super().__init__()
+
+    def state(self):
+        return {"spec": asdict(self.spec), "medians": self.medians, "scaling": self.scaling, "names": self.names}
+
+    def parts(self):
+        return {"encoder": self.encoder}
+
+    @classmethod
+    def rebuild(cls, state, parts):
+        return cls(FeatureSpec(**state["spec"]), state["medians"], state["scaling"], parts["encoder"], state["names"])
+
+    def _transform(self, df: DataFrame) -> DataFrame:
         x = pr.apply_standard(pr.apply_fill(df, self.medians), self.scaling)
         return self.encoder.transform(x)
 
@@ -99,11 +113,21 @@ def _p1(df: DataFrame) -> DataFrame:
     return df.withColumn("p1", vector_to_array("probability")[1])
 
 
-class SparkModel:
+class SparkModel(Saved):
+    """A Spark ML classifier with ``p1`` in place of its vectors."""
+
     def __init__(self, model):
+        super().__init__()
         self.model = model
 
-    def transform(self, df):
+    def parts(self):
+        return {"model": self.model}
+
+    @classmethod
+    def rebuild(cls, state, parts):
+        return cls(parts["model"])
+
+    def _transform(self, df):
         return _p1(self.model.transform(df)).drop("rawPrediction", "probability")
 
     def importances(self, n):
@@ -115,13 +139,21 @@ class SparkModel:
         return [0.0] * n
 
 
-class CalibratedSVC:
+class CalibratedSVC(Saved):
     """Linear SVM margin + Platt scaling (logistic regression on the margin)."""
 
     def __init__(self, svc, platt):
+        super().__init__()
         self.svc, self.platt = svc, platt
 
-    def transform(self, df):
+    def parts(self):
+        return {"svc": self.svc, "platt": self.platt}
+
+    @classmethod
+    def rebuild(cls, state, parts):
+        return cls(parts["svc"], parts["platt"])
+
+    def _transform(self, df):
         m = self.svc.transform(df).withColumn("_margin", vector_to_array("rawPrediction")[1])
         m = m.drop("rawPrediction", "prediction").withColumn(
             "_mvec", F.array("_margin"))
@@ -135,13 +167,24 @@ class CalibratedSVC:
         return [abs(v) for v in self.svc.coefficients.toArray()]
 
 
-class AdaBoost:
+class AdaBoost(Saved):
     """SAMME with depth-1 trees: reweight misclassified rows by exp(alpha)."""
 
     def __init__(self, stumps, alphas):
+        super().__init__()
         self.stumps, self.alphas = stumps, alphas
 
-    def transform(self, df):
+    def state(self):
+        return {"alphas": self.alphas}
+
+    def parts(self):
+        return numbered(self.stumps)
+
+    @classmethod
+    def rebuild(cls, state, parts):
+        return cls(in_order(parts), state["alphas"])
+
+    def _transform(self, df):
         total = sum(self.alphas) or 1.0
         out = df.withColumn("_d", F.lit(0.0))
         for i, (s, a) in enumerate(zip(self.stumps, self.alphas)):
@@ -202,12 +245,13 @@ def make_estimator(name: str, n_train: int, **params):
                                       weightCol="w_balanced", seed=SEED, **common)
     if name == "gradient_boosting":
         return GBTClassifier(maxIter=params.get("maxIter", 100), maxDepth=params.get("maxDepth", 3),
-                             stepSize=params.get("stepSize", 0.1), seed=SEED, **common)
+                             stepSize=params.get("stepSize", 0.1), subsamplingRate=params.get("subsamplingRate", 1.0),
+                             featureSubsetStrategy=params.get("featureSubsetStrategy", "all"), seed=SEED, **common)
     if name == "gbt_weighted":
         return GBTClassifier(maxIter=params.get("maxIter", 150), maxDepth=params.get("maxDepth", 6),
                              stepSize=params.get("stepSize", 0.1), subsamplingRate=params.get("subsamplingRate", 0.8),
                              featureSubsetStrategy=params.get("featureSubsetStrategy", "0.8"),
-                             weightCol="w_pos", seed=SEED, **common)
+                             weightCol=params.get("weightCol", "w_pos"), seed=SEED, **common)
     if name == "logistic_regression":
         c = params.get("C", 1.0)
         return LogisticRegression(maxIter=1000, regParam=1.0 / (c * max(n_train, 1)), elasticNetParam=0.0,
@@ -328,13 +372,21 @@ def random_sample(space: dict, n_iter: int, seed: int = SEED) -> list[dict]:
 
 
 # ------------------------------------------------------------- ensembles
-class SoftVote:
+class SoftVote(Saved):
     """Mean positive-class probability of the member models."""
 
     def __init__(self, members):
+        super().__init__()
         self.members = members
 
-    def transform(self, df):
+    def parts(self):
+        return numbered(self.members)
+
+    @classmethod
+    def rebuild(cls, state, parts):
+        return cls(in_order(parts))
+
+    def _transform(self, df):
         out = df
         cols = []
         for i, m in enumerate(self.members):

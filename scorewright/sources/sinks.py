@@ -6,10 +6,11 @@ are whole-folder overwrites, so a retried job leaves no partial output.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.persist import load, save
+
 
 def predictions_frame(df: DataFrame, key: str = "id", pred: str = "prediction") -> DataFrame:
     """S5 payload: ``{id, labels}``."""
@@ -31,10 +32,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Spark ML persistence instead of pickle."""
-    model.write().overwrite().save(path)
+def save_model(model, path: str) -> None:
+    """Spark ML persistence instead of pickle, for pipelines, this library's models and the facade."""
+    save(model, path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str):
+    """The saved model, of whatever class."""
+    return load(path)
