@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nullsafe import clip
 from ..functions.quantiles import exact_quantiles
+from ..functions.ranks import running_sums
 from ..session import materialize
 
 BROADCAST_BYTES = 32 << 20  # of an encoder's values and codes
@@ -118,11 +119,10 @@ def _sized(encoder: DataFrame) -> DataFrame:
 
 
 def fit_label_codes(train: DataFrame, col: str) -> DataFrame:
-    """Per-category codes 0..n-1 in sorted order, as a small frame (value, code).
-
-    The window runs over the distinct vocabulary only."""
+    """Per-category codes 0..n-1 in sorted order, as a frame (value, code): the place of each
+    distinct value in range partitions, so no task ranks the whole vocabulary."""
     vocab = train.select(_as_label_string(col).alias("value")).distinct()
-    return vocab.withColumn("code", (F.row_number().over(Window.orderBy("value")) - 1).cast("int"))
+    return running_sums(vocab, [], ["value"], F.lit(1)).select("value", F.col("_before").cast("int").alias("code"))
 
 
 def apply_label_codes(df: DataFrame, col: str, codes: DataFrame, unseen: str = "extra",

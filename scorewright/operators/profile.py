@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.nullsafe import flag, safe_div
 from ..functions.quantiles import exact_quantiles
+from ..functions.ranks import running_sums
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -168,43 +169,40 @@ def rate_by_flag(df: DataFrame, label: str, cond: Column, name: str) -> DataFram
 
 
 # Q10
+CLASSES = 64  # of a label that a box plot tells apart
+
+
 def boxplot_stats(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
-    """Quartiles, 1.5 IQR whiskers and outlier counts of each feature by class."""
-    classes = (0, 1)
-    specs = {f"{f}|{k}|{p}": (F.when(F.col(label) == k, F.col(f)), p)
-             for f in features for k in classes for p in (0.25, 0.5, 0.75)}
+    """Quartiles, 1.5 IQR whiskers and outlier counts of each feature by class; the classes are
+    the label's values in the data (rows without one are left out)."""
+    found = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().limit(CLASSES + 1).collect())
+    if len(found) > CLASSES:
+        raise ValueError(f"{label} has over {CLASSES} values; it is no class")
+    specs = {f"{f}|{i}|{p}": (F.when(F.col(label) == F.lit(k), F.col(f)), p)
+             for f in features for i, k in enumerate(found) for p in (0.25, 0.5, 0.75)}
     q = exact_quantiles(df, specs)
+
+    def by_class(value) -> Column:
+        """``value(class number)`` of a row's class."""
+        out = F.lit(None).cast("double")
+        for i, k in enumerate(found):
+            out = F.when(F.col("label") == F.lit(k), F.lit(value(i)).cast("double")).otherwise(out)
+        return out
+
+    fence = lambda f, sign: lambda i: None if q[f"{f}|{i}|0.25"] is None else (
+        q[f"{f}|{i}|{0.5 + 0.25 * sign}"] + sign * 1.5 * (q[f"{f}|{i}|0.75"] - q[f"{f}|{i}|0.25"]))
+    rows = df.where(F.col(label).isNotNull()).select(F.col(label).alias("label"), *[F.col(f).cast("double").alias(f"x{j}") for j, f in enumerate(features)])
     aggs = []
-    for f in features:
-        x = F.col(f).cast("double")
-        lo_of = F.lit(None).cast("double")
-        hi_of = F.lit(None).cast("double")
-        for k in classes:
-            q1, q3 = q[f"{f}|{k}|0.25"], q[f"{f}|{k}|0.75"]
-            if q1 is None:
-                continue
-            iqr = q3 - q1
-            lo_of = F.when(F.col(label) == k, F.lit(q1 - 1.5 * iqr)).otherwise(lo_of)
-            hi_of = F.when(F.col(label) == k, F.lit(q3 + 1.5 * iqr)).otherwise(hi_of)
-        aggs.append(F.struct(
-            F.min(F.when(x >= lo_of, x)).alias("whisker_low"),
-            F.max(F.when(x <= hi_of, x)).alias("whisker_high"),
-            F.count_if((x < lo_of) | (x > hi_of)).alias("n_outliers"),
-            F.count(x).alias("n")).alias(f))
-    per_class = df.groupBy(F.col(label).alias("label")).agg(*aggs).where(F.col("label").isin(*classes))
+    for j, f in enumerate(features):
+        x, low, high = F.col(f"x{j}"), by_class(fence(f, -1)), by_class(fence(f, 1))
+        aggs.append(F.struct(F.min(F.when(x >= low, x)).alias("whisker_low"), F.max(F.when(x <= high, x)).alias("whisker_high"),
+                             F.count_if((x < low) | (x > high)).alias("n_outliers"), F.count(x).alias("n")).alias(f"s{j}"))
     structs = []
-    for f in features:
-        q1 = F.when(F.col("label") == 0, F.lit(q[f"{f}|0|0.25"])).otherwise(F.lit(q[f"{f}|1|0.25"]))
-        q2 = F.when(F.col("label") == 0, F.lit(q[f"{f}|0|0.5"])).otherwise(F.lit(q[f"{f}|1|0.5"]))
-        q3 = F.when(F.col("label") == 0, F.lit(q[f"{f}|0|0.75"])).otherwise(F.lit(q[f"{f}|1|0.75"]))
-        structs.append(F.struct(
-            F.lit(f).alias("feature"), F.col("label"), F.col(f"`{f}`.n").alias("n"),
-            q1.cast("double").alias("q1"), q2.cast("double").alias("median"),
-            q3.cast("double").alias("q3"), (q3 - q1).cast("double").alias("iqr"),
-            F.col(f"`{f}`.whisker_low").alias("whisker_low"),
-            F.col(f"`{f}`.whisker_high").alias("whisker_high"),
-            F.col(f"`{f}`.n_outliers").alias("n_outliers")))
-    return per_class.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    for j, f in enumerate(features):
+        q1, q2, q3 = (by_class(lambda i, p=p: q[f"{f}|{i}|{p}"]) for p in (0.25, 0.5, 0.75))
+        structs.append(F.struct(F.lit(f).alias("feature"), F.col("label"), F.col(f"s{j}.n").alias("n"), q1.alias("q1"), q2.alias("median"), q3.alias("q3"),
+                                (q3 - q1).alias("iqr"), *[F.col(f"s{j}.{c}").alias(c) for c in ("whisker_low", "whisker_high", "n_outliers")]))
+    return rows.groupBy("label").agg(*aggs).select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
 # Q11
@@ -265,16 +263,22 @@ def schema_report(df: DataFrame) -> DataFrame:
                  F.col(f"`{f.name}`").alias("non_null")) for i, f in enumerate(df.schema.fields)])
 
 
-def grouped_quantile(df: DataFrame, group: str, value: str, p: float = 0.5, name: str = "q", **kw) -> DataFrame:
-    """Exact per-group quantile without a per-group value map.
+def grouped_quantile(df: DataFrame, group: str, value: str, p: float = 0.5, name: str = "q") -> DataFrame:
+    """Exact quantile of each group, one row a group (NULL where it has no value).
+
+    The distinct values of all groups are counted before the shuffle and ordered in range
+    partitions (``running_sums``), which give each value its ranks in its group; the two
+    values that hold the quantile's ranks are picked and interpolated.  No group is read back
+    or lies in one task as a whole, however many groups or values there are."""
+    x = F.col(value).cast("double")
+    counted = df.select(F.col(group), F.when(~F.isnan(x), x).alias("_x")).groupBy(group, "_x").agg(F.count(F.lit(1)).alias("_n"))
+    own = F.when(F.col("_x").isNotNull(), F.col("_n")).otherwise(F.lit(0))
+    ranked = running_sums(counted, [group], ["_x"], own)
+    at = F.lit(float(p)) * (F.col("_total") - 1)
+    holds = lambda rank: F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + own), F.col("_x")))
+    two = ranked.groupBy(group).agg(holds(F.floor(at)).alias("_a"), holds(F.ceil(at)).alias("_b"), F.max(at).alias("_at"))
+    low, high = F.floor("_at"), F.ceil("_at")
+    mixed = (high - F.col("_at")) * F.col("_a") + (F.col("_at") - low) * F.col("_b")
+    return two.select(group, F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(mixed).alias(name))
+
 
-    Each group value becomes its own column (``when(group = g, x)``) in one
-    ``exact_quantiles`` call, so a group holding a third of all rows is narrowed
-    like any large column.  The group vocabulary is read back, like
-    ``StringIndexer``'s; the result has one row per group."""
-    groups = [r[0] for r in df.select(group).distinct().collect()]
-    specs = {f"g{i}": (F.when(F.col(group).eqNullSafe(F.lit(g)), F.col(value)), p) for i, g in enumerate(groups)}
-    q = exact_quantiles(df, specs, **kw)
-    field = df.schema[group].dataType.simpleString()
-    return df.sparkSession.createDataFrame([(g, q[f"g{i}"]) for i, g in enumerate(groups)],
-                                           f"`{group}` {field}, `{name}` double")

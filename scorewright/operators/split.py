@@ -2,7 +2,8 @@
 
 Rows are ordered by a seeded md5 hash of the key; within each class the first
 ``round(test_size * n_class)`` rows form the test part, and fold = rank mod k.
-Class shares are therefore exact (within one row), membership is a pure
+Class shares are therefore exact (within one row, and the rows that repeat the cut's
+key), membership is a pure
 function of (key, seed), and re-running after a lost executor gives the same
 split.  ``DataFrame.sampleBy`` / ``randomSplit`` are only approximate.
 """
@@ -12,23 +13,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranks import hash_key, hashed_rank
+from ..functions.ranks import first_in_order, hash_key, hashed_rank
 
 SEED = 42
 
 
 def stratified_split(df: DataFrame, label: str, key: str = "id", test_size: float = 0.2,
                      seed: int = SEED, col: str = "is_test") -> DataFrame:
-    r = hashed_rank(df, [label], hash_key(key, seed), F.col(key))
-    n_test = F.round(F.col("_group_n") * F.lit(test_size))
-    return r.withColumn(col, (F.col("_rank") < n_test).cast("int")).drop("_rank", "_group_n")
+    """Each row is compared with its class's cut key, so no row moves; rows that repeat a key
+    share a side."""
+    return first_in_order(df, [label], hash_key(key, seed), F.col(key), test_size, col)
 
 
 def random_split(df: DataFrame, key: str = "id", test_size: float = 0.2, seed: int = SEED,
                  col: str = "is_test") -> DataFrame:
-    r = hashed_rank(df, [], hash_key(key, seed), F.col(key))
-    n_test = F.round(F.col("_group_n") * F.lit(test_size))
-    return r.withColumn(col, (F.col("_rank") < n_test).cast("int")).drop("_rank", "_group_n")
+    return first_in_order(df, [], hash_key(key, seed), F.col(key), test_size, col)
 
 
 def stratified_kfold(df: DataFrame, label: str, key: str = "id", k: int = 5, seed: int = SEED,
