@@ -19,6 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranks import running_sums
+
 BUCKETS = 64
 BUCKET_ROWS = 1_000_000   # distinct scores in a bucket; more buckets beyond it
 EPS_F1 = 1e-10
@@ -173,6 +175,18 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int = BUCKETS) -> Da
         auc.alias("roc_auc"))
 
 
+def roc_auc_by(df: DataFrame, by: Sequence[str], label: str, score: str) -> DataFrame:
+    """``roc_auc`` of each group in one pass: the distinct scores of all groups are ordered in
+    range partitions, which give the negatives that score lower in the same group."""
+    rows = scored_rows(df, label, score)
+    counted = rows.groupBy(*by, F.col(score).cast("double").alias("_score")).agg(
+        F.sum(F.col(label).cast("long")).alias("_pos"), F.sum((1 - F.col(label)).cast("long")).alias("_neg"))
+    ranked = running_sums(counted, list(by), ["_score"], F.col("_neg"))
+    won = F.sum(F.col("_pos") * (F.col("_before") + F.col("_neg") * 0.5))
+    pairs = F.sum("_pos").cast("double") * F.sum("_neg")
+    return ranked.groupBy(*by).agg(F.when(pairs > 0, won / pairs).alias("roc_auc"))
+
+
 def average_precision(df: DataFrame, label: str, score: str, buckets: int = BUCKETS) -> DataFrame:
     """sum over distinct scores (descending) of (recall step) * precision."""
     c = cumulative(df, label, score, buckets)

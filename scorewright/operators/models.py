@@ -17,11 +17,13 @@ import random
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,7 +159,6 @@ class CalibratedSVC(Saved):
         m = self.svc.transform(df).withColumn("_margin", vector_to_array("rawPrediction")[1])
         m = m.drop("rawPrediction", "prediction").withColumn(
             "_mvec", F.array("_margin"))
-        from pyspark.ml.functions import array_to_vector
         m = m.withColumn("_mvec", array_to_vector("_mvec"))
         out = self.platt.transform(m.withColumnRenamed("features", "_features").withColumnRenamed("_mvec", "features"))
         out = _p1(out).drop("rawPrediction", "probability", "features", "_margin")
@@ -167,6 +168,65 @@ class CalibratedSVC(Saved):
         return [abs(v) for v in self.svc.coefficients.toArray()]
 
 
+class FourierFeatures(Saved):
+    """Random Fourier features of the kernel exp(-gamma |x - y|^2): the inner product of two
+    rows' vectors approximates it.  A column transform; weights come from the seed."""
+
+    def __init__(self, width: int, gamma: float, size: int, seed: int = SEED):
+        super().__init__()
+        self.width, self.gamma, self.size, self.seed = width, gamma, size, seed
+
+    def state(self):
+        return {"width": self.width, "gamma": self.gamma, "size": self.size, "seed": self.seed}
+
+    @classmethod
+    def rebuild(cls, state, parts):
+        return cls(**state)
+
+    def _transform(self, df):
+        rng = np.random.default_rng(self.seed)
+        weight = rng.normal(0.0, math.sqrt(2 * self.gamma), (self.width, self.size))
+        shift = rng.uniform(0.0, 2 * math.pi, self.size)
+
+        @F.pandas_udf("array<double>")
+        def waves(x: pd.Series) -> pd.Series:
+            out = np.cos(np.stack(x.to_numpy()) @ weight + shift) * math.sqrt(2 / self.size) if len(x) else []
+            return pd.Series(list(out))
+
+        return df.withColumn("features", array_to_vector(waves(vector_to_array("features"))))
+
+
+def fit_fourier(train: DataFrame, size: int = 256, seed: int = SEED) -> FourierFeatures:
+    """``gamma`` = 1 / (width * variance of all elements), as scikit-learn's 'scale'."""
+    x = vector_to_array("features")
+    r = train.select(F.size(x).alias("n"), F.aggregate(x, F.lit(0.0), lambda a, v: a + v).alias("s"),
+                     F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v).alias("q")).agg(F.sum("n").alias("n"), F.max("n").alias("w"), F.sum("s").alias("s"), F.sum("q").alias("q")).first()
+    variance = r["q"] / r["n"] - (r["s"] / r["n"]) ** 2
+    return FourierFeatures(r["w"], 1.0 / (r["w"] * variance) if variance > 0 else 1.0, size, seed)
+
+
+class KernelSVC(Saved):
+    """Support vectors with a radial kernel: Fourier features before the calibrated linear SVM."""
+
+    def __init__(self, kernel: FourierFeatures, svc: CalibratedSVC):
+        super().__init__()
+        self.kernel, self.svc = kernel, svc
+
+    def parts(self):
+        return {"kernel": self.kernel, "svc": self.svc}
+
+    @classmethod
+    def rebuild(cls, state, parts):
+        return cls(parts["kernel"], parts["svc"])
+
+    def _transform(self, df):
+        out = self.svc.transform(self.kernel.transform(df.withColumn("_plain", F.col("features"))))
+        return out.drop("features").withColumnRenamed("_plain", "features")
+
+    def importances(self, n):
+        return [0.0] * n  # the weights belong to waves, not to inputs
+
+
 class AdaBoost(Saved):
     """SAMME with depth-1 trees: reweight misclassified rows by exp(alpha)."""
 
@@ -264,7 +324,7 @@ def make_estimator(name: str, n_train: int, **params):
 
 
 MODEL_NAMES = ["random_forest", "extra_trees", "gradient_boosting", "gbt_weighted", "logistic_regression",
-               "linear_svc", "decision_tree", "naive_bayes", "ada_boost"]
+               "linear_svc", "rbf_svc", "decision_tree", "naive_bayes", "ada_boost"]
 LEADERBOARD_MODELS = ["random_forest", "gradient_boosting", "logistic_regression", "linear_svc",
                       "decision_tree", "naive_bayes", "ada_boost"]
 
@@ -302,10 +362,12 @@ def fit_model(name: str, train: DataFrame, **params):
     n = train.count() if name in ("linear_svc", "logistic_regression") else 0  # their penalty depends on it
     if name == "ada_boost":
         return fit_adaboost(train, params.get("n_estimators", 50))
+    if name == "rbf_svc":
+        kernel = fit_fourier(train, params.get("size", 256))
+        return KernelSVC(kernel, fit_model("linear_svc", materialize(kernel.transform(train)), C=params.get("C", 1.0)))
     if name == "linear_svc":
-        svc = LinearSVC(maxIter=100, regParam=1.0 / max(n, 1), labelCol=LABEL, featuresCol="features").fit(train)
+        svc = LinearSVC(maxIter=100, regParam=1.0 / (params.get("C", 1.0) * max(n, 1)), labelCol=LABEL, featuresCol="features").fit(train)
         margin = svc.transform(train).select(LABEL, vector_to_array("rawPrediction")[1].alias("_m"))
-        from pyspark.ml.functions import array_to_vector
         platt = LogisticRegression(labelCol=LABEL, featuresCol="features").fit(
             margin.select(LABEL, array_to_vector(F.array("_m")).alias("features")))
         return CalibratedSVC(svc, platt)

@@ -19,7 +19,7 @@ provably cannot be among the k nearest.  Rows without a vector are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -106,7 +106,6 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str =
     rv = ref.select(F.col(ref_key).alias("_id"), F.col(vec).alias("_v")).where("_id is not null and _v is not null")
     qv = query.select(F.col(key).alias("_id"), F.col(vec).alias("_v")).where("_id is not null and _v is not null")
     id_type = rv.schema["_id"].dataType.simpleString()
-    result = f"q_id {id_type}, n_id {id_type}, distance double"
     n_ref, n_query = rv.count(), qv.count()
     if not n_ref or not n_query:
         return query.sparkSession.createDataFrame([], f"q_id {id_type}, n_id {id_type}, rank int, distance double")
@@ -129,7 +128,6 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str =
     box_hi = np.array([[r[f"b{i}"] for i in range(m)] for r in boxes])
     parts = query.sparkSession.createDataFrame(
         [(r["_cell"], -(-r["n"] // BLOCK_ROWS), r["n"]) for r in boxes], "_cell int, _parts int, _n long")
-    salts = -(-n_query // QUERY_ROWS)
 
     @F.pandas_udf(T.StructType([T.StructField("ub", T.DoubleType()),
                                 T.StructField("cand", T.ArrayType(T.IntegerType()))]))
@@ -155,10 +153,20 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str =
         return pd.DataFrame({"ub": np.concatenate(ubs) if ubs else np.zeros(0), "cand": cands})
 
     # the table of cells has at most max_cells rows
-    q = qv.withColumn("_c", candidates("_id", "_v")).select("_id", "_v", "_c.ub", F.explode("_c.cand").alias("_cell")) \
-        .join(F.broadcast(parts), "_cell")
+    q = qv.withColumn("_c", candidates("_id", "_v")).select("_id", "_v", "_c.ub", F.explode("_c.cand").alias("_cell"))
     if diagnostics is not None:   # candidate pairs after pruning (an extra job; diagnostics only)
-        diagnostics["candidate_pairs"] = q.agg(F.sum("_n")).first()[0]
+        diagnostics["candidate_pairs"] = q.join(F.broadcast(parts), "_cell").agg(F.sum("_n")).first()[0]
+    return _meet_in_blocks(rz, q, parts, n_query, k, exclude_self)
+
+
+def _meet_in_blocks(rz: DataFrame, q: DataFrame, parts: DataFrame, n_query: int, k: int, exclude_self: bool) -> DataFrame:
+    """The k nearest of each query (_id, _v, ub, _cell; a row for each cell it visits) among the
+    reference rows (_id, _v, _cell) of those cells, within ``ub``.  ``parts`` has one row a
+    cell: its number of blocks.  A task meets one block with a slice of the queries."""
+    id_type = rz.schema["_id"].dataType.simpleString()
+    result = f"q_id {id_type}, n_id {id_type}, distance double"
+    q = q.join(F.broadcast(parts), "_cell")
+    salts = -(-n_query // QUERY_ROWS)
     salt = F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     q = q.withColumn("_part", spread(F.col("_parts"))).select("_cell", "_part", salt.alias("_salt"), F.lit(1).alias("_kind"), "_id", "_v", "ub")
@@ -205,6 +213,49 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str =
             .select("q_id", "n_id", F.col("rank").cast("int").alias("rank"), "distance"))
 
 
+def knn_approx(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str = "v", ref_key: str | None = None,
+               exclude_self: bool = True, probes: int = 8, cell_rows: int = 256, max_cells: int = 4096, sample: int = 50_000) -> DataFrame:
+    """(q_id, n_id, rank, distance) like ``knn``, with neighbours looked for in ``probes`` cells only.
+
+    The cells are those of k-means centres, fitted on at most ``sample`` reference rows in
+    hash order; every reference row is indexed, in the cell of its nearest centre, and a
+    query visits the cells of its ``probes`` nearest centres.  Cells of any size are cut into
+    blocks, and distances are exact, so what is missed is a neighbour in a cell that is not
+    visited: with as many probes as cells the result is that of ``knn``.  Each query is sent
+    ``probes`` times, whatever the data, where the exact join may need every cell."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    ref_key = ref_key or key
+    rv = ref.select(F.col(ref_key).alias("_id"), F.col(vec).alias("_v")).where("_id is not null and _v is not null")
+    qv = query.select(F.col(key).alias("_id"), F.col(vec).alias("_v")).where("_id is not null and _v is not null")
+    id_type = rv.schema["_id"].dataType.simpleString()
+    n_ref, n_query = rv.count(), qv.count()
+    if not n_ref or not n_query:
+        return query.sparkSession.createDataFrame([], f"q_id {id_type}, n_id {id_type}, rank int, distance double")
+    cells = max(1, min(max_cells, n_ref // cell_rows))
+    fitted_on = rv.orderBy(hash_key(F.col("_id"), SEED), "_id").limit(sample).select(array_to_vector("_v").alias("features"))
+    centres = np.array(KMeans(k=cells, seed=SEED, maxIter=10).fit(fitted_on).clusterCenters()) if cells > 1 else \
+        np.zeros((1, len(rv.first()["_v"])))
+    probes = min(probes, len(centres))
+
+    def nearest_centres(n: int):
+        @F.pandas_udf(T.ArrayType(T.IntegerType()))
+        def of(v: pd.Series) -> pd.Series:
+            vectors, out = v.to_numpy(), []
+            step = max(1, SLICE // len(centres))
+            for at in range(0, len(vectors), step):
+                d2, _ = _squares(np.stack(vectors[at:at + step]).astype("float64"), centres)
+                out += list(np.argsort(d2, axis=1, kind="stable")[:, :n].astype("int32"))
+            return pd.Series(out)
+        return of
+
+    rz = rv.withColumn("_cell", nearest_centres(1)("_v")[0])
+    parts = rz.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n")).select("_cell", F.ceil(F.col("_n") / BLOCK_ROWS).cast("int").alias("_parts"), "_n")
+    q = qv.withColumn("ub", F.lit(float("inf"))).withColumn("_cell", F.explode(nearest_centres(probes)("_v")))
+    return _meet_in_blocks(rz, q, parts, n_query, k, exclude_self)
+
+
 def knn_classify(train: DataFrame, test: DataFrame, k: int = 5, *, key: str = "id", vec: str = "v",
                  label: str = "label", weights: str = "uniform") -> DataFrame:
     """k-NN vote: share of positive neighbours (``distance`` weights use 1/d;
@@ -223,6 +274,26 @@ def knn_classify(train: DataFrame, test: DataFrame, k: int = 5, *, key: str = "i
     return out.withColumn("prediction", (F.col("p1") > 0.5).cast("int"))
 
 
+def knn_settings(train: DataFrame, test: DataFrame, ks: Sequence[int], *, key: str = "id", vec: str = "v", label: str = "label") -> DataFrame:
+    """(k, weights, id, p1) of each test row for every k and both weightings of ``knn_classify``.
+
+    One neighbour join at the largest k holds the answers of all smaller ones: a setting is a
+    condition on the neighbour's rank and a weight, so all are aggregates of one grouping."""
+    nn = knn(test, train, max(ks), key=key, vec=vec, exclude_self=False)
+    near = nn.join(train.select(F.col(key).alias("n_id"), F.col(label).alias("_y")), "n_id")
+    sums = []
+    for k in ks:
+        inside, zero = F.col("rank") <= k, F.col("distance") == 0
+        inverse = F.when(inside & ~zero, 1.0 / F.col("distance")).otherwise(0.0)
+        y, n0 = F.col("_y"), F.count_if(inside & zero)
+        even = F.sum(F.when(inside, y)) / F.count_if(inside)
+        by_distance = F.when(n0 > 0, F.sum(F.when(inside & zero, y)) / n0).otherwise(F.sum(inverse * y) / F.sum(inverse))
+        sums += [F.struct(F.lit(k).alias("k"), F.lit(name).alias("weights"), p.cast("double").alias("p1"))
+                 for name, p in (("uniform", even), ("distance", by_distance))]
+    out = near.groupBy(F.col("q_id").alias(key)).agg(F.array(*sums).alias("_s"))
+    return out.select(key, F.explode("_s").alias("_s")).select("_s.k", "_s.weights", key, "_s.p1")
+
+
 def smote(df: DataFrame, *, key: str = "id", vec: str = "v", label: str = "label", k: int = 3,
           seed: int = SEED, n_pivots: int = 32) -> DataFrame:
     """Raise the minority class to the majority count with synthetic rows

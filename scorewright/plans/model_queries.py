@@ -62,7 +62,7 @@ for _key, _name in [("model_random_forest", "random_forest"), ("model_extra_tree
                     ("model_gbt", "gradient_boosting"), ("model_gbt_weighted", "gbt_weighted"),
                     ("model_logreg", "logistic_regression"), ("model_linear_svc", "linear_svc"),
                     ("model_decision_tree", "decision_tree"), ("model_naive_bayes", "naive_bayes"),
-                    ("model_adaboost", "ada_boost")]:
+                    ("model_adaboost", "ada_boost"), ("model_rbf_svc", "rbf_svc")]:
     register(_key)(_model_query(_name))
 
 
@@ -243,25 +243,20 @@ register("select_rfecv")(select_rfecv)
 
 # I-PERM: AUC drop when one input column is permuted across the hold-out rows
 def importance_permutation(spark, d, seed=7):
+    """Each row meets one donor row; a variant of the row takes one column from it.  All
+    variants are scored by one transform, and their AUCs come from one grouping."""
     md = ModelData(spark, d)
     model = ml.fit_model("random_forest", md.train)
-
-    def auc_of(raw):
-        scored = materialize(ml.scored_frame(model, md.prep.transform(raw).select("id", ml.LABEL, "features")))
-        return mx.roc_auc(scored, ml.LABEL, "p1").first()["roc_auc"]
-
-    raw = md.test_raw
+    columns = SPEC.cont + [SPEC.cat] + SPEC.bins
     # two independent exact ranks of the same rows: row with _r1 = i takes the value of row with _r2 = i
-    ranked = hashed_rank(raw, [], hash_key("id", seed), F.col("id"), rank_col="_r1", size_col=None)
-    ranked = materialize(hashed_rank(ranked, [], hash_key("id", seed + 1), F.col("id"), rank_col="_r2",
-                                     size_col=None))
-    base = auc_of(ranked)
-    rows = []
-    for c in SPEC.cont + [SPEC.cat] + SPEC.bins:
-        donor = ranked.select(F.col("_r2").alias("_r1"), F.col(c).alias("_perm"))
-        permuted = ranked.drop(c).join(donor, "_r1").withColumnRenamed("_perm", c)
-        rows.append((c, base - auc_of(permuted)))
-    return spark.createDataFrame(rows, "feature string, auc_drop double").orderBy(F.desc("auc_drop"), "feature")
+    ranked = hashed_rank(md.test_raw, [], hash_key("id", seed), F.col("id"), rank_col="_r1", size_col=None)
+    ranked = materialize(hashed_rank(ranked, [], hash_key("id", seed + 1), F.col("id"), rank_col="_r2", size_col=None))
+    both = ranked.join(ranked.select(F.col("_r2").alias("_r1"), F.struct(*columns).alias("_donor")), "_r1")
+    variants = both.withColumn("_feature", F.explode(F.array(*[F.lit(c) for c in ["", *columns]])))
+    variants = variants.withColumns({c: F.when(F.col("_feature") == c, F.col(f"_donor.{c}")).otherwise(F.col(c)) for c in columns})
+    scored = model.transform(md.prep.transform(variants).select("_feature", ml.LABEL, "features")).select("_feature", ml.LABEL, "p1")
+    auc = {r["_feature"]: r["roc_auc"] for r in mx.roc_auc_by(scored, ["_feature"], ml.LABEL, "p1").collect()}  # one row a column
+    return spark.createDataFrame([(c, auc[""] - auc[c]) for c in columns], "feature string, auc_drop double").orderBy(F.desc("auc_drop"), "feature")
 
 
 register("importance_permutation")(importance_permutation)

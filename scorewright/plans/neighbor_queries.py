@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import metrics as mx
 from ..operators import neighbors as nb
+from ..operators import prepare as pr
 from ..operators import split as sp
-from ..sources.fixtures import vectors
+from ..sources.fixtures import account, vectors
 from ..session import materialize
 from .oracle_fixtures import with_fixtures
 from .registry import register
@@ -55,3 +57,48 @@ def smote_oversample(spark, d):
 
 
 register("smote_oversample")(smote_oversample)
+
+
+# C-KNN: every setting of the reference's search from one neighbour table (fixed values)
+KNN_KS = [3, 5, 7, 9, 11]
+
+
+def knn_grid(spark, d):
+    """Hold-out AUC and accuracy of the ten settings."""
+    s = _split(spark, d)
+    train, test = s.where(F.col("is_test") == 0), s.where(F.col("is_test") == 1)
+    scored = nb.knn_settings(train, test, KNN_KS).join(test.select("id", "label"), "id")
+    scored = materialize(scored.withColumn("p1", F.round("p1", 9)))  # sums of one order in both engines
+    right = scored.groupBy("k", "weights").agg(F.avg((F.col("label") == (F.col("p1") > 0.5).cast("int")).cast("double")).alias("accuracy"))
+    return right.join(mx.roc_auc_by(scored, ["k", "weights"], "label", "p1"), ["k", "weights"])
+
+
+register("knn_grid", doubles=("accuracy", "roc_auc"), sql=with_fixtures(f"""
+SELECT k, weights, avg(CAST(y = CAST(p1 > 0.5 AS INTEGER) AS DOUBLE)) AS accuracy,
+  (sum(place) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2) / (count(*) FILTER (y = 1) * count(*) FILTER (y = 0)) AS roc_auc
+FROM (SELECT *, rank() OVER (PARTITION BY k, weights ORDER BY p1) + (count(*) OVER (PARTITION BY k, weights, p1) - 1) / 2 AS place FROM (
+  SELECT k, weights, id, any_value(own) AS y, round(CASE WHEN weights = 'uniform' THEN avg(y::DOUBLE)
+      WHEN count(*) FILTER (distance = 0) > 0 THEN avg(y::DOUBLE) FILTER (distance = 0) ELSE sum(y / distance) / sum(1 / distance) END, 9) AS p1
+  FROM near, (SELECT unnest({KNN_KS}) AS k), (SELECT unnest(['uniform', 'distance']) AS weights) WHERE rank <= k GROUP BY k, weights, id))
+GROUP BY k, weights""", "vsplit", extra=f"""near AS (SELECT * FROM (
+  SELECT q.vec_id AS id, q.y AS own, t.y, list_distance(CAST(q.embedding AS DOUBLE[]), CAST(t.embedding AS DOUBLE[])) AS distance, row_number() OVER (
+    PARTITION BY q.vec_id ORDER BY list_distance(CAST(q.embedding AS DOUBLE[]), CAST(t.embedding AS DOUBLE[])), t.vec_id) AS rank
+  FROM (SELECT * FROM vsplit WHERE is_test = 1) q, (SELECT * FROM vsplit WHERE is_test = 0) t) WHERE rank <= {max(KNN_KS)})"""))(knn_grid)
+
+# J3, approximate: the accounts' numbers, filled and scaled, against each other
+KNN_COLUMNS = ["relationships", "funding_rounds", "milestones", "avg_participants", "funding_total_usd", "age_first_funding_year", "age_last_funding_year"]
+
+
+def account_vectors(spark, d):
+    rows = materialize(account(spark, d).select("id", *[F.col(c).cast("double").alias(c) for c in KNN_COLUMNS]))
+    rows = pr.apply_fill(rows, pr.fit_median(rows, KNN_COLUMNS))
+    rows = pr.apply_standard(rows, pr.fit_standard(rows, KNN_COLUMNS))
+    return materialize(rows.select("id", F.array(*KNN_COLUMNS).alias("v")))
+
+
+def knn_approx_topk(spark, d):
+    v = account_vectors(spark, d)
+    return nb.knn_approx(v, v, K)
+
+
+register("knn_approx_topk")(knn_approx_topk)

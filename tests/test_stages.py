@@ -191,3 +191,39 @@ def test_boxplot_of_the_classes_in_the_data(spark):
         assert (r["n"], r["q1"], r["median"], r["q3"], r["whisker_low"], r["n_outliers"]) == (9, q1, q2, q3, 0.0, 0)
     with pytest.raises(ValueError):
         pf.boxplot_stats(spark.createDataFrame([(i, 1.0) for i in range(100)], "y int, x double"), "y", ["x"])
+
+
+def test_kernel_svc_separates_a_ring(spark, tmp_path):
+    rng = random.Random(3)
+    points = [(rng.uniform(-2, 2), rng.uniform(-2, 2)) for _ in range(300)]
+    data = [(i, x, y, int(0.8 < math.hypot(x, y) < 1.6)) for i, (x, y) in enumerate(points)]
+    df = spark.createDataFrame(data, "id long, x1 double, x2 double, label int")
+    from pyspark.ml.feature import VectorAssembler
+    df = ml.add_weights(VectorAssembler(inputCols=["x1", "x2"], outputCol="features").transform(df).select("id", "label", "features"))
+    auc = {name: ml.evaluate(ml.scored_frame(ml.fit_model(name, df.where("id < 200")), df.where("id >= 200")))["roc_auc"] for name in ("linear_svc", "rbf_svc")}
+    assert auc["rbf_svc"] > 0.9 > 0.75 > auc["linear_svc"]
+    model = ml.fit_model("rbf_svc", df.where("id < 200"))
+    sinks.save_model(model, str(tmp_path / "rbf"))
+    assert scores(sinks.load_model(str(tmp_path / "rbf")).transform(df)) == scores(model.transform(df))
+    assert model.transform(df).select("features").first()["features"].size == 2
+
+
+def test_auc_of_groups_equals_that_of_each(spark):
+    from scorewright.operators import metrics as mx
+    rng = random.Random(4)
+    data = [(rng.choice(["a", "b", None]), rng.choice([0, 1, 1, None]), round(rng.random(), 1)) for _ in range(400)] + [("c", 1, 0.5)]
+    df = spark.createDataFrame(data, "g string, y int, s double")
+    got = {r["g"]: r["roc_auc"] for r in mx.roc_auc_by(df, ["g"], "y", "s").collect()}
+    assert got.pop("c") is None
+    assert got == {g: pytest.approx(mx.roc_auc(df.where(F.col("g").eqNullSafe(F.lit(g))), "y", "s").first()["roc_auc"]) for g in ("a", "b", None)}
+
+
+def test_approximate_neighbours_recall(spark):
+    from scorewright.operators import neighbors as nb
+    from scorewright.plans.neighbor_queries import account_vectors
+    v = account_vectors(spark, "/root/testdata/sf0.01")
+    pairs = lambda out: {(r["q_id"], r["n_id"]) for r in out.collect()}
+    exact = pairs(nb.knn(v, v, 5))
+    got = pairs(nb.knn_approx(v, v, 5, cell_rows=32, probes=8))
+    assert len(exact & got) >= 0.9 * len(exact)
+    assert pairs(nb.knn_approx(v, v, 5, cell_rows=300, probes=100)) == exact
