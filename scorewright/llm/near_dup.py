@@ -17,19 +17,22 @@ HashingTF and IDF do, so the table that tasks need has a fixed size.
    at a time.  Texts with the same words are one text from here on.
 3. Texts that agree on all samples of a band are a group of candidates (0.9998 of the
    pairs at 0.8 are in one).  Groups with the same members are one.  A group is cut
-   into blocks of about ``BLOCK`` texts and ``BLOCK_BYTES`` by a hash; each block and the group's first one
-   make a unit, and a task compares a unit's whole texts by matrix products and
-   returns a spanning forest of its links, never its pairs.  After that, two further
-   blocks of a group meet only where they do not lie in one component yet.  So every
+   into blocks of about ``BLOCK`` texts and ``BLOCK_BYTES`` by a hash.  The blocks form a
+   tree of ``HUB`` children; a block and its parent make a unit, and a task compares a
+   unit's whole texts by matrix products and returns a spanning forest of its links,
+   never its pairs.  After that, only groups that do not lie in one component are dealt
+   to blocks anew, by component, and blocks of different components meet.  So every
    candidate pair is compared or already in one component, and no link between
    different texts is lost.  A group whose texts are alike costs in proportion to its
    texts; one of many texts that are near 0.8 but not linked costs its square, divided
    by ``BLOCK``, in texts sent to tasks.
 
-Of a class the smallest id stays.  Null texts count as empty; texts without words are
-one class.  Rows with the same words share a class, also rows that repeat an id.  A
-null id gets the class of equal texts with an id, and links nothing; ``keep_one_row``,
-which the pipeline uses, decides by row instead.  An empty table gives an empty one.  Further columns are not read.
+Texts are compared by row, whatever their ids: null ids and ids that several texts share
+link like others.  A class is named by its least id (null where no row of it has one), and
+the rows with that id, or all rows of a class without ids, are kept; ``keep_one_row``,
+which the pipeline uses, keeps one row.  Ids may be numbers or strings.  Null texts count
+as empty; texts without words are one class.  Rows with the same words share a class.  An
+empty table gives an empty one.  Further columns are not read.
 """
 
 from __future__ import annotations
@@ -45,7 +48,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from . import bloom
 from . import words as W
-from .util import mix64, numbered, slices, utf8
+from .util import join_counted, mix64, numbered, slices, utf8
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -58,7 +61,7 @@ BLOCK = 256                 # texts of a candidate group in a block; two blocks
 BLOCK_BYTES = 8 << 20       # their bytes, about
 KNOWN = 1 << 22             # elements of vectors that a task keeps
 COLUMNS = 8192              # common elements of a matrix product
-LARGE = 4096                # classes of more than one row in so many have their size broadcast
+HUB = 16                    # blocks of a candidate group that one of its blocks is first compared with
 
 _U = np.uint64
 _CELLS = 4096
@@ -200,9 +203,10 @@ def inverse_frequency(counts: np.ndarray, n_rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, key, bands, bytes) of each row; ``key`` stands for the text's words, and
-    ``bands`` is null without words.  ``idf`` is a broadcast of weights."""
-    n, id_type = bands * rows, docs.schema["id"].dataType.simpleString()
+    """(id, key, bands, bytes, and further columns of ``docs``) of each row; ``key`` stands for
+    the text's words, and ``bands`` is null without words.  ``idf`` is a broadcast of weights."""
+    n, more = bands * rows, [f for f in docs.schema.fields if f.name not in ("id", "text")]
+    id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = idf.value
@@ -223,10 +227,11 @@ def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[lo:hi], pa.array(key, pa.binary()),
                      pa.array([None if i is None else band[i].tolist() for i in at], pa.list_(pa.int64())),
-                     pa.array(np.diff(own), pa.int64())],
-                    ["id", "key", "bands", "bytes"])
+                     pa.array(np.diff(own), pa.int64()), *(c[lo:hi] for c in batch.columns[2:])],
+                    ["id", "key", "bands", "bytes", *(f.name for f in more)])
 
-    return docs.select("id", "text").mapInArrow(run, f"id {id_type}, key binary, bands array<bigint>, bytes bigint")
+    schema = f"id {id_type}, key binary, bands array<bigint>, bytes bigint" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in more)
+    return docs.select("id", "text", *(f.name for f in more)).mapInArrow(run, schema)
 
 
 def _vector(text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -285,8 +290,7 @@ def _forest(similar: np.ndarray) -> list[tuple[int, int]]:
 
 
 def compare(units: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """Links (x, y) between the similar texts of each unit; ``units`` has unit and rep."""
-    kind = units.schema["rep"].dataType.simpleString()
+    """Links (x, y) between the similar texts of each unit; ``units`` has unit and rep, a long number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held = {}, [0]
@@ -319,10 +323,9 @@ def compare(units: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFr
         x, y = zip(*found) if found else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["x", "y"])
 
-    with_text = units.join(texts, "rep").select("unit", F.col("rep").cast("long").alias("rep"), "text")
+    with_text = units.join(texts, "rep").select("unit", "rep", "text")
     dealt = with_text.repartition("unit").sortWithinPartitions("unit", "rep")
-    out = dealt.mapInArrow(run, "x long, y long")
-    return out.select(F.col("x").cast(kind).alias("x"), F.col("y").cast(kind).alias("y"))
+    return dealt.mapInArrow(run, "x long, y long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -344,6 +347,39 @@ def components(links: DataFrame) -> DataFrame:
             return label.select(F.col("u").alias("rep"), F.col("c").alias("comp"))
 
 
+def open_pairs(member: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Texts of the groups that do not lie in one component yet, dealt anew: (b, k, rep), and the
+    blocks that still have to meet: (b, k, k2).  None where no group is open.
+
+    A component of a block's size or more has blocks of its own, and the others of a group
+    share blocks.  All blocks but those of the group's largest component meet all blocks, so
+    no two blocks of that component are ever listed."""
+    texts = member.where("blocks > 2").join(label, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    texts = materialize(texts.select("b", "rep", "bytes", "comp"))
+    per = materialize(texts.groupBy("b", "comp").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")))
+    still = per.groupBy("b").agg(F.count("*").alias("comps")).where("comps > 1").select("b")
+    parts = F.ceil(F.greatest(F.sum("n") / BLOCK, F.least(F.sum("bytes") / BLOCK_BYTES, F.sum("n") / 2))).cast("long").alias("parts")
+    per = materialize(per.join(still, "b").withColumn("large", F.col("n") >= BLOCK))
+    if not per.limit(1).count():
+        return None
+    # (b, own, parts): own is the component that has blocks alone, null for the shared ones
+    dealt = materialize(per.withColumn("own", F.when(F.col("large"), F.col("comp"))).groupBy("b", "own").agg(parts, F.sum("n").alias("n")))
+    name = F.xxhash64("b", "own", "part")
+    blocks = materialize(dealt.select("b", "own", "n", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select("b", "own", name.alias("k")))
+    most = dealt.where("own is not null").groupBy("b").agg(F.max_by("own", F.struct("n", "own")).alias("most"))
+    blocks = blocks.join(most, "b", "left").withColumn("in_most", F.coalesce(F.col("own") == F.col("most"), F.lit(False))).drop("most")
+    other = blocks.select("b", F.col("own").alias("own2"), F.col("k").alias("k2"), F.col("in_most").alias("in_most2"))
+    same = F.coalesce(F.col("own") == F.col("own2"), F.lit(False))
+    pairs = blocks.where("not in_most").join(other, "b").where(
+        F.col("in_most2") | ((F.col("k") < F.col("k2")) & ~same) | ((F.col("k") == F.col("k2")) & F.col("own").isNull()))
+    sized = materialize(per.join(dealt.where("own is not null").select("b", F.col("own").alias("comp"), F.col("parts").alias("own_parts")), ["b", "comp"], "left")
+                        .join(dealt.where("own is null").select("b", F.col("parts").alias("shared_parts")), "b", "left")
+                        .select("b", "comp", "n", F.when(F.col("large"), F.col("comp")).alias("own"), "own_parts", "shared_parts"))
+    texts = join_counted(texts.select("b", "rep", "comp"), sized, ["b", "comp"], "n", texts.count())
+    part = F.when(F.col("own").isNotNull(), F.pmod(F.xxhash64("rep"), "own_parts")).otherwise(F.pmod(F.xxhash64("comp"), "shared_parts"))
+    return texts.withColumn("part", part).select("b", name.alias("k"), "rep"), pairs.select("b", "k", "k2")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY,
                     bands: int = BANDS, rows: int = ROWS, features: int = FEATURES) -> DataFrame:
     """(id, class_id, class_size, kept) of each row."""
@@ -351,60 +387,52 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     counts, n_rows = document_frequencies(docs, features)
     idf = spark.sparkContext.broadcast(inverse_frequency(counts, n_rows))
-    signed = materialize(signatures(docs, idf, bands, rows))
-    reps = materialize(signed.groupBy("key").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.max("bytes").alias("bytes")))
-
-    member = reps.where("rep is not null and bands is not null").select("rep", "bytes", F.explode("bands").alias("b"))
+    # a text is named by its row's id and 128 bits of its own, so ids may be null, reused or of any type
+    named = docs.withColumn("h1", F.xxhash64("id", "text")).withColumn("h2", F.xxhash64("text", F.lit(1)))
+    signed = materialize(signatures(named, idf, bands, rows))
+    row = F.struct("id", "h1", "h2")
+    reps = signed.groupBy("key").agg(F.min(row).alias("row"), F.first("bands").alias("bands"), F.max("bytes").alias("bytes"),
+                                       F.count("*").alias("n"), F.min("id").alias("least"))
+    reps = materialize(reps.withColumn("rep", F.monotonically_increasing_id()))
+
+    member = reps.where("bands is not null").select("rep", "bytes", F.explode("bands").alias("b"))
     shared = member.groupBy("b").agg(F.count("*").alias("n")).where("n > 1")
     member = materialize(member.join(shared, "b"))
-    nodes = member.select("rep").distinct()
+    nodes = materialize(reps.join(member.select("rep").distinct(), "rep").select("rep", "row.*"))
 
     # the texts that are compared, taken from their scan by a Bloom filter before they are shuffled
     n_bits = bloom.bits_for(nodes.count())
-    wanted = bloom.test(bloom.build(nodes, "rep", n_bits), F.col("id"), n_bits)
-    texts = materialize(docs.where(wanted).join(nodes, F.col("id") == F.col("rep"), "left_semi")
-                        .select(F.col("id").alias("rep"), "text").dropDuplicates(["rep"]))
+    wanted = bloom.test(bloom.build(nodes, "h1", n_bits), F.col("h1"), n_bits)
+    picked = named.where(wanted).groupBy("id", "h1", "h2").agg(F.first("text").alias("text"))
+    alike = F.col("id").eqNullSafe(F.col("id2"))
+    texts = materialize(picked.join(nodes.withColumnRenamed("id", "id2"), ["h1", "h2"]).where(alike).select("rep", "text"))
 
     # groups with the same members are compared once
     same = member.groupBy("b").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("h2"))
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.least(F.col("bytes") / BLOCK_BYTES, F.col("n") / 2))).cast("int")
     groups = same.groupBy("n", "bytes", "h1", "h2").agg(F.min("b").alias("b")).select("b", blocks.alias("blocks"))
-    member = materialize(member.select("rep", "b").join(groups, "b").withColumn("block", F.pmod(F.xxhash64("b", "rep"), "blocks").cast("int")))
+    member = materialize(member.select("rep", "b", "bytes").join(groups, "b").withColumn("block", F.pmod(F.xxhash64("b", "rep"), "blocks").cast("int")))
 
-    # a group of one block is a unit; of a larger one, each block meets the first block
-    met = F.when(F.col("blocks") == 1, F.array(F.lit(0))).when(F.col("block") == 0, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array("block"))
+    # a group of one block is a unit; the blocks of a larger one form a tree, in which each meets its parent
+    first, block = F.col("block") * HUB + 1, F.col("block")
+    children = F.filter(F.sequence(first, first + HUB - 1), lambda i: i < F.col("blocks"))
+    met = F.when(F.col("blocks") == 1, F.array(block)).otherwise(F.concat(F.filter(F.array(block), lambda i: i > 0), children))
     units = member.select("b", "rep", F.explode(met).alias("i")).select(F.xxhash64("b", "i").alias("unit"), "rep")
     links = materialize(compare(units, texts, idf, threshold))
     label = components(links)
 
-    # other two blocks of a group meet if they do not yet lie in one component
-    large = member.where("blocks > 2 and block > 0").join(label, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    ends = materialize(large.groupBy("b", "block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")))
-    other = ends.select("b", F.col("block").alias("block2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    open_blocks = materialize(ends.join(other, "b").where("block < block2 and not (lo = hi and lo2 = hi2 and lo = lo2)").select("b", "block", "block2"))
-    if open_blocks.limit(1).count():
-        meets = open_blocks.select("b", F.explode(F.array("block", "block2")).alias("block"), F.xxhash64("b", "block", "block2").alias("unit"))
-        more = compare(large.select("b", "block", "rep").join(meets, ["b", "block"]).select("unit", "rep"), texts, idf, threshold)
+    found = open_pairs(member, label)
+    if found:  # other blocks of a group meet where it does not lie in one component yet
+        dealt, pairs = found
+        meets = pairs.select("b", F.explode(F.array_distinct(F.array("k", "k2"))).alias("k"), F.xxhash64("b", "k", "k2").alias("unit"))
+        more = compare(dealt.join(meets, ["b", "k"]).select("unit", "rep"), texts, idf, threshold)
         label = components(links.unionByName(materialize(more)))
 
-    out = reps.select("key", "rep")
-    out = out.withColumn("comp", F.col("rep")) if label is None else out.join(label, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    out = materialize(signed.select("id", "key").join(out, "key").select("id", "comp"))
-    size = materialize(out.where("comp is not null").groupBy("comp").agg(F.count("*").alias("class_size")))
-    # at most LARGE classes hold more than one row in LARGE, so their sizes can be broadcast; no large class is shuffled
-    large = size.where(F.col("class_size") * LARGE > n_rows)
-    sized = out.join(F.broadcast(large), "comp").unionByName(
-        out.where("comp is not null").join(F.broadcast(large.select("comp")), "comp", "left_anti").join(size, "comp")).unionByName(
-        out.where("comp is null"), allowMissingColumns=True)
-    return sized.select(
-        F.col("id").alias(id_col), F.col("comp").alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-        F.col("id").eqNullSafe(F.col("comp")).alias("kept"))
-
-
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows that stand for their class, with all their columns (rows without an id stay)."""
-    gone = near_duplicates(df, id_col, text_col, **options).where("not kept").select(F.col(id_col).alias("_gone")).where("_gone is not null").distinct()
-    return df.join(gone, df[id_col] == gone["_gone"], "left_anti")
+    comps = materialize(reps.join(label, "rep", "left").select("key", "n", "least", F.coalesce("comp", "rep").alias("comp")))
+    classes = comps.groupBy("comp").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"))
+    comps = materialize(comps.join(classes, "comp").select("key", "n", "class_id", "class_size"))
+    out = join_counted(signed.select("id", "key"), comps, ["key"], "n", n_rows)
+    return out.select(F.col("id").alias(id_col), "class_id", "class_size", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def keep_one_row(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -102,3 +102,16 @@ def ranked(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
                                        F.sum("_c").over(places).alias("n")))
     out = stored.withColumn("_part", part).join(few(counts), [group, "_part"])
     return out.withColumn("i", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
+
+
+HOT = 4096  # keys of more than one row in so many are joined apart
+
+
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int, how: str = "inner") -> DataFrame:
+    """Inner or left join with a stored ``table`` of one line a key, whose ``count`` says how many rows have it.
+
+    At most ``HOT`` keys have over ``total / HOT`` rows; their lines are broadcast, so the
+    rows of a hot key are not shuffled into one task.  ``keys`` are not null."""
+    large = table.where(F.col(count) * HOT > total)
+    return rows.join(F.broadcast(large), keys).unionByName(
+        rows.join(F.broadcast(large.select(*keys)), keys, "left_anti").join(table, keys, how))

@@ -50,7 +50,7 @@ def test_oracle(spark, duck, name):
 
 def test_every_query_is_registered():
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
 
 
 def test_empty_tables(spark):
@@ -184,7 +184,60 @@ def test_near_duplicate_classes(spark):
                 a, b = find(i), find(j)
                 parent[max(a, b)] = min(a, b)
     assert got == {i: find(i) for i in range(len(rows))}
-    assert near_dup.keep_one(df).count() == len({find(i) for i in range(len(rows))}) + 1 + (find(1) == 1)
+    assert near_dup.keep_one_row(df).count() == len({find(i) for i in range(len(rows))})
+
+
+def test_near_duplicates_of_reused_and_null_ids(spark):
+    """Links are found by row: null ids, ids with two texts and string ids link like others."""
+    words, random = [f"w{i}" for i in range(500)], __import__("random").Random(9)
+    text = lambda: [random.choice(words) for _ in range(150)]
+    a, b, c = text(), text(), text()
+    near = lambda t: " ".join([*t[:-1], "changed"])
+    rows = [(1, " ".join(a)), (None, near(a)), (5, " ".join(b)), (5, " ".join(c)), (6, near(b)), (7, near(c)), (None, None), (None, "  ")]
+    # two classes are named 5, each by its own row
+    out = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = collections.Counter((r.doc_id, r.class_id, r.class_size) for r in out)
+    assert got == collections.Counter([(1, 1, 2), (None, 1, 2), (5, 5, 2), (5, 5, 2), (6, 5, 2), (7, 5, 2), (None, None, 2), (None, None, 2)])
+    named = spark.createDataFrame([(f"d{i}", t) for i, (_, t) in enumerate(rows)], "doc_id string, text string")
+    assert {(r.doc_id, r.class_id) for r in near_dup.near_duplicates(named).collect()} == {
+        ("d0", "d0"), ("d1", "d0"), ("d2", "d2"), ("d4", "d2"), ("d3", "d3"), ("d5", "d3"), ("d6", "d6"), ("d7", "d6")}
+
+
+def test_large_groups_of_near_duplicates(spark, monkeypatch):
+    """Blocks far smaller than a group: the classes are those of brute force, and a group in one
+    component lists no pair of blocks."""
+    monkeypatch.setattr(near_dup, "BLOCK", 4)
+    monkeypatch.setattr(near_dup, "HUB", 2)
+    random = __import__("random").Random(2)
+    words = [f"w{i}" for i in range(400)]
+    base = [random.choice(words) for _ in range(100)]
+    texts = []
+    for i in range(60):  # a chain of drifting texts: near ones are linked, far ones through them
+        base[random.randrange(100)] = random.choice(words)
+        texts.append(" ".join(base))
+    texts += [" ".join([*texts[0].split()[:60], *random.sample(words, 40)]) for _ in range(10)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    real = near_dup.open_pairs
+    monkeypatch.setattr(near_dup, "open_pairs", lambda *a: seen.append(real(*a)) or seen[-1])
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df, features=1 << 12).collect()}
+    counts, n = near_dup.document_frequencies(df, 1 << 12)
+    idf = near_dup.inverse_frequency(counts, n)
+    vectors, parent = [near_dup._vector(t, idf) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if near_dup.weighted_jaccard(vectors[i], vectors[j]) >= 0.8:
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    assert got == {i: find(i) for i in range(len(texts))}
+    alike = spark.createDataFrame([(i, " ".join([*base, f"end{i}"])) for i in range(50)], "doc_id long, text string")
+    assert {r.class_id for r in near_dup.near_duplicates(alike, features=1 << 12).collect()} == {0} and seen[-1] is None
 
 
 def test_secrets_of_odd_texts(spark):
