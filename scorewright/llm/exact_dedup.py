@@ -7,8 +7,7 @@ at most 8 MB, and a second scan computes the full SHA-256 only for rows that the
 filter lets through: a false positive costs one more hash and changes nothing.  Equal
 hashes are the classes.  Text is never shuffled, only lengths and hashes are, and
 groups are counted before the shuffle, so a class of a third of all rows is a few
-partial counts; its rows meet the class's one line in a join that adaptive execution
-can split.
+partial counts; the lines of large classes are broadcast to their rows.
 
 ``keep_first`` decides by row: of a class one row stays, by the order below, then by a
 hash of the text, then by a stored row number; a repeated row or one without an id goes
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import bloom
-from .util import numbered
+from .util import join_counted, numbered
 
 PREFIX = 64
 
@@ -64,14 +63,11 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
                        *[full.alias("text_sha256")] * hash_all)
     rows = materialize(rows)
 
-    order = ["chars", F.col("id").isNotNull(), -F.col("id")]
-    best = [F.max_by("id", F.struct(*order)).alias("keep_id")]
-    if number:
-        order += [F.col("hash"), -F.col("number")]
-        best = [F.max_by(c, F.struct(*order)).alias(f"keep_{c}") for c in ("id", "number")]
+    order = F.struct(-F.col("chars"), F.col("id").isNull(), "id", *["hash", "number"] * len(number))
+    best = [F.min_by(c, order).alias(f"keep_{c}") for c in ("id", *number)]
     hashed = rows.where("full is not null")  # the others are alone and meet nothing
-    classes = hashed.groupBy("full").agg(F.count("*").alias("group_size"), *best).where("group_size > 1")
-    out = hashed.join(classes, "full", "left").unionByName(
+    classes = materialize(hashed.groupBy("full").agg(F.count("*").alias("group_size"), *best).where("group_size > 1"))
+    out = join_counted(hashed, classes, ["full"], "group_size", rows.count(), "left").unionByName(
         rows.where("full is null"), allowMissingColumns=True)
     alone = F.col("group_size").isNull()
     return out.select(
