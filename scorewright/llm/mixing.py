@@ -1,9 +1,10 @@
 """Mixing sources to target weights: iterative proportional fitting, then calibrated sampling.
 
 Documents fall into cells (source, language, topic).  Raking multiplies the cells'
-token weights by target / current in turn for each margin until all margins hold.  A
-document of cell c is sampled with probability ``min(1, s * raked_c / tokens_c)``, with s
-such that the expected tokens are ``budget`` times all tokens.  The draw is a hash of the
+weights by goal / current in turn for each margin until all margins hold; a document is
+sampled with its cell's weight, at most 1, as probability.  The goals of a margin sum to
+``budget`` times all tokens, and cells at 1 stand fixed while the others are raked to the
+rest, so the expected tokens meet the margins also where the budget is large.  The draw is a hash of the
 document's id and a seed; rows whose id is null or repeated are drawn by a hash of their
 text and a stored row number, too, so each is drawn alone.  A task that runs again draws
 the same.
@@ -27,13 +28,13 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .util import numbered
 
-ITERATIONS = 30
-TOLERANCE = 1e-6
+ROUNDS = 100
+TOLERANCE = 1e-3        # relative, of every margin
+FASTEST = 1e6           # a weight's largest value and step
 BROADCAST_CELLS = 50_000
 BROADCAST_IDS = 1_000_000
 MARGINS = ("source", "lang", "topic")
 TEMPERATURE = {"source": 0.7, "lang": 0.8, "topic": 0.9}  # default targets: shares to this power
-GRID = 64
 
 
 def n_words(text: Column) -> Column:
@@ -52,48 +53,65 @@ def shares(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return sums.select("value", F.pow("t", F.lit(power)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], iterations: int = ITERATIONS) -> DataFrame:
-    """``cells`` (margins and tokens) with ``raked``: token weights that meet each margin's
-    target (value, share), in units of all tokens."""
+def goals_of(cells: DataFrame, targets: dict[str, DataFrame], budget: float) -> dict[str, DataFrame]:
+    """(value, goal) of each margin: the expected tokens that its target (value, share) asks for.
+
+    No value can give more than all its tokens, so a goal above them is cut to them, and what
+    it lacks is asked of the margin's other values, by their shares."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    state = cells
     goals = {}
     for m, target in targets.items():
         # shares over the values that have tokens; a value without a target keeps its tokens' share
         have = cells.where("tokens > 0").groupBy(F.col(m).alias("value")).agg(F.sum("tokens").alias("t")).join(target, "value", "left")
-        have = have.withColumn("share", F.coalesce("share", F.col("t") / total if total else F.lit(0.0)))
-        every = have.agg(F.sum("share").alias("all")).first()["all"] or 1.0
-        goals[m] = materialize(have.select(F.col("value").alias(m), (F.col("share") / every * total).alias("goal")))
-    state = materialize(state.withColumn("raked", F.col("tokens").cast("double")))
-    for _ in range(iterations):
-        worst = None
+        have = materialize(have.withColumn("share", F.coalesce("share", F.col("t") / total if total else F.lit(0.0))))
+        scale, before = 0.0, -1.0
+        while scale > before:  # it grows with each value that is cut, and ends when none is
+            cut = F.col("share") * scale >= F.col("t")
+            r = have.agg(F.sum(F.when(cut, F.col("t")).otherwise(0)).alias("whole"), F.sum(F.when(cut, 0.0).otherwise(F.col("share"))).alias("open")).first()
+            before, scale = scale, max(scale, (budget * total - (r["whole"] or 0)) / r["open"] if r["open"] else scale)
+        goals[m] = materialize(have.select(F.col("value").alias(m), F.least(F.col("share") * scale, F.col("t").cast("double")).alias("goal")))
+    return goals
+
+
+def rake(cells: DataFrame, goals: dict[str, DataFrame], budget: float, rounds: int = ROUNDS) -> tuple[DataFrame, float]:
+    """``cells`` (margins and tokens) with ``prob``, so that the expected tokens meet each
+    margin's goals, and the largest relative error that is left.
+
+    A probability is the least of 1 and the cell's weight.  In each round and margin, cells at
+    1 stand fixed, and the weights of a value's cells are raked to what its goal leaves for the
+    others; so what cells at 1 cannot take goes to other cells of the same margin.  It ends
+    when no margin is off by ``TOLERANCE``, or no longer moves; margins that contradict each
+    other leave an error, which is returned."""
+    state, before = materialize(cells.withColumn("weight", F.lit(float(budget)))), None
+    prob = F.least(F.lit(1.0), F.col("weight"))
+    while True:
         for m, goal in goals.items():
-            now = state.groupBy(m).agg(F.sum("raked").alias("now")).join(goal, m)
-            factor = now.where("now > 0").select(m, (F.col("goal") / F.col("now")).alias("f"))
-            state = state.join(factor, m, "left").withColumn("raked", F.col("raked") * F.coalesce("f", F.lit(1.0)))
-            state = state.withColumn("off", F.greatest(F.coalesce("off", F.lit(0.0)) if "off" in state.columns else F.lit(0.0), F.abs(F.coalesce("f", F.lit(1.0)) - 1))).drop("f")
+            inner = F.col("weight") < 1
+            sums = state.groupBy(m).agg(F.sum(F.when(inner, F.col("weight") * F.col("tokens")).otherwise(0.0)).alias("free"),
+                                        F.sum(F.when(inner, 0).otherwise(F.col("tokens"))).alias("fixed"))
+            rest = F.col("goal") - F.col("fixed")
+            factor = (F.when((rest > 0) & (F.col("free") > 0), rest / F.col("free"))
+                      .when(F.col("goal") < F.col("fixed") + F.col("free"), F.col("goal") / (F.col("fixed") + F.col("free"))).otherwise(1.0))
+            factors = sums.join(goal, m).select(m, F.least(factor, F.lit(FASTEST)).alias("f"))
+            state = state.join(factors, m, "left").withColumn("weight", F.least(F.col("weight") * F.coalesce("f", F.lit(1.0)), F.lit(FASTEST))).drop("f")
         state = materialize(state)
-        worst = state.where("tokens > 0").agg(F.max("off")).first()[0] or 0.0
-        state = state.drop("off")
-        if worst < TOLERANCE:
-            break
-    return state
-
-
-def probabilities(cells: DataFrame, budget: float) -> DataFrame:
-    """``cells`` with ``prob``, so that the expected tokens are ``budget`` of all tokens."""
-    ratio = F.when(F.col("tokens") > 0, F.col("raked") / F.col("tokens"))
-    cells = cells.withColumn("ratio", ratio)
-    low, high, total = cells.agg(F.min("ratio"), F.max("ratio"), F.sum("tokens")).first()
-    if not total:
-        return cells.withColumn("prob", F.lit(1.0))
-    lo, hi = 0.0, 1.0 / low if low else 1e12  # at hi every cell is whole, or nearly
-    for _ in range(6):  # each pass narrows the scale 64 times
-        points = [lo + (hi - lo) * (i + 1) / GRID for i in range(GRID)]
-        sums = cells.agg(*[F.sum(F.least(F.lit(1.0), F.col("ratio") * s) * F.col("tokens")).alias(f"p{i}") for i, s in enumerate(points)]).first()
-        k = next((i for i, x in enumerate(sums) if x >= budget * total), GRID - 1)
-        lo, hi = (points[k - 1] if k else lo), points[k]
-    return cells.withColumn("prob", F.coalesce(F.least(F.lit(1.0), F.col("ratio") * hi), F.lit(1.0)))
+        left = errors(state.withColumn("prob", prob), goals)
+        worst = left.agg(F.max("error")).first()[0] or 0.0
+        rounds -= 1
+        if worst < TOLERANCE or not rounds or (before is not None and abs(before - worst) < TOLERANCE / 100):
+            return state.withColumn("prob", F.when(F.col("tokens") > 0, prob).otherwise(1.0)).drop("weight"), worst
+        before = worst
+
+
+def errors(cells: DataFrame, goals: dict[str, DataFrame]) -> DataFrame:
+    """(margin, value, goal, expected, error): what the probabilities of ``cells`` make of each goal."""
+    out = None
+    for m, goal in goals.items():
+        now = cells.groupBy(m).agg(F.sum(F.col("prob") * F.col("tokens")).alias("expected")).join(goal, m)
+        now = now.select(F.lit(m).alias("margin"), F.col(m).alias("value"), "goal", "expected",
+                         F.when(F.col("goal") > 0, F.abs(F.col("expected") / F.col("goal") - 1)).otherwise(0.0).alias("error"))
+        out = now if out is None else out.unionByName(now)
+    return out
 
 
 def cells_of(docs: DataFrame) -> DataFrame:
@@ -123,7 +141,8 @@ def calibrate(slim: DataFrame, budget: float, targets: dict[str, DataFrame] | No
     """(margins, prob) of each cell."""
     cells = materialize(cells_of(slim))
     targets = {m: shares(cells, m, TEMPERATURE[m]) for m in MARGINS} | (targets or {})
-    return materialize(probabilities(rake(cells, targets), budget).select(*MARGINS, "prob"))
+    raked, _ = rake(cells, goals_of(cells, targets, budget), budget)
+    return materialize(raked.select(*MARGINS, "prob"))
 
 
 def uniform(df: DataFrame, id_col: str, hash_: Column, number: Column, seed: int) -> DataFrame:
