@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from ..sources.tables import load_labeled
 from . import features as fx
+from . import metrics as mx
 from . import models as ml
+from . import profile as pf
 from . import select as fs
 from . import split as sp
 from .persist import Saved
@@ -29,18 +31,19 @@ class AutoClassifier(Saved):
     transformer, which adds ``p1`` and ``prediction``."""
 
     def __init__(self, spec: ml.FeatureSpec, label: str, *, key: str = "id", test_size: float = 0.2,
-                 feature_engineering: bool = False, feature_selection: bool = False, n_select: int = 20,
+                 feature_engineering: bool = False, feature_selection: bool = False, n_select: int = 20, selection_step=1,
                  ensemble: bool = True, top_n: int = 3, models: Sequence[str] = tuple(ml.LEADERBOARD_MODELS),
                  refit_full: bool = False, seed: int = 42):
         super().__init__()
         self.spec, self.label, self.key = spec, label, key
         self.test_size, self.seed = test_size, seed
         self.feature_engineering, self.feature_selection, self.n_select = feature_engineering, feature_selection, n_select
+        self.selection_step = selection_step
         self.ensemble, self.top_n, self.models = ensemble, top_n, list(models)
         self.refit_full = refit_full
 
     # -- persistence --------------------------------------------------------
-    OPTIONS = ("key", "test_size", "feature_engineering", "feature_selection", "n_select", "ensemble", "top_n", "models", "refit_full", "seed")
+    OPTIONS = ("key", "test_size", "feature_engineering", "feature_selection", "n_select", "selection_step", "ensemble", "top_n", "models", "refit_full", "seed")
     FITTED = ("auto_inputs", "names", "keep", "leaderboard_rows", "metrics")
 
     def state(self):
@@ -87,7 +90,7 @@ class AutoClassifier(Saved):
         tr = materialize(ml.add_weights(self.prep.transform(self._derive(train)).select(*keep_cols)))
         if self.feature_selection:
             self.keep = fs.rfe(tr, self.names, lambda d: ml.fit_model("random_forest", d, numTrees=50),
-                               min(self.n_select, len(self.names)), 0.1)
+                               min(self.n_select, len(self.names)), self.selection_step)
             tr = materialize(fs.slice_features(tr, self.keep))
             self.names = [self.names[i] for i in self.keep]
         te = materialize(self._features(test).select(*keep_cols))
@@ -132,3 +135,27 @@ def evaluate_model(model: AutoClassifier, df: DataFrame, label: str) -> dict:
     scored = model.predict_proba(df).join(df.select(model.key, F.col(label).cast("int").alias(ml.LABEL)), model.key)
     scored = scored.withColumn("prediction", (F.col("p1") >= 0.5).cast("int"))
     return ml.evaluate(scored)
+
+
+def full_report(data: DataFrame, label: str, spec: ml.FeatureSpec, *, key: str = "id", test_size: float = 0.2, top: int = 15, **options) -> DataFrame:
+    """S-REP: hold out, fit the facade on the rest, and report on the held rows as (section,
+    name, value): sizes, class balance, metrics, confusion matrix, classification report,
+    probabilities and the largest importances."""
+    spark = data.sparkSession
+    rows = materialize(sp.stratified_split(data.withColumn(ml.LABEL, F.col(label).cast("int")), ml.LABEL, key, test_size, seed=7))
+    train, test = (rows.where(F.col("is_test") == t).drop("is_test") for t in (0, 1))
+    auto = AutoClassifier(spec, label, key=key, **options).fit(train)
+    scored = materialize(ml.scored_frame(auto, test, key))
+    out = [("size", "train", train.count()), ("size", "test", test.count()), ("size", "features", len(auto.names))]
+    for name, part in (("train", train), ("test", test)):
+        out += [(f"balance {name}", str(r[ml.LABEL]), r["count"]) for r in part.groupBy(ml.LABEL).count().orderBy(ml.LABEL).collect()]
+    out += [("metric", k, v) for k, v in ml.evaluate(scored).items()]
+    confusion = mx.confusion_matrix(scored, ml.LABEL, "prediction")
+    out += [("confusion", " ".join(f"{c}={r[c]}" for c in confusion.columns[:-1]), r[-1]) for r in confusion.collect()]
+    report = mx.classification_report(scored, ml.LABEL, "prediction").collect()
+    out += [(f"class {r['class']}", c, r[c]) for r in report for c in ("precision", "recall", "f1", "support") if r[c] is not None]
+    summary = pf.probability_summary(scored, "p1").first()
+    out += [("probability", c, summary[c]) for c in ("mean", "std", "min", "max")]
+    ranked = sorted(zip(auto.model.importances(len(auto.names)), auto.names), key=lambda x: (-x[0], x[1]))
+    out += [("importance", name, value) for value, name in ranked[:top]]
+    return spark.createDataFrame([(s, n, None if v is None else float(v)) for s, n, v in out], "section string, name string, value double")

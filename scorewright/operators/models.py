@@ -313,9 +313,9 @@ def make_estimator(name: str, n_train: int, **params):
                              featureSubsetStrategy=params.get("featureSubsetStrategy", "0.8"),
                              weightCol=params.get("weightCol", "w_pos"), seed=SEED, **common)
     if name == "logistic_regression":
-        c = params.get("C", 1.0)
-        return LogisticRegression(maxIter=1000, regParam=1.0 / (c * max(n_train, 1)), elasticNetParam=0.0,
-                                  standardization=False, **common)
+        c, weight = params.get("C", 1.0), params.get("weightCol")
+        return LogisticRegression(maxIter=1000, regParam=1.0 / (c * max(n_train, 1)), elasticNetParam={"l2": 0.0, "l1": 1.0}[params.get("penalty", "l2")],
+                                  standardization=False, **common, **({"weightCol": weight} if weight else {}))
     if name == "decision_tree":
         return DecisionTreeClassifier(maxDepth=params.get("maxDepth", 30), seed=SEED, **common)
     if name == "naive_bayes":
@@ -364,9 +364,10 @@ def fit_model(name: str, train: DataFrame, **params):
         return fit_adaboost(train, params.get("n_estimators", 50))
     if name == "rbf_svc":
         kernel = fit_fourier(train, params.get("size", 256))
-        return KernelSVC(kernel, fit_model("linear_svc", materialize(kernel.transform(train)), C=params.get("C", 1.0)))
+        return KernelSVC(kernel, fit_model("linear_svc", materialize(kernel.transform(train)), **params))
     if name == "linear_svc":
-        svc = LinearSVC(maxIter=100, regParam=1.0 / (params.get("C", 1.0) * max(n, 1)), labelCol=LABEL, featuresCol="features").fit(train)
+        weight = {"weightCol": params["weightCol"]} if params.get("weightCol") else {}
+        svc = LinearSVC(maxIter=100, regParam=1.0 / (params.get("C", 1.0) * max(n, 1)), labelCol=LABEL, featuresCol="features", **weight).fit(train)
         margin = svc.transform(train).select(LABEL, vector_to_array("rawPrediction")[1].alias("_m"))
         platt = LogisticRegression(labelCol=LABEL, featuresCol="features").fit(
             margin.select(LABEL, array_to_vector(F.array("_m")).alias("features")))

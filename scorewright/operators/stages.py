@@ -214,6 +214,22 @@ BOOSTED_VOTE = [
     ("gradient_boosting", {"maxIter": 150, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}),
     ("gbt_weighted", {"maxIter": 150, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "weightCol": "w_balanced"}),
 ]
+BALANCED_VOTE = [
+    ("random_forest", {"numTrees": 100, "maxDepth": 10}),
+    ("logistic_regression", {"weightCol": "w_balanced"}),
+    ("rbf_svc", {"weightCol": "w_balanced"}),
+]
+
+
+def preprocess_clean(train: DataFrame, test: DataFrame, numbers: Sequence[str], categories: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """S-PRE3: modes and medians of the training rows fill both frames; then each category has its
+    place among the sorted values of both.  Codes are columns of the category's name."""
+    fill = StagedPipeline([ModeFill(categories), MedianFill(numbers)]).fit(train)
+    train, test = fill.transform(train), fill.transform(test)
+    for c in categories:
+        codes = materialize(pr.fit_label_codes(train.select(c).unionByName(test.select(c)), c))
+        train, test = (pr.apply_label_codes(df, c, codes, out=f"{c}__place").drop(c).withColumnRenamed(f"{c}__place", c) for df in (train, test))
+    return train, test
 
 
 def imbalanced_pipeline(cols: Sequence[str], inputs: Sequence[str], vote: Sequence[tuple[str, dict]] = BOOSTED_VOTE, *,

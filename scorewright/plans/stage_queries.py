@@ -1,5 +1,6 @@
 """Registered queries: staged fit with resampling (S-PIPE), the second preprocessing flow
-(S-PRE2), and a stream scored by a saved and loaded model (R1, S9)."""
+(S-PRE2, S-PRE3), fixed votes, the full report (S-REP), and a stream scored by a saved and
+loaded model (R1, S9)."""
 
 from __future__ import annotations
 
@@ -9,14 +10,17 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from ..operators import features as fx
 from ..operators import models as ml
 from ..operators import split as sp
 from ..operators import stages as st
+from ..operators.auto import full_report
 from ..session import materialize, scratch_folder
 from ..sources import sinks
 from ..sources.fixtures import account, doc_quality
 from ..sources.tables import table
 from ..streaming.scoring import score_alerts
+from .model_queries import SPEC
 from .oracle_fixtures import with_fixtures
 from .registry import register
 
@@ -71,6 +75,52 @@ SELECT id, is_test, {", ".join(f"{e} AS {c}" for c, e in clip.items())} FROM (
 register("preprocess_advanced", doubles=tuple(NUMBERS), sql=_preprocess_sql())(preprocess_advanced)
 
 
+# S-PRE3, and the vote of balanced models on its columns
+FLAGS = ["is_CA", "is_NY", "is_MA", "is_TX", "is_otherstate", "has_VC", "has_angel", "has_roundA", "has_roundB", "has_roundC", "has_roundD"]
+
+
+def clean_frames(spark, d):
+    rows = account(spark, d).select("id", "labels", "labels_planted", "category_code", *[F.col(c).cast("double").alias(c) for c in NUMBERS], *FLAGS)
+    rows = materialize(sp.stratified_split(rows, "labels"))
+    return st.preprocess_clean(rows.where("is_test = 0"), rows.where("is_test = 1"), NUMBERS, ["category_code"])
+
+
+def preprocess_clean(spark, d):
+    train, test = clean_frames(spark, d)
+    return train.unionByName(test).select("id", "is_test", "category_code", *NUMBERS)
+
+
+def _clean_sql():
+    numbers = ", ".join(f"coalesce({c}::DOUBLE, (SELECT quantile_cont({c}::DOUBLE, 0.5) FROM train)) AS {c}" for c in NUMBERS)
+    return with_fixtures(f"""
+SELECT id, is_test, CAST(code AS INTEGER) AS category_code, {", ".join(NUMBERS)} FROM filled JOIN (
+  SELECT category_code, row_number() OVER (ORDER BY category_code) - 1 AS code FROM (SELECT DISTINCT category_code FROM filled)) USING (category_code)""",
+                         "train", extra=f"""filled AS (SELECT id, is_test, {numbers}, coalesce(category_code, (
+  SELECT category_code FROM train WHERE category_code IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, category_code LIMIT 1), 'Unknown') AS category_code FROM account_split)""")
+
+
+register("preprocess_clean", doubles=tuple(NUMBERS), sql=_clean_sql())(preprocess_clean)
+
+
+def vote_balanced(spark, d):
+    """E-VOTE with fixed members: balanced forest, logistic regression and radial SVM on S-PRE3's columns."""
+    inputs = ["category_code", *NUMBERS, *FLAGS]
+    train, test = (df.withColumn(ml.LABEL, F.col("labels_planted")) for df in clean_frames(spark, d))
+    flow = st.StagedPipeline([st.StandardScale(["category_code", *NUMBERS]), VectorAssembler(inputCols=inputs, outputCol="features"), st.Vote(st.BALANCED_VOTE)])
+    return ml.scored_frame(flow.fit(materialize(train)), test)
+
+
+register("vote_balanced")(vote_balanced)
+
+
+# S-REP: the whole report of a fitted facade
+def model_report(spark, d):
+    data = fx.derive_scored(account(spark, d)).select("id", "labels_planted", *SPEC.cont, SPEC.cat, *SPEC.bins)
+    return full_report(data, "labels_planted", SPEC, models=["random_forest", "logistic_regression", "naive_bayes", "linear_svc"])
+
+
+register("model_report")(model_report)
+
 # A model fitted on the older half of the events scores the newer half as it arrives
 EVENT_INPUTS = ["size", "hour", "k"]
 EVENT_THRESHOLD = 0.8
