@@ -93,7 +93,7 @@ def test_grouped_quantile_equals_median(spark):
     from scorewright.operators.profile import grouped_quantile
     li = table(spark, SF_MID, "lineitem")
     got = {r["l_returnflag"]: r["q"] for r in
-           grouped_quantile(li, "l_returnflag", "l_extendedprice", 0.5, accuracy=50).collect()}
+           grouped_quantile(li, "l_returnflag", "l_extendedprice", 0.5).collect()}
     ref = {r["l_returnflag"]: r["m"] for r in
            li.groupBy("l_returnflag").agg(F.median("l_extendedprice").alias("m")).collect()}
     assert got == ref
