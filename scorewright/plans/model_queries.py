@@ -1,6 +1,6 @@
 """Registered queries: estimators, leaderboard, ensembles, CV, tuning, importance.
 
-No DuckDB twins (model fits are not SQL); tests check invariants instead.
+No DuckDB twins but for ``feature_names`` (model fits are not SQL); tests check invariants instead.
 The target is ``labels_planted`` (separable by construction, FIXTURES.md 2.1)
 so that the models have something to learn; ``labels`` is near noise.
 """
@@ -19,6 +19,7 @@ from ..functions.ranks import hash_key, hashed_rank
 from ..operators import split as sp
 from ..session import materialize
 from ..sources.fixtures import account_m
+from .oracle_fixtures import with_fixtures
 from .registry import register
 
 TARGET = "labels_planted"
@@ -135,7 +136,19 @@ def feature_names_q(spark, d):
     return spark.createDataFrame(list(enumerate(md.names)), "position int, feature string")
 
 
-register("feature_names")(feature_names_q)
+def _names_sql():
+    """Continuous columns, then the sorted categories of the training rows, then flags."""
+    listed = lambda cols: ", ".join(f"'{c}'" for c in cols)
+    return with_fixtures(f"""
+SELECT CAST(row_number() OVER (ORDER BY part, place, feature) - 1 AS INTEGER) AS position, feature FROM (
+  SELECT 0 AS part, unnest(range({len(CONT)})) AS place, unnest([{listed(CONT)}]) AS feature
+  UNION ALL SELECT DISTINCT 1, 0, 'category_code_' || category_code FROM placed WHERE rn > round(0.2::DOUBLE * n) AND category_code IS NOT NULL
+  UNION ALL SELECT 2, unnest(range({len(BINS)})), unnest([{listed(BINS)}]))""", "account", extra=f"""placed AS (
+  SELECT category_code, row_number() OVER (PARTITION BY {TARGET} ORDER BY substr(md5(CAST(id AS VARCHAR) || '|42'), 1, 15), id) AS rn,
+         count(*) OVER (PARTITION BY {TARGET}) AS n FROM account)""")
+
+
+register("feature_names", sql=_names_sql())(feature_names_q)
 
 
 def cv_scores_q(spark, d, folds=5):
