@@ -24,7 +24,7 @@ null ids need no rule, an empty table gives an empty one, further columns are no
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -46,15 +46,41 @@ RANDOM_CHANGES = {16: 0.47, 32: 0.31, 64: 0.645}
 _SPAN = "array<struct<s:int,e:int,t:string>>"
 
 
+BLOCK = 256                     # spans that are numbered or compared together
+
+
+def _with(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` in which ``name`` is ``value``, evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _blocks(items: str) -> str:
+    """SQL for an array cut into arrays of ``BLOCK``."""
+    return f"transform(sequence(0, greatest(0, size({items}) - 1) div {BLOCK}), i -> slice({items}, i * {BLOCK} + 1, {BLOCK}))"
+
+
 def _matches(text: str, pattern: str) -> str:
-    """SQL for the spans (start, end, text) of a pattern's matches."""
+    """SQL for the spans (start, end, text) of a pattern's matches.
+
+    Lengths are summed over blocks of matches first, then within each block, so the copies
+    that a running sum makes of its array stay short."""
     quoted = "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
     pieces = (f"zip_with(regexp_extract_all({text}, {quoted}, 0), split({text}, {quoted}, -1), "
               "(m, b) -> struct(m as m, b as b))")
+    lengths = "transform(k, x -> aggregate(x, 0, (a, y) -> a + length(y.b) + coalesce(length(y.m), 0)))"
+    begins = f"aggregate({lengths}, struct(0 as p, cast(array() as array<int>) as o), (a, x) -> struct(a.p + x as p, concat(a.o, array(a.p)) as o)).o"
     step = ("(a, x) -> if(x.m is null, a, struct(a.p + length(x.b) + length(x.m) as p, concat(a.o, array(struct("
             "a.p + length(x.b) as s, a.p + length(x.b) + length(x.m) as e, x.m as t))) as o))")
-    return (f"if({text} rlike {quoted}, aggregate({pieces}, struct(0 as p, cast(array() as {_SPAN}) as o), {step}).o, "
-            f"cast(array() as {_SPAN}))")
+    spans = f"flatten(zip_with(k, {begins}, (x, p) -> aggregate(x, struct(p as p, cast(array() as {_SPAN}) as o), {step}).o))"
+    return f"if({text} rlike {quoted}, {_with('v', pieces, _with('k', _blocks('v'), spans))}, cast(array() as {_SPAN}))"
+
+
+def _free(runs: str, spans: str) -> str:
+    """SQL for the runs that overlap none of the spans; both are ordered and disjoint.  A block
+    of runs is compared with the spans between its ends only."""
+    near = f"filter({spans}, y -> y.s < element_at(x, -1).e and x[0].s < y.e)"
+    kept = _with("near", near, "filter(x, c -> not exists(near, y -> y.s < c.e and c.s < y.e))")
+    return f"if(size({runs}) = 0 or size({spans}) = 0, {runs}, flatten(transform({_blocks(runs)}, x -> {kept})))"
 
 
 def _battery() -> str:
@@ -111,18 +137,18 @@ def secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
              .withColumn("run", F.expr(_matches("text", RUN))).drop("text"))
     spans = lambda kind: f"transform({kind}, x -> struct(x.s as s, {KINDS.index(kind)} as k, x.e as e))"
     base = found.select("id", *(F.size(k).cast("long").alias("n_" + k) for k in KINDS[:3]),
-                        F.expr("array_sort(concat(" + ", ".join(map(spans, KINDS[:3])) + "))").alias("base"), "run")
-    free = base.withColumn("run", F.expr("filter(run, c -> not exists(base, y -> y.s < c.e and c.s < y.e))"))
-    tested = materialize(free.withColumn("run", F.expr(f"transform(run, c -> {_battery()})")))
+                        F.expr("array_sort(concat(" + ", ".join(map(spans, KINDS[:3])) + "))").alias("base"), "assign", "run")
+    # a run is as long as its characters last, so a hexadecimal or access span lies in one run or in none
+    hidden = " or ".join(f"c.t rlike '{p}'" for p in (HEX, ACCESS))
+    free = base.withColumn("run", F.expr(_free(f"filter(run, c -> not ({hidden}))", "assign")))
+    tested = materialize(free.drop("assign").withColumn("run", F.expr(f"transform(run, c -> {_battery()})")))
 
     bins = tested.select(F.explode("run").alias("c")).select("c.size", "c.bin").where("bin >= 0").groupBy("size", "bin").count()
-    bins.createOrReplaceTempView("_secret_bins")
-    limits = df.sparkSession.sql(f"""
-        select map_from_entries(collect_list(struct(size, least_bin))) as m from (
-          select size, min(bin) as least_bin from (
-            select size, bin, sum(count) over (partition by size) as m,
-              sum(count) over (partition by size order by bin desc) as found from _secret_bins)
-          where m * pow(10D, -bin / 4D) <= {FDR}D * found group by size)""")
+    # one line a size class and p-value bin
+    size = Window.partitionBy("size")
+    counted = bins.withColumns({"m": F.sum("count").over(size), "found": F.sum("count").over(size.orderBy(F.desc("bin")))})
+    least = counted.where(f"m * pow(10D, -bin / 4D) <= {FDR}D * found").groupBy("size").agg(F.min("bin").alias("least_bin"))
+    limits = least.agg(F.map_from_entries(F.collect_list(F.struct("size", "least_bin"))).alias("m"))
     out = tested.withColumn("limit", limits.scalar())
     out = out.withColumn("run", F.expr("filter(run, c -> c.bin >= coalesce(limit[c.size], 1000))"))
     joined = lambda a: f"array_join(transform({a}, x -> concat(element_at(array({', '.join(repr(k) for k in KINDS)}), x.k + 1), ':', x.s, ':', x.e)), ',')"
