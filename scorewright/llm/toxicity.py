@@ -16,10 +16,10 @@ weight.  A document's score is the largest weight of its entries, and further en
 of weight ``STRONG`` or more raise it as independent signs do; without hits it is
 ``base``, the share of toxic ones among labelled documents without hits.
 
-The learner reads a bounded sample, ``SAMPLE`` labelled rows in the order of a hash, and
-the lexicon holds ``LEXICON`` entries at most; everything else covers all rows.  Null
-texts count as empty and score ``base``.  Labels that are null are left out.  Rows are
-independent, so ties, repeated rows and null ids need no rule; an empty table gives an
+The learner reads a bounded sample, ``SAMPLE`` labelled rows in the order of a hash, which
+bounds the lexicon too; everything else covers all rows.  Null texts count as empty and
+score ``base``.  Labels that are null are left out; an id with several labels is toxic if
+one of them is.  Rows are independent, so ties, repeated rows and null ids need no rule; an empty table gives an
 empty one; without labelled rows of both kinds all scores are the share of toxic ones
 (0 without any).  Further columns are not read.
 """
@@ -41,7 +41,6 @@ from . import near_dup
 from .util import BoundedCache
 
 SAMPLE = 20_000
-LEXICON = 2_000
 LEAST_DOCS = 3          # toxic sample documents, copies counted once, that hold an entry
 LIFT = 15.0             # times as frequent in toxic documents
 EVIDENCE = 8.0          # log-likelihood ratio against chance, so that rare words don't enter by luck
@@ -185,8 +184,8 @@ class Model:
 
 def sample_of(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     """(text, toxic) of at most ``size`` labelled rows; ``docs`` has id and text, ``labels`` id and toxic."""
-    picked = (labels.where("id is not null and toxic is not null").where(in_fold(F.col("id"))).dropDuplicates(["id"])
-              .orderBy(F.xxhash64("id"), "id").limit(size))
+    picked = (labels.where("id is not null and toxic is not null").where(in_fold(F.col("id")))
+              .groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(size))
     return docs.join(F.broadcast(picked), "id").select("text", (F.col("toxic") > 0).alias("toxic")).dropDuplicates()
 
 
@@ -243,7 +242,7 @@ def learn(sample: DataFrame) -> Model:
     seen = F.col("bad") + F.col("good")
     evidence = F.col("bad") * F.log(F.col("bad") / (seen * share)) + F.when(
         F.col("good") > 0, F.col("good") * F.log(F.col("good") / (seen * (1 - share)))).otherwise(0.0)
-    rows = per.where((F.col("bad") >= max(LEAST_DOCS, LEAST_SHARE * n_bad)) & (lift >= LIFT)).where(evidence >= EVIDENCE).orderBy(F.desc("bad"), "f").limit(LEXICON).collect()
+    rows = per.where((F.col("bad") >= max(LEAST_DOCS, LEAST_SHARE * n_bad)) & (lift >= LIFT)).where(evidence >= EVIDENCE).collect()
     entries = sorted(r["f"] for r in rows)
 
     def hits(batches):
