@@ -38,11 +38,56 @@ VERSION = "WARC/1.1"
 NO_DATE = "1970-01-01T00:00:00Z"    # where the table has no date
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the URL namespace of RFC 4122
 
-_DROP = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>|<!doctype[^>]*>", re.S | re.I)
+_OPEN = re.compile(r"<!--|<(script|style|noscript|template)\b[^>]*>|<!doctype[^>]*>", re.I)
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "title")}
 _BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|div|dd|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[a-z/!?][^>]*>", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)", re.I)
+_TITLE = re.compile(r"<title\b[^>]*>", re.I)
+_ANCHOR = re.compile(r"<a\b[^>]*>", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*[\"']?([^\"'\s>]+)", re.I)
+
+
+def tagged(page: str) -> tuple[str, str]:
+    """What ends with the last ``>``, and the rest: behind it no tag is closed, and up to it every
+    tag is, so a pattern that looks for a tag's end never scans the page in vain."""
+    end = page.rfind(">") + 1
+    return page[:end], page[end:]
+
+
+def visible(page: str) -> str:
+    """The page without comments, scripts and the like: one scan forward, which remembers the
+    kinds that are not closed any more."""
+    body, rest = tagged(page)
+    out, at, look, never = [], 0, 0, set()
+    while found := _OPEN.search(body, look):
+        kind = "comment" if found[0] == "<!--" else (found[1] or "doctype").lower()
+        end = found.end()
+        if kind == "comment":
+            end = -1 if kind in never else body.find("-->", end) + 3
+            end = end if end >= found.end() + 3 else -1
+        elif kind != "doctype":
+            close = None if kind in never else _CLOSE[kind].search(body, end)
+            end = close.end() if close else -1
+        if end < 0:
+            never.add(kind)
+            look = found.start() + 1
+        else:
+            out += [body[at:found.start()], " "]
+            at = look = end
+    return "".join([*out, body[at:], rest])
+
+
+def title_of(page: str) -> str:
+    body, _ = tagged(page)
+    begin = _TITLE.search(body)
+    end = _CLOSE["title"].search(body, begin.end()) if begin else None
+    return " ".join(html.unescape(_TAG.sub("", body[begin.end():end.start()])).split()) if end else ""
+
+
+def links_of(shown: str) -> list[str]:
+    body, _ = tagged(shown)
+    found = (_HREF.search(a[0]) for a in _ANCHOR.finditer(body))
+    return [html.unescape(h[1]) for h in found if h]
 
 
 def digest(block: bytes) -> str:
@@ -93,7 +138,8 @@ def parse(data: bytes) -> list[tuple[dict[str, str], bytes]]:
 
 def text_of(page: str) -> str:
     """A page's text, a line for each block."""
-    bare = _TAG.sub("", _BLOCK.sub("\n", _DROP.sub(" ", page)))
+    body, rest = tagged(visible(page))
+    bare = _TAG.sub("", _BLOCK.sub("\n", body)) + rest
     lines = (" ".join(line.split()) for line in html.unescape(bare).split("\n"))
     return "\n".join(line for line in lines if line)
 
@@ -118,10 +164,9 @@ def derive_one(source: bytes) -> list[tuple[dict[str, str], bytes, bytes]]:
         page = payload.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
         page = payload.decode("utf-8", "replace")
-    title, visible = _TITLE.search(page), _DROP.sub(" ", page)
     fields = [("source-status", block[:end].split(b"\r\n")[0].decode("latin-1")), *((f"source-{k}", v) for k, v in http.items()),
-              ("source-payload-digest", digest(payload)), ("title", " ".join(html.unescape(_TAG.sub("", title[1])).split()) if title else ""),
-              *(("outlink", html.unescape(x)) for x in _LINK.findall(visible))]
+              ("source-payload-digest", digest(payload)), ("title", title_of(page)),
+              *(("outlink", x) for x in links_of(visible(page)))]
     meta = "".join(f"{k}: {clean(v)}\r\n" for k, v in fields if v).encode()
     text = text_of(page).encode()
     out = []
