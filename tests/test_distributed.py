@@ -97,3 +97,38 @@ def test_grouped_quantile_equals_median(spark):
     ref = {r["l_returnflag"]: r["m"] for r in
            li.groupBy("l_returnflag").agg(F.median("l_extendedprice").alias("m")).collect()}
     assert got == ref
+
+
+def test_account_deals_rows_by_count(spark, tmp_path, monkeypatch):
+    """Tables beyond a task's rows are dealt by their counts, and the rows stay the same: null,
+    repeated and unmatched keys, a customer with most orders, a supplier met many times."""
+    from scorewright.sources import fixtures
+    n = 3000
+    day = F.date_add(F.lit("1995-01-01").cast("date"), F.pmod(F.col("id"), F.lit(900)).cast("int"))
+    key = F.when(F.col("id") % 97 != 0, F.col("id"))
+    hot = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.pmod(F.col("id") * 7, F.lit(210)))
+    ids = spark.range(n)
+    tables = {
+        "customer": spark.range(200).union(spark.range(5)).select(
+            F.when(F.col("id") != 9, F.col("id")).alias("c_custkey"), (F.col("id") % 4).cast("int").alias("c_nationkey"), F.lit("BUILDING").alias("c_mktsegment")),
+        "orders": ids.select(key.alias("o_orderkey"), F.when(F.col("id") % 41 != 0, hot).cast("long").alias("o_custkey"),
+                             F.when(F.col("id") % 2 == 0, F.lit("F")).otherwise(F.lit("O")).alias("o_orderstatus"),
+                             (F.col("id") * 100.0).alias("o_totalprice"), day.alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority")),
+        "lineitem": spark.range(4 * n).select(F.pmod(F.col("id"), F.lit(n + 50)).alias("k"), "id").select(
+            F.when(F.col("k") % 89 != 0, F.col("k")).alias("l_orderkey"), F.when(F.col("id") % 13 != 0, F.col("id") % 50).alias("l_suppkey"),
+            F.when(F.col("id") % 5 == 0, F.lit("R")).otherwise(F.lit("N")).alias("l_returnflag")),
+        "nation": spark.range(4).select(F.col("id").cast("int").alias("n_nationkey"), (F.col("id") % 2).cast("int").alias("n_regionkey")),
+        "region": spark.createDataFrame([(0, "AMERICA"), (1, "EUROPE")], "r_regionkey int, r_name string"),
+    }
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    plain = account(spark, str(tmp_path)).collect()
+    monkeypatch.setattr(fixtures, "LINES_A_TASK", 250)      # 48 parts
+    monkeypatch.setattr(fixtures, "CUSTOMERS_A_TASK", 5)    # 41 parts
+    dealt = account(spark, str(tmp_path))
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    for part in ("l_orderkey", "o_orderkey", "c_custkey", "cust", "o_custkey"):
+        assert any(part in line and line.split("), REPARTITION")[0].endswith((" 48", " 41"))
+                   for line in plan.splitlines() if "REPARTITION_BY_NUM" in line), part
+    assert sorted(map(repr, dealt.collect())) == sorted(map(repr, plain))
+    assert len(plain) == 205
