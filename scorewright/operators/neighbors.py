@@ -6,8 +6,9 @@
 2. ``P`` pivots are reference rows picked by a seeded hash (a top-P, bounded).  The k-th
    nearest pivot gives an upper bound ``ub`` on a query's k-th neighbour distance.
 3. Since ||W'(q - x)|| <= ||q - x||, the distance from W'q to the bounding box of a cell
-   is a lower bound for every row of it; a query is sent only to the blocks of cells
-   whose bound is <= ub.
+   is a lower bound for every row of it.  Cells that lie together form groups of at most a
+   block's rows, about ``GROUPS`` of them; a query is sent once to each group with a cell
+   whose bound is <= ub, so what is sent follows the groups and not the many small cells.
 4. Queries and reference rows of a block meet in one task, ``QUERY_ROWS`` queries at
    most; a matrix product per slice of queries finds near rows, the exact distances of
    those are computed, and k per query and block leave the task.
@@ -32,9 +33,10 @@ from ..functions.ranks import hash_key, hashed_rank
 
 SEED = 42
 CELL_ROWS = 32          # reference rows a cell aims at, up to ``max_cells`` cells
+GROUPS = 64             # groups of cells, more where one would hold over a block
 BLOCK_ROWS = 16_384     # reference rows that a task holds at once, about
 QUERY_ROWS = 262_144    # queries that meet a block in one task, about
-SLICE = 1 << 22         # distances in a matrix product
+SLICE = 1 << 21         # distances in a matrix product
 
 
 def _pivots(ref: DataFrame, key: str, vec: str, n_pivots: int):
@@ -82,19 +84,31 @@ def _nearest(q_id, q, ub, n_id, ref, k: int, exclude_self: bool):
 
 
 def _cells(rz: DataFrame, m: int, cells: int):
-    """Column of the cell of ``_z``: bits dealt to the axes in turn, bins between quantiles."""
+    """Column of the cell of ``_z``: bits dealt to the axes in turn, bins between quantiles.
+    The first axis counts most, so cells with near numbers lie together."""
     bits = max(0, cells.bit_length() - 1)
     per_axis = [1 << (bits // m + (i < bits % m)) for i in range(m)]
     cuts = rz.agg(*[F.percentile_approx(F.col("_z")[i], [(j + 1) / g for j in range(g - 1)] or [0.5], 1000).alias(f"c{i}")
                     for i, g in enumerate(per_axis)]).first()
     cell, base = F.lit(0), 1
-    for i, g in enumerate(per_axis):
+    for i, g in reversed(list(enumerate(per_axis))):
         for cut in sorted(set(cuts[f"c{i}"])) if g > 1 else []:
             cell = cell + F.when(F.col("_z")[i] > F.lit(float(cut)), F.lit(base)).otherwise(F.lit(0))
         base *= g
     return cell.cast("int")
 
 
+def _groups(sizes: Sequence[int]) -> np.ndarray:
+    """Group of each cell, the cells in order: runs of cells with about the same number of rows."""
+    target = min(BLOCK_ROWS, max(CELL_ROWS, -(-sum(sizes) // GROUPS)))
+    out, held, group = np.zeros(len(sizes), dtype="int32"), 0, 0
+    for i, n in enumerate(sizes):
+        if held and held + n > target:
+            held, group = 0, group + 1
+        out[i], held = group, held + n
+    return out
+
+
 def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str = "v",
         ref_key: str | None = None, exclude_self: bool = True, n_pivots: int = 256,
         proj_dims: int = 4, max_cells: int = 4096, diagnostics: dict | None = None) -> DataFrame:
@@ -122,18 +136,24 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str =
     # one row per non-empty cell (at most max_cells): size, and bounding box of its projected rows
     boxes = rz.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"),
                                     *[F.min(F.col("_z")[i]).alias(f"a{i}") for i in range(m)],
-                                    *[F.max(F.col("_z")[i]).alias(f"b{i}") for i in range(m)]).collect()
-    cell_ids = np.array([r["_cell"] for r in boxes], dtype="int32")
+                                    *[F.max(F.col("_z")[i]).alias(f"b{i}") for i in range(m)]).orderBy("_cell").collect()
+    group_of = _groups([r["n"] for r in boxes])
+    group_ids, first_cells = np.unique(group_of, return_index=True)
     box_lo = np.array([[r[f"a{i}"] for i in range(m)] for r in boxes])
     box_hi = np.array([[r[f"b{i}"] for i in range(m)] for r in boxes])
-    parts = query.sparkSession.createDataFrame(
-        [(r["_cell"], -(-r["n"] // BLOCK_ROWS), r["n"]) for r in boxes], "_cell int, _parts int, _n long")
+    rows_of = np.add.reduceat([r["n"] for r in boxes], first_cells)
+    # from here on ``_cell`` is a group of cells; both tables have at most max_cells rows
+    spark = query.sparkSession
+    group = spark.createDataFrame([(r["_cell"], int(g)) for r, g in zip(boxes, group_of)], "_cell int, _group int")
+    rz = rz.join(F.broadcast(group), "_cell").drop("_cell").withColumnRenamed("_group", "_cell")
+    parts = spark.createDataFrame(
+        [(int(g), int(-(-n // BLOCK_ROWS)), int(n)) for g, n in zip(group_ids, rows_of)], "_cell int, _parts int, _n long")
 
     @F.pandas_udf(T.StructType([T.StructField("ub", T.DoubleType()),
                                 T.StructField("cand", T.ArrayType(T.IntegerType()))]))
     def candidates(qid: pd.Series, v: pd.Series) -> pd.DataFrame:
         vectors, ids = v.to_numpy(), qid.to_numpy()
-        step = max(1, SLICE // max(len(cell_ids), len(piv_ids)))
+        step = max(1, SLICE // max(len(group_of), len(piv_ids)))
         ubs, cands = [], []
         for at in range(0, len(vectors), step):
             x = np.stack(vectors[at:at + step]).astype("float64")
@@ -143,19 +163,18 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, key: str = "id", vec: str =
             kth = np.partition(d2, k - 1, axis=1)[:, k - 1] if d2.shape[1] >= k else np.full(len(x), np.inf)
             # relaxed: products and differences may differ in the last bits
             ub = np.sqrt(kth + error) * (1 + 1e-9) + 1e-12
-            z, lb = x @ axes, np.zeros((len(x), len(cell_ids)))
+            z, lb = x @ axes, np.zeros((len(x), len(group_of)))
             for i in range(m):
                 gap = np.maximum(box_lo[None, :, i] - z[:, None, i], z[:, None, i] - box_hi[None, :, i])
                 lb += np.maximum(gap, 0.0) ** 2
             near = np.sqrt(lb) <= (ub + np.sqrt(error) * 1e-3)[:, None]
-            cands += [cell_ids[row] for row in near]
+            cands += [group_ids[row] for row in np.logical_or.reduceat(near, first_cells, axis=1)]
             ubs.append(ub)
         return pd.DataFrame({"ub": np.concatenate(ubs) if ubs else np.zeros(0), "cand": cands})
 
-    # the table of cells has at most max_cells rows
     q = qv.withColumn("_c", candidates("_id", "_v")).select("_id", "_v", "_c.ub", F.explode("_c.cand").alias("_cell"))
     if diagnostics is not None:   # candidate pairs after pruning (an extra job; diagnostics only)
-        diagnostics["candidate_pairs"] = q.join(F.broadcast(parts), "_cell").agg(F.sum("_n")).first()[0]
+        diagnostics["sent"], diagnostics["candidate_pairs"] = q.join(F.broadcast(parts), "_cell").agg(F.count("*"), F.sum("_n")).first()
     return _meet_in_blocks(rz, q, parts, n_query, k, exclude_self)
 
 

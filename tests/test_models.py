@@ -56,6 +56,38 @@ def test_knn_equals_brute_force(spark):
             assert [n for _, n in sorted(got[qid])] == [ids[j] for j in order]
 
 
+def test_knn_sends_a_query_once_to_a_group_of_cells(spark, monkeypatch):
+    """Without structure every cell is a candidate; a query is sent to groups, and blocks cut
+    groups: the rows are those of brute force, with equal and missing vectors too."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 8))
+    x[50:60] = x[50]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(4000, None), (None, x[0].tolist())]
+    v = spark.createDataFrame(rows, "id long, v array<double>").repartition(4)
+    diag = {}
+    found = nb.knn(v, v, 4, diagnostics=diag)
+    want = {}
+    for i in range(0, 4000, 97):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        d[i] = np.inf
+        want[i] = np.lexsort((np.arange(4000), d))[:4].tolist()
+    near = lambda df: {i: [r["n_id"] for r in sorted(rs, key=lambda r: r["rank"])] for i, rs in
+                       ((i, [r for r in found_rows if r["q_id"] == i]) for found_rows in [df.where(F.col("q_id") % 97 == 0).collect()] for i in want)}
+    assert near(found) == want
+    assert diag["sent"] <= 4000 * (nb.GROUPS + 1)   # 4000 x 125 cells before
+    monkeypatch.setattr(nb, "BLOCK_ROWS", 40)       # more groups, and cells of over a block
+    assert near(nb.knn(v, v, 4, max_cells=32)) == want
+
+
+def test_groups_of_cells_follow_their_sizes():
+    sizes = [30] * 40_000
+    groups = nb._groups(sizes)
+    held = np.bincount(groups, weights=sizes)
+    assert (np.diff(groups) >= 0).all() and held.max() <= nb.BLOCK_ROWS
+    assert len(held) <= 1.1 * max(nb.GROUPS, sum(sizes) / nb.BLOCK_ROWS)
+    assert nb._groups([3, 90_000, 5]).tolist() == [0, 1, 2]
+
+
 def test_smote_balances_and_interpolates(spark):
     v = _vecs(spark, SF_MID)
     out = nb.smote(v, k=3)
