@@ -177,6 +177,19 @@ def test_folds_are_prepared_without_their_held_rows(spark, md):
     assert a.train.count() + a.held.count() == raw.count() == b.train.count() + b.held.count()
 
 
+def test_search_scores_folds_by_auc_alone(md, monkeypatch):
+    """The same means as from the full report of each fold, without its other passes."""
+    folds, params = md.folds[:2], [{"maxDepth": 1}, {"maxDepth": 3}]
+    want = [[ml.fold_score("decision_tree", f, p)["roc_auc"] for f in folds] for p in params]
+
+    def never(scored):
+        raise AssertionError("a search needs no full report")
+
+    monkeypatch.setattr(ml, "evaluate", never)
+    got = ml.search("decision_tree", folds, params)
+    assert [r["mean_auc"] for r in got] == pytest.approx([sum(w) / 2 for w in want])
+
+
 def test_elimination_path_sizes():
     from scorewright.operators.select import path_sizes
     assert path_sizes(10, 4, 3) == [10, 7, 4]
