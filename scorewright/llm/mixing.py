@@ -11,7 +11,7 @@ the same.
 
 Only cell sums are shuffled, counted before the shuffle, so a source of a third of all
 rows is one partial sum a task.  Cells stay a distributed table through the iterations;
-each round is stored.  Documents meet their cell by a broadcast join while there are at
+each margin of a round is stored.  Documents meet their cell by a broadcast join while there are at
 most ``BROADCAST_CELLS`` cells, by a shuffled join beyond.
 
 A null margin counts as the empty string.  Null texts count as empty: 0 tokens, kept
@@ -94,7 +94,7 @@ def rake(cells: DataFrame, goals: dict[str, DataFrame], budget: float, rounds: i
                       .when(F.col("goal") < F.col("fixed") + F.col("free"), F.col("goal") / (F.col("fixed") + F.col("free"))).otherwise(1.0))
             factors = sums.join(goal, m).select(m, F.least(factor, F.lit(FASTEST)).alias("f"))
             state = state.join(factors, m, "left").withColumn("weight", F.least(F.col("weight") * F.coalesce("f", F.lit(1.0)), F.lit(FASTEST))).drop("f")
-        state = materialize(state)
+            state = materialize(state)  # a margin reads the state twice, so unstored margins would double the plan
         left = errors(state.withColumn("prob", prob), goals)
         worst = left.agg(F.max("error")).first()[0] or 0.0
         rounds -= 1

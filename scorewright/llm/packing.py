@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .util import slices
+from .util import slices, utf8
 
 WINDOW = 2048
 GROUP = 50_000          # pieces packed together
 CACHED_WORDS = 600_000  # of either generation
 LONG_WORD = 64          # characters of a word that is remembered
-TOGETHER = 1 << 20      # characters of texts that are encoded together
+TOGETHER = 1 << 20      # bytes of texts that are encoded together
 WIDE = " \u00a0"       # a space that a token may hold together with what follows
 COMMON = re.compile("[!-~\\t\\n\\rÀ-ÖØ-öø-ÿ]+")
 # fixed value: the pre-token pattern of the byte-level vocabulary
@@ -143,19 +143,20 @@ def tokenize(df: DataFrame, tokenizer_path: str, end_id: int = 1, window: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path, cached_words)
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            rows: list[tuple] = []
-            for lo, hi in slices(np.concatenate([[0], np.cumsum(list(map(len, texts)), dtype=np.int64)]), TOGETHER):
-                for i, ids in enumerate(encode.batch(texts[lo:hi]), lo):
+            column = batch.column(1)
+            for lo, hi in slices(utf8(column)[0], TOGETHER):  # only a slice's texts and ids are held as Python objects
+                texts = ["" if t is None else t for t in column[lo:hi].to_pylist()]
+                rows: list[tuple] = []
+                for i, ids in enumerate(encode.batch(texts), lo):
                     ids += end
                     n = len(ids) // 4
                     for start in range(0, n, window):
                         piece = ids[4 * start:4 * (start + window)]
-                        rows.append((i, start, len(piece) // 4, zlib.crc32(piece), n, piece))
-            at, *columns, pieces = zip(*rows) if rows else [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, pa.int64()) for c in columns),
-                 *[pa.array(pieces, pa.binary())] * with_ids], names)
+                        rows.append((i, start, len(piece) // 4, zlib.crc32(piece), n, piece if with_ids else None))
+                at, *columns, pieces = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, pa.int64()) for c in columns),
+                     *[pa.array(pieces, pa.binary())] * with_ids], names)
 
     slim = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = f"id {slim.schema['id'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids

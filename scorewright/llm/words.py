@@ -15,7 +15,7 @@ import numpy as np
 
 from .util import mix64
 
-CHUNK = 1 << 20        # bytes whose masks and prefix hashes are held at once
+CHUNK = 1 << 18        # bytes whose masks and prefix hashes are held at once
 LONG_WORD = 1 << 16    # longer words are hashed by blake2b
 _BASE = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
