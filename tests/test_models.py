@@ -1,17 +1,22 @@
 """Invariants for the non-SQL operators (models, kNN, SMOTE, persistence)."""
 
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from scorewright.operators import models as ml
 from scorewright.operators import neighbors as nb
+from scorewright.plans import model_queries as mq
 from scorewright.plans.model_queries import ModelData
 from scorewright.plans.neighbor_queries import _vecs
+from scorewright.session import materialize
 from scorewright.sources import sinks
 
 from conftest import SF_MID, SF_SMALL
@@ -195,3 +200,62 @@ def test_elimination_path_sizes():
     assert path_sizes(10, 4, 3) == [10, 7, 4]
     assert path_sizes(10, 4, 0.4) == [10, 6, 4]
     assert path_sizes(3, 5) == [3]
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    """Rows of their own with 30 features, keys null and repeated; the first two tell the classes apart."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(240, 30))
+    y = (x[:, 0] + x[:, 1] + 0.3 * rng.normal(size=240) > 0).astype(int)
+    rows = [(None if i % 31 == 0 else i // 2, int(y[i]), i % 3, x[i].tolist()) for i in range(240)]
+    df = spark.createDataFrame(rows, "id long, label int, fold int, features array<double>")
+    df = df.withColumn("features", array_to_vector("features")).repartition(4)
+    prep = SimpleNamespace(names=[f"x{i}" for i in range(30)])
+    folds = [ml.Fold(k, prep, materialize(ml.add_weights(df.where(F.col("fold") != k).drop("fold"))),
+                     materialize(df.where(F.col("fold") == k).drop("fold"))) for k in range(3)]
+    return SimpleNamespace(folds=folds, names=prep.names, train=folds[0].train, test=folds[0].held, n_folds=3)
+
+
+def test_leaderboard_has_the_models_and_spaces_of_the_reference():
+    assert mq.LEADERBOARD == ["random_forest", "gradient_boosting", "logistic_regression", "svm", "knn",
+                              "decision_tree", "naive_bayes", "ada_boost"]
+    assert {k: len(ml.grid(v)) for k, v in mq.LEADERBOARD_SPACES.items()} == {
+        "random_forest": 27, "gradient_boosting": 18, "logistic_regression": 10, "svm": 18, "knn": 10}
+
+
+def test_leaderboard_tunes_its_models(spark, wide, monkeypatch):
+    """Each model with a space takes its best candidate; kNN's settings come from one join."""
+    monkeypatch.setattr(mq, "ModelData", lambda *a, **k: wide)
+    spaces = {"knn": {"k": [1, 9], "weights": ["uniform"]}, "decision_tree": {"maxDepth": [0, 4]}}
+    board, fitted, _ = mq.leaderboard(spark, None, models=["knn", "decision_tree"], spaces=spaces)
+    got = {r["model"]: r for r in board.collect()}
+    assert set(got) == {"knn", "decision_tree"} and all(r["roc_auc"] > 0.6 for r in got.values())
+    want = [ml.fold_auc("decision_tree", f, {"maxDepth": 4}) for f in wide.folds]
+    assert got["decision_tree"]["cv_score"] == pytest.approx(sum(want) / 3)  # depth 0 gives 0.5
+    assert fitted["knn"].k == 9
+    assert ml.knn_aucs(wide.folds[1], [{"k": 9, "weights": "uniform"}]) == pytest.approx([ml.fold_auc("knn", wide.folds[1], {"k": 9})])
+
+
+def test_svm_kernels(wide):
+    train = ml.packed(wide.train, 100)
+    poly = ml.fit_model("svm", train, kernel="poly", gamma="auto", C=1, size=16)
+    assert isinstance(poly.kernel, ml.CubicFeatures) and poly.kernel.gamma == pytest.approx(1 / 30)
+    scored = ml.scored_frame(poly, wide.test).collect()
+    assert len(scored) == wide.test.count() and all(0.0 <= r["p1"] <= 1.0 for r in scored)
+
+
+def test_cubic_features_have_the_kernel_as_mean(spark):
+    x = np.random.default_rng(1).normal(size=(6, 4))
+    df = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(x)], ["id", "features"])
+    z = np.array([r["features"].toArray() for r in ml.CubicFeatures(4, 0.25, 200_000).transform(df).orderBy("id").collect()])
+    assert np.allclose(z @ z.T, (0.25 * x @ x.T) ** 3, atol=0.15)
+
+
+def test_packed_rows_stay_whole(spark, monkeypatch):
+    df = materialize(spark.range(1000).repartition(16))
+    monkeypatch.setattr(ml, "ROWS_A_TASK", 90)
+    cores = spark.sparkContext.defaultParallelism
+    assert ml.parts_of(df) == max(12, -(-cores // ml.PARALLELISM))
+    assert ml.packed(df).rdd.getNumPartitions() <= ml.parts_of(df)
+    assert sorted(r["id"] for r in ml.packed(df).collect()) == list(range(1000))
