@@ -217,6 +217,16 @@ def wide(spark):
     return SimpleNamespace(folds=folds, names=prep.names, train=folds[0].train, test=folds[0].held, n_folds=3)
 
 
+def test_rfecv_removes_one_feature_a_round(spark, wide, monkeypatch):
+    monkeypatch.setattr(mq, "ModelData", lambda *a, **k: wide)
+    monkeypatch.setattr(mq, "_forest50", lambda df: ml.fit_model("decision_tree", df, maxDepth=2))
+    rows = mq.select_rfecv(spark, None, min_features=24).orderBy("n_features").collect()
+    assert [r["n_features"] for r in rows] == list(range(24, 31))  # three a round with a share of 0.1
+    chosen = [r for r in rows if r["chosen"]]
+    assert len(chosen) == 1 and len(chosen[0]["features"]) == chosen[0]["n_features"]
+    assert chosen[0]["mean_auc"] == max(r["mean_auc"] for r in rows)
+
+
 def test_leaderboard_has_the_models_and_spaces_of_the_reference():
     assert mq.LEADERBOARD == ["random_forest", "gradient_boosting", "logistic_regression", "svm", "knn",
                               "decision_tree", "naive_bayes", "ada_boost"]
